@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import sharding
+from rallyframe.llm import secrets, sharding
 
 QUERIES = {
+    "op1_secret_scan": secrets.query,
     "op9_virtual_slots": sharding.query,
 }
 
