@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import secrets, sharding
+from rallyframe.llm import secrets, sharding, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
+    "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
 }
 
