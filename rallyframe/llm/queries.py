@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import secrets, sharding, simhash
+from rallyframe.llm import planes, secrets, sharding, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
+    "op10_bit_planes": planes.query,
 }
 
 ORACLES: dict[str, str] = {}
