@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import planes, secrets, sharding, simhash
+from rallyframe.llm import packing, planes, secrets, sharding, simhash
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
+    "op3_nnls_packing": packing.query,
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
     "op10_bit_planes": planes.query,
