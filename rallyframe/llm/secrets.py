@@ -136,7 +136,10 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     def count(test) -> Column:
-        return F.coalesce(F.size(F.filter("all", test)), F.lit(0)).cast("long")
+        return F.size(F.filter("all", test)).cast("long")
+
+    def count_of(number: int) -> Column:
+        return count(lambda s: s["kind_no"] == number)
 
     out = scan.select("row", "doc_id").join(said, "row", "left")
     nothing = F.array().cast("array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>")
@@ -144,7 +147,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return out.select(
         "row",
         "doc_id",
-        *(count(lambda s, n=n: s["kind_no"] == n).alias(f"n_{k}") for n, (k, _, _) in enumerate(KINDS[:BASE])),
+        *(count_of(n).alias(f"n_{k}") for n, (k, _, _) in enumerate(KINDS[:BASE])),
         count(lambda s: s["kind_no"] >= BASE).alias("n_linked"),
         F.sha2(joined(F.filter("all", lambda s: s["kind_no"] < BASE)).cast("binary"), 256).alias("base_sha256"),
         joined(F.col("all")).alias("spans"),
