@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import imatch, packing, planes, secrets, sharding, simhash
+from rallyframe.llm import imatch, packing, planes, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op3_nnls_packing": packing.query,
+    "op4_subword_toxicity": toxicity.query,
     "op6_imatch": imatch.query,
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
