@@ -1,11 +1,57 @@
-"""Corpus pipeline: toxicity, near-duplicates, secrets, packing."""
+"""Corpus pipeline: drop toxic documents, keep one of near-duplicates, redact secrets, pack.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+read again as the next stage's ``docs``. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from rallyframe.llm import packing, secrets, simhash, toxicity
+from rallyframe.llm.scratch import write_scratch
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the toxicity threshold, by a model of the labels."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.kept(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group of near-duplicates.
+
+    Shingles are of five words here, as elsewhere outside the operator's own query.
+    """
+    return simhash.deduplicated(docs, words=5)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets replaced by their kinds."""
+    return secrets.redacted(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_duplicates", drop_near_duplicates),
+    ("secret_scan", redact_secrets),
+    ("packing", pack),
+]
+
+#: SQL can't express the classifier or the packing; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages applied to documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = write_scratch(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

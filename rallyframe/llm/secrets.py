@@ -65,10 +65,13 @@ def _hits(text: Column, kind: str, pattern: str) -> Column:
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """row, doc_id and one array of hits per kind; ``row`` tells repeated doc_ids apart."""
+    """row, doc_id, h and one array of hits per kind.
+
+    ``row`` tells repeated doc_ids apart; h is a hash of the text.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    one = docs.select("doc_id", text.alias("text"), F.monotonically_increasing_id().alias("row"))
-    return one.select("row", "doc_id", *(_hits(F.col("text"), k, p).alias(k) for k, p, _ in KINDS))
+    one = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("row"))
+    return one.select("row", "doc_id", "h", *(_hits(F.col("text"), k, p).alias(k) for k, p, _ in KINDS))
 
 
 def spans_of(scan: DataFrame) -> DataFrame:
@@ -119,6 +122,17 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     return roles.where(whole).select("row", "kind_no", "kind", "role", "start", "end")
 
 
+def found_in(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """row, doc_id, h, all: every document's spans, array<struct<start, kind_no, kind, end>> in order."""
+    scan = write_scratch(scanned(docs), "secret-scan")
+    spans = spans_of(scan)
+    kept = spans.where(F.col("kind_no") < BASE).unionByName(linked(spans, scope))
+    ordered = F.array_sort(F.collect_list(F.struct("start", "kind_no", "kind", "end")))
+    said = kept.groupBy("row").agg(ordered.alias("all"))
+    nothing = F.array().cast("array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>")
+    return scan.select("row", "doc_id", "h").join(said, "row", "left").withColumn("all", F.coalesce("all", nothing))
+
+
 def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """row, doc_id, n_assign, n_access, n_hex, n_linked, base_sha256, spans of each document.
 
@@ -126,12 +140,6 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     text counts as empty and gives empty spans; an empty table gives no rows; repeated rows are
     scanned each. Other columns are ignored.
     """
-    scan = write_scratch(scanned(docs), "secret-scan")
-    spans = spans_of(scan)
-    kept = spans.where(F.col("kind_no") < BASE).unionByName(linked(spans, scope))
-    ordered = F.array_sort(F.collect_list(F.struct("start", "kind_no", "kind", "end")))
-    said = kept.groupBy("row").agg(ordered.alias("all"))
-
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
@@ -141,9 +149,7 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     def count_of(number: int) -> Column:
         return count(lambda s: s["kind_no"] == number)
 
-    out = scan.select("row", "doc_id").join(said, "row", "left")
-    nothing = F.array().cast("array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>")
-    out = out.withColumn("all", F.coalesce("all", nothing))
+    out = found_in(docs, scope)
     return out.select(
         "row",
         "doc_id",
@@ -154,6 +160,42 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
 
 
+def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``docs`` with each span replaced by its kind in brackets; overlapping spans become one.
+
+    Where a text changes, n_chars (if there is such a column) is its new length.
+    """
+    marks = found_in(docs, scope).where(F.size("all") > 0)
+    keys = ["__rf_no", "__rf_id", "__rf_h"]
+    marks = marks.select(
+        F.col("doc_id").isNull().alias(keys[0]), F.coalesce("doc_id", F.lit(0)).alias(keys[1]), F.col("h").alias(keys[2]), F.col("all").alias("__rf_all")
+    ).dropDuplicates(keys)
+    text = F.col("text")
+    own = docs.withColumns(
+        {keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)), keys[2]: F.xxhash64(F.coalesce("text", F.lit("")))}
+    )
+    both = own.join(marks, keys, "left")
+
+    def step(done: Column, span: Column) -> Column:
+        gap = F.substring(text, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        apart = span["start"] >= done["at"]
+        return F.struct(
+            F.greatest(done["at"], span["end"]).alias("at"),
+            F.when(apart, F.concat(done["out"], gap, F.lit("["), span["kind"], F.lit("]"))).otherwise(done["out"]).alias("out"),
+        )
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    rest = F.char_length(text)
+    clean = F.aggregate(
+        "__rf_all", start, step, lambda done: F.concat(done["out"], F.substring(text, (done["at"] + 1).cast("int"), rest))
+    )
+    both = both.withColumn("text", F.when(F.col("__rf_all").isNotNull(), clean).otherwise(text))
+    if "n_chars" in docs.columns:
+        length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        both = both.withColumn("n_chars", F.when(F.col("__rf_all").isNotNull(), length).otherwise(F.col("n_chars")))
+    return both.select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op1: secrets in every document."""
     return scan_secrets(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("row")

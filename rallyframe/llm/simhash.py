@@ -17,7 +17,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe.llm.components import components
@@ -55,14 +55,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
 
 def fingerprinted(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """key, fp (as a signed long) for rows of (key, text)."""
+    """The columns of ``docs`` without ``text``, and fp, the fingerprint as a signed long."""
+    rest = [c for c in docs.columns if c != "text"]
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
 
     def batches(them):
         for batch in them:
-            fps = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["key", "fp"])
+            fps = np.array([fingerprint(t, words) for t in batch.column(0).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps.view(np.int64))], names=[*rest, "fp"])
 
-    return docs.select("key", "text").mapInArrow(batches, "key long, fp long")
+    return docs.select("text", *rest).mapInArrow(batches, f"{kinds}, fp long")
 
 
 def _segment_bits(expr: str, start: int, width: int) -> str:
@@ -93,11 +95,12 @@ def near_pairs(classes: DataFrame) -> DataFrame:
 
 
 def near_duplicates(keyed: DataFrame, words: int = WORDS) -> DataFrame:
-    """key, fp, component (least key of the group) for rows of (key, text).
+    """The columns of ``keyed`` but text, with fp, group and component, for rows of (key, text, ...).
 
+    ``component`` is the least key of the near-duplicate group, ``group`` its least fingerprint.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows are returned
     each. Null keys don't count for the least key; a group of none but those has component null.
-    An empty table gives no rows. Other columns are ignored.
+    An empty table gives no rows.
     """
     prints = write_scratch(fingerprinted(keyed, words), "fingerprints")
     classes = write_scratch(prints.groupBy("fp").agg(F.min("key").alias("first")), "classes")
@@ -106,8 +109,24 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS) -> DataFrame:
         "fp", "first", F.coalesce("component", "fp").alias("group")
     )
     least = joined.groupBy("group").agg(F.min("first").alias("component"))
-    labels = joined.join(least, "group").select("fp", "component")
-    return prints.join(labels, "fp").select("key", "fp", "component")
+    return prints.join(joined.join(least, "group").select("fp", "group", "component"), "fp")
+
+
+def deduplicated(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, with the columns of ``docs``.
+
+    It is the row with the least doc_id, then the least hash of its text; a null doc_id comes
+    last, and of rows that repeat it one stays.
+    """
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    found = near_duplicates(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")), words)
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull().alias("no"), "key", "h")).alias("first"))
+    keys = ["__rf_no", "__rf_id", "__rf_h"]
+    winners = first.select(F.col("first.no").alias(keys[0]), F.coalesce("first.key", F.lit(0)).alias(keys[1]), F.col("first.h").alias(keys[2]))
+    own = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)), keys[2]: h})
+    kept = own.join(winners, keys, "left_semi")
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[1]))
+    return kept.withColumn("__rf_nth", nth).where("__rf_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

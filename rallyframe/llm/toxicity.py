@@ -270,6 +270,21 @@ def scored(docs: DataFrame, model: Model | None, extra: tuple[str, ...] = ()) ->
     return rows.withColumns({"held_out": held_out(F.col("doc_id")), "predicted": (F.col("score") >= THRESHOLD).cast("int")})
 
 
+def kept(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of ``docs`` that score below THRESHOLD, unchanged; all rows without a model."""
+    spark = docs.sparkSession
+    known = spark.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        scorer = Scorer(known.value) if known.value else None
+        for batch in batches:
+            for piece in slices(batch, at):
+                yield piece.filter(pa.array(scorer.scores(piece.column(at)) < THRESHOLD)) if scorer else piece
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op4: toxicity of every document, learnt from the labels that aren't held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
