@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from rallyframe.llm.words import slices
 
 #: Labelled documents in the training sample, the ones with the least hashes of doc_id.
-SAMPLE = 6000
+SAMPLE = 4000
 #: Windows of a toxic and of a clean document in the sample, at most.
 TOXIC_WINDOWS, CLEAN_WINDOWS = 64, 16
 WINDOW = 8
@@ -155,31 +155,36 @@ def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
     return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(cut, kinds)
 
 
+def _bags(windows) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all windows together, and the window of each."""
+    words = windows.str.split(" ").explode()
+    number, distinct = words.factorize()
+    window = words.index.factorize()[0]
+    parts = [grams(w).astype(np.int32) for w in distinct]
+    lengths = np.array([len(p) for p in parts])
+    table, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    per = lengths[number]
+    at = np.repeat((starts[number] - np.concatenate([[0], np.cumsum(per)[:-1]])).astype(np.int32), per)
+    at += np.arange(len(at), dtype=np.int32)
+    return table[at], np.repeat(window.astype(np.int32), per)
+
+
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
     """The model of the bounded sample; None if it lacks either class."""
     rows = sample(docs, labels, size).toPandas()  # at most size * TOXIC_WINDOWS windows
     rows = rows.sort_values(["doc_id", "window"], kind="stable", ignore_index=True)
     if rows["toxic"].nunique() < 2:
         return None
-    known: dict[str, np.ndarray] = {}
-
-    def bag_of(window: str) -> np.ndarray:
-        words = window.split(" ")
-        for word in words:
-            if word not in known:
-                known[word] = grams(word)
-        return np.concatenate([known[word] for word in words])
-
     own = rows[~rows["curve"]]
     if own["toxic"].nunique() < 2:
         own = rows
-    bags = [bag_of(w) for w in own["window"]]
-    ids, bag = np.concatenate(bags), np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    ids, bag = _bags(own["window"])
     y = own["toxic"].to_numpy(dtype=float)
     doc = own["doc_id"].factorize()[0]
     toxic_doc = np.bincount(doc, weights=y) > 0
     pairs = np.unique(doc[bag] * BUCKETS + ids)
     of, bucket = pairs // BUCKETS, pairs % BUCKETS
+    del pairs
     toxic = np.bincount(bucket[toxic_doc[of]], minlength=BUCKETS)
     clean = np.bincount(bucket[~toxic_doc[of]], minlength=BUCKETS)
     n_toxic, n_clean = toxic_doc.sum(), (~toxic_doc).sum()
