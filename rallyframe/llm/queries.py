@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import imatch, packing, planes, secrets, sharding, simhash, toxicity
+from rallyframe.llm import embeddings, imatch, packing, planes, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
     "op3_nnls_packing": packing.query,
     "op4_subword_toxicity": toxicity.query,
+    "op5_pca_tiles": embeddings.query,
     "op6_imatch": imatch.query,
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
