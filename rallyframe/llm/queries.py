@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import embeddings, imatch, packing, planes, secrets, sharding, simhash, toxicity
+from rallyframe.llm import embeddings, imatch, lmscore, packing, planes, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_subword_toxicity": toxicity.query,
     "op5_pca_tiles": embeddings.query,
     "op6_imatch": imatch.query,
+    "op7_cross_entropy_difference": lmscore.query,
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
     "op10_bit_planes": planes.query,
