@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import embeddings, imatch, lmscore, packing, planes, secrets, sharding, simhash, toxicity
+from rallyframe.llm import dropout, embeddings, imatch, lmscore, packing, planes, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
+    "op2_merge_dropout": dropout.query,
     "op3_nnls_packing": packing.query,
     "op4_subword_toxicity": toxicity.query,
     "op5_pca_tiles": embeddings.query,

@@ -35,6 +35,8 @@ class PieceCodec:
     keep_space: white space counts (the byte-level tokenizer); else it is dropped by the tokenizer.
     """
 
+    whole = _WHOLE
+
     def __init__(self, path: str, keep_space: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -42,6 +44,10 @@ class PieceCodec:
         self.tokenizer = Tokenizer.from_file(path)
         self.keep_space = keep_space
         self.joint = self.tokenizer.token_to_id(_JOINT)
+        self.cache = CACHE
+        self._forget()
+
+    def _forget(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1, dtype=np.int64)
@@ -67,7 +73,7 @@ class PieceCodec:
         """Ids, ends and the numbers of ``pieces`` among them; what fits is remembered."""
         known = self.known
         new = [p for p in pieces if p not in known]
-        learn = [p for p in new if len(p) <= LONGEST][: max(0, CACHE - len(known))]
+        learn = [p for p in new if len(p) <= LONGEST][: max(0, self.cache - len(known))]
         if learn:
             ids, ends = self._encode_pieces(learn)
             base = self.ends[-1]
@@ -89,7 +95,7 @@ class PieceCodec:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts together, and the n + 1 bounds of each text's ids. Nulls count as empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        whole = np.asarray(pc.match_substring_regex(texts, _WHOLE))
+        whole = np.asarray(pc.match_substring_regex(texts, self.whole))
         easy = pc.if_else(pa.array(~whole), texts, pa.scalar("", pa.large_string()))
         cut = self._cut(easy)
         bounds = np.asarray(cut.offsets) - cut.offsets[0].as_py()
