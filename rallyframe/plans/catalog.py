@@ -146,7 +146,7 @@ def padded_ids(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", scalar.padded_id(F.col("o_orderkey")).alias("game_id"))
 
 
-@_query("SELECT s.id AS season, CASE WHEN s.id >= 2013 THEN 221.5 WHEN s.id >= 2004 THEN 205.2 ELSE 197.5 END AS arc FROM (SELECT unnest(range(1990, 2027)) AS id) s")
+@_query("SELECT s.id AS season, CAST(CASE WHEN s.id >= 2013 THEN 221.5 WHEN s.id >= 2004 THEN 205.2 ELSE 197.5 END AS DOUBLE) AS arc FROM (SELECT unnest(range(1990, 2027)) AS id) s")
 def era_lookup(spark, d):
     return spark.range(1990, 2027).select(F.col("id").alias("season"), scalar.era_value(F.col("id"), 1).cast("double").alias("arc"))
 
