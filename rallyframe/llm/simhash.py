@@ -26,7 +26,8 @@ from rallyframe.llm.scratch import write_scratch
 WORDS = 4
 SEED = 42
 MAX_BITS = 4
-#: First bit and width of each segment; floor(MAX_BITS / len(SEGMENTS)) must be at most 1.
+#: First bit and width of each segment. Fingerprints up to 2 * len(SEGMENTS) - 1 bits apart have
+#: one in which they differ in at most one bit.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -71,8 +72,10 @@ def _segment_bits(expr: str, start: int, width: int) -> str:
     return f"(shiftrightunsigned({expr}, {start}) & {(1 << width) - 1}L)"
 
 
-def near_pairs(classes: DataFrame) -> DataFrame:
-    """a, b: fingerprints of ``classes`` (distinct, column fp) that differ in 1 to 4 bits."""
+def near_pairs(classes: DataFrame, bits_apart: int = MAX_BITS) -> DataFrame:
+    """a, b: fingerprints of ``classes`` (distinct, column fp) that differ in 1 to ``bits_apart`` bits."""
+    if bits_apart >= 2 * len(SEGMENTS):
+        raise ValueError(f"{len(SEGMENTS)} segments find pairs up to {2 * len(SEGMENTS) - 1} bits apart")
     variants = []
     for n, (start, width) in enumerate(SEGMENTS):
         bits = _segment_bits("fp", start, width)
@@ -90,11 +93,11 @@ def near_pairs(classes: DataFrame) -> DataFrame:
         bits = _segment_bits("(a ^ b)", start, width)
         rule += f" when {bits} = 0 then {start} when bit_count({bits}) = 1 then {start} + bit_count({bits} - 1)"
     rule += " end"
-    found = a.join(b, ["wiped", "rest"]).where(F.expr(f"a < b and bit_count(a ^ b) <= {MAX_BITS} and wiped = {rule}"))
+    found = a.join(b, ["wiped", "rest"]).where(F.expr(f"a < b and bit_count(a ^ b) <= {bits_apart} and wiped = {rule}"))
     return found.select("a", "b")
 
 
-def near_duplicates(keyed: DataFrame, words: int = WORDS) -> DataFrame:
+def near_duplicates(keyed: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS) -> DataFrame:
     """The columns of ``keyed`` but text, with fp, group and component, for rows of (key, text, ...).
 
     ``component`` is the least key of the near-duplicate group, ``group`` its least fingerprint.
@@ -104,7 +107,7 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS) -> DataFrame:
     """
     prints = write_scratch(fingerprinted(keyed, words), "fingerprints")
     classes = write_scratch(prints.groupBy("fp").agg(F.min("key").alias("first")), "classes")
-    stars = components(near_pairs(classes.select("fp")))
+    stars = components(near_pairs(classes.select("fp"), bits_apart))
     joined = classes.join(stars, classes["fp"] == stars["node"], "left").select(
         "fp", "first", F.coalesce("component", "fp").alias("group")
     )
@@ -112,14 +115,14 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS) -> DataFrame:
     return prints.join(joined.join(least, "group").select("fp", "group", "component"), "fp")
 
 
-def deduplicated(docs: DataFrame, words: int = WORDS) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS) -> DataFrame:
     """One row of each near-duplicate group of ``docs``, with the columns of ``docs``.
 
     It is the row with the least doc_id, then the least hash of its text; a null doc_id comes
     last, and of rows that repeat it one stays.
     """
     h = F.xxhash64(F.coalesce("text", F.lit("")))
-    found = near_duplicates(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")), words)
+    found = near_duplicates(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")), words, bits_apart)
     first = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull().alias("no"), "key", "h")).alias("first"))
     keys = ["__rf_no", "__rf_id", "__rf_h"]
     winners = first.select(F.col("first.no").alias(keys[0]), F.coalesce("first.key", F.lit(0)).alias(keys[1]), F.col("first.h").alias(keys[2]))

@@ -362,7 +362,8 @@ def slow_print(text, words=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_near_pairs_are_all_found(spark):
+@pytest.mark.parametrize("bits", [4, 5])
+def test_near_pairs_are_all_found(spark, bits):
     rnd = random.Random(6)
     prints = [rnd.getrandbits(64) for _ in range(60)] + [0, (1 << 64) - 1]
     for p in prints[:]:
@@ -373,8 +374,8 @@ def test_near_pairs_are_all_found(spark):
             prints.append(q)
     prints = sorted(set(prints))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    got = simhash.near_pairs(spark.createDataFrame([(signed(p),) for p in prints], "fp long")).collect()
-    want = {(min(signed(a), signed(b)), max(signed(a), signed(b))) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 4}
+    got = simhash.near_pairs(spark.createDataFrame([(signed(p),) for p in prints], "fp long"), bits).collect()
+    want = {(min(signed(a), signed(b)), max(signed(a), signed(b))) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= bits}
     assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
 
 
