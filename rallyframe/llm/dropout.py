@@ -110,6 +110,7 @@ class DropoutCodec(PieceCodec):
 
     #: Two spaces may make a piece of their own.
     whole = r"  |\x00"
+    stops = False
 
     def __init__(self, vocabulary: Vocabulary, dropout: float, key: int, cache: int = CACHE):
         self.vocabulary, self.dropout, self.key, self.cache = vocabulary, dropout, key, cache

@@ -9,8 +9,10 @@ left gets the exact cosine of the unrotated vectors. Any rotation gives the same
 stops earlier.
 
 Rows that repeat a vector are one member with a count. A tile pair is a task's unit of work: a
-label of any size is many tiles, dealt over all tasks. Links don't leave as a list of all pairs of
-repeated rows, only as pairs of distinct vectors and counts.
+label of any size is many tiles, dealt over all tasks. All links of a tile pair are looked at
+where they are found, but leave it as one row for each vector that has any: how many rows it is
+linked to, and the least vector of its component within the pair. That is all that counts and
+components need, and it doesn't grow with the square of a group.
 """
 
 from __future__ import annotations
@@ -63,15 +65,17 @@ def tiles(found: DataFrame, turned: dict[int, np.ndarray], size: int = TILE) ->
     A label's vectors are sorted by leading coordinate in range-partitioned tasks, so a tile never
     holds more than ``size`` rows and a label may span any number of tasks.
     """
-    schema = "label long, dim int, tile string, low array<double>, high array<double>, ids array<long>, vectors binary"
+    schema = "label long, dim int, tile string, low array<double>, high array<double>, ids array<long>, copies array<long>, vectors binary"
 
     def lead(batches):
         for batch in batches:
             vectors = batch.column(1).to_pylist()
             first = [float(_unit(np.array(v)) @ turned[len(v)][:, 0]) for v in vectors]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first)], names=["label", "vector", "vec_id", "lead"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first)], names=["label", "vector", "vec_id", "copies", "lead"])
 
-    keyed = found.select(F.col("label").cast("long").alias("label"), "vector", "vec_id").mapInArrow(lead, "label long, vector array<double>, vec_id long, lead double")
+    keyed = found.select(F.col("label").cast("long").alias("label"), "vector", "vec_id", "copies").mapInArrow(
+        lead, "label long, vector array<double>, vec_id long, copies long, lead double"
+    )
     keyed = write_scratch(keyed.withColumn("dim", F.size("vector")), "led")
     order = ["label", "dim", "lead", "vec_id"]
     ranged = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -81,7 +85,7 @@ def tiles(found: DataFrame, turned: dict[int, np.ndarray], size: int = TILE) ->
 
         part, n = TaskContext.get().partitionId(), 0
 
-        def row(key, ids, vectors):
+        def row(key, ids, copies, vectors):
             x = np.array(vectors)
             y = _units(x) @ turned[key[1]][:, :LEADING]
             return pa.RecordBatch.from_arrays(
@@ -92,24 +96,26 @@ def tiles(found: DataFrame, turned: dict[int, np.ndarray], size: int = TILE) ->
                     pa.array([y.min(axis=0).tolist()]),
                     pa.array([y.max(axis=0).tolist()]),
                     pa.array([ids], pa.list_(pa.int64())),
+                    pa.array([copies], pa.list_(pa.int64())),
                     pa.array([x.astype("<f8").tobytes()], pa.binary()),
                 ],
-                names=["label", "dim", "tile", "low", "high", "ids", "vectors"],
+                names=["label", "dim", "tile", "low", "high", "ids", "copies", "vectors"],
             )
 
-        key, ids, vectors = None, [], []
+        key, ids, copies, vectors = None, [], [], []
         for batch in batches:
-            for label, dim, vec_id, vector in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for label, dim, vec_id, number, vector in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 if ids and ((label, dim) != key or len(ids) == size):
-                    yield row(key, ids, vectors)
-                    n, ids, vectors = n + 1, [], []
+                    yield row(key, ids, copies, vectors)
+                    n, ids, copies, vectors = n + 1, [], [], []
                 key = (label, dim)
                 ids.append(vec_id)
+                copies.append(number)
                 vectors.append(vector)
         if ids:
-            yield row(key, ids, vectors)
+            yield row(key, ids, copies, vectors)
 
-    return ranged.select("label", "dim", "vec_id", "vector").mapInArrow(cut, schema)
+    return ranged.select("label", "dim", "vec_id", "copies", "vector").mapInArrow(cut, schema)
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -146,8 +152,28 @@ def close_pairs(x: np.ndarray, y: np.ndarray, turned: np.ndarray, threshold: flo
     return i[on], j[on]
 
 
+def summed_up(ids: np.ndarray, copies: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of ``ids`` that a link (positions a, b) touches: it, its least connected id, linked copies."""
+    linked = np.bincount(a, weights=copies[b], minlength=len(ids)) + np.bincount(b, weights=copies[a], minlength=len(ids))
+    least = ids.copy()
+    while True:
+        low = np.minimum(least[a], least[b])
+        after = least.copy()
+        np.minimum.at(after, a, low)
+        np.minimum.at(after, b, low)
+        if (after == least).all():
+            break
+        least = after
+    some = np.flatnonzero(linked)
+    return ids[some], least[some], linked[some].astype(np.int64)
+
+
 def near_vectors(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """a, b: vec_ids of different members of one label with a cosine of ``threshold`` or more; a < b."""
+    """node, leader, n: links of members of one label with a cosine of ``threshold`` or more.
+
+    A row for each member and tile pair in which it has links: the rows it is linked to there, and
+    the least vec_id it is connected with there.
+    """
     spark = found.sparkSession
     picked = found.select("vector", F.size("vector").alias("dim")).orderBy(F.xxhash64("vector")).limit(SAMPLE).collect()
     by_dim: dict[int, list] = {r["dim"]: [] for r in found.select(F.size("vector").alias("dim")).distinct().collect()}
@@ -166,21 +192,26 @@ def near_vectors(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         lambda s, k: s + F.pow(F.greatest(F.get("al", k) - F.get("bh", k), F.get("bl", k) - F.get("ah", k), F.lit(0.0)), F.lit(2.0)),
     )
     pairs = a.join(b, ["label", "dim"]).where((F.col("t") <= F.col("s")) & (gap <= reach * reach)).select("t", "s")
-    left = cut.select(F.col("tile").alias("t"), "dim", F.col("ids").alias("i"), F.col("vectors").alias("x"))
-    right = cut.select(F.col("tile").alias("s"), F.col("ids").alias("j"), F.col("vectors").alias("y"))
+    left = cut.select(F.col("tile").alias("t"), "dim", F.col("ids").alias("i"), F.col("copies").alias("m"), F.col("vectors").alias("x"))
+    right = cut.select(F.col("tile").alias("s"), F.col("ids").alias("j"), F.col("copies").alias("n"), F.col("vectors").alias("y"))
     work = pairs.join(left, "t").join(right, "s")
 
     def compare(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 x, y = (np.frombuffer(row[c], dtype="<f8").reshape(-1, row["dim"]) for c in "xy")
-                m, n = close_pairs(x, y, turned[row["dim"]], threshold)
-                a, b = np.array(row["i"])[m], np.array(row["j"])[n]
-                keep = a < b if row["t"] == row["s"] else a != b
-                a, b = a[keep], b[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+                same = row["t"] == row["s"]
+                p, q = close_pairs(x, y, turned[row["dim"]], threshold)
+                if same:
+                    p, q = p[p < q], q[p < q]
+                    ids, copies = np.array(row["i"]), np.array(row["m"])
+                else:
+                    q = q + len(row["i"])
+                    ids, copies = np.array(row["i"] + row["j"]), np.array(row["m"] + row["n"])
+                cols = summed_up(ids, copies, p, q)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["node", "leader", "n"])
 
-    return work.select("t", "s", "dim", "i", "j", "x", "y").mapInArrow(compare, "a long, b long")
+    return work.select("t", "s", "dim", "i", "j", "m", "n", "x", "y").mapInArrow(compare, "node long, leader long, n long")
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -193,10 +224,8 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """
     found = write_scratch(members(rows), "members")
     links = write_scratch(near_vectors(found, threshold), "vector-links")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    sizes = found.select(F.col("vec_id").alias("b"), F.col("copies").alias("n"))
-    linked = both.join(sizes, "b").groupBy(F.col("a").alias("first")).agg(F.sum("n").alias("linked"))
-    stars = components(links).withColumnRenamed("node", "first")
+    linked = links.groupBy(F.col("node").alias("first")).agg(F.sum("n").alias("linked"))
+    stars = components(links.select(F.col("node").alias("a"), F.col("leader").alias("b"))).withColumnRenamed("node", "first")
     classes = (
         found.withColumnRenamed("vec_id", "first")
         .join(linked, "first", "left")
