@@ -49,12 +49,12 @@ def members(rows: DataFrame) -> DataFrame:
     """label, dim, vector, vec_id (the least), copies: distinct usable vectors of each label.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without a
-    label, are left out.
+    label or a vec_id, are left out.
     """
     v = F.col("embedding").cast("array<double>")
     big = F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(fine & (big > 0))
+    usable = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()).where(fine & (big > 0))
     # 0.0 and -0.0 compare alike in grouping.
     return usable.groupBy("label", v.alias("vector")).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
 
@@ -219,8 +219,9 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     n_links counts the other vectors linked directly, repeats included; component_id is the least
     vec_id reachable, a row's own without links. Unusable vectors (see ``members``) link with
-    nothing. vec_id must be a distinct, non-null long; other columns are ignored. An empty table
-    gives no rows.
+    nothing. A row without a vec_id has no links, component_id null and kept false. vec_id is meant
+    as a key: where different vectors share one, each row is still returned, and these vectors'
+    links may be counted together. Other columns are ignored. An empty table gives no rows.
     """
     found = write_scratch(members(rows), "members")
     links = write_scratch(near_vectors(found, threshold), "vector-links")
@@ -239,9 +240,11 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     )
     own = rows.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
     out = own.join(classes, ["label", "vector"], "left")
-    component = F.coalesce("component_id", "vec_id")
+    named = F.col("vec_id").isNotNull()
+    component = F.when(named, F.coalesce("component_id", "vec_id"))
+    links_of = F.when(named, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long")
     return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (component == F.col("vec_id")).alias("kept")
+        "vec_id", links_of.alias("n_links"), component.alias("component_id"), F.coalesce(component == F.col("vec_id"), F.lit(False)).alias("kept")
     )
 
 

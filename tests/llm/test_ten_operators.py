@@ -278,6 +278,15 @@ def test_embedding_links_match_brute_force(spark):
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_embeddings_without_or_with_repeated_vec_ids(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 1), (None, [0.0, 1.0], None)]
+    rows += [(5, [1.0, 0.01], 1), (6, [1.0, 0.02], 1), (7, [0.0, -1.0], 1), (7, [1.0, 0.0], 1), (8, [1.0, 0.0], 1)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == len(rows)
+    assert all((r.n_links, r.component_id, r.kept) == (0, None, False) for r in got if r.vec_id is None)
+    assert {r.component_id for r in got if r.vec_id is not None} == {5}  # 7 is one node here, by either of its vectors
+
+
 # 6 ---------------------------------------------------------------------------------------------
 
 
