@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rallyframe.llm import packing, secrets, simhash, toxicity
+from rallyframe.llm import packing, secrets, shingles, toxicity
 from rallyframe.llm.scratch import write_scratch
 
 
@@ -21,11 +21,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least doc_id of each group of near-duplicates.
 
-    Shingles are of five words here, and fingerprints link at up to five bits, the most that three
-    segments find: near-duplicates of a similarity of 0.8 lie about ten bits apart on average, so
-    the widest radius loses the fewest of them.
+    Documents are linked whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
+    Fingerprints can't tell that: such pairs lie about ten bits apart on average, so the similarity
+    itself is joined on.
     """
-    return simhash.deduplicated(docs, words=5, bits_apart=5)
+    return shingles.deduplicated(docs, words=5, like=0.8)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,14 +115,15 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS, bits_apart: int = MAX_
     return prints.join(joined.join(least, "group").select("fp", "group", "component"), "fp")
 
 
-def deduplicated(docs: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS) -> DataFrame:
-    """One row of each near-duplicate group of ``docs``, with the columns of ``docs``.
+def one_of_each(docs: DataFrame, grouped) -> DataFrame:
+    """One row of each group of ``docs``, with the columns of ``docs``.
 
-    It is the row with the least doc_id, then the least hash of its text; a null doc_id comes
-    last, and of rows that repeat it one stays.
+    ``grouped`` takes (key, text, h) and returns them without text, with the column group. The row
+    is the one with the least doc_id, then the least hash of its text; a null doc_id comes last,
+    and of rows that repeat it one stays.
     """
     h = F.xxhash64(F.coalesce("text", F.lit("")))
-    found = near_duplicates(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")), words, bits_apart)
+    found = grouped(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")))
     first = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull().alias("no"), "key", "h")).alias("first"))
     keys = ["__rf_no", "__rf_id", "__rf_h"]
     winners = first.select(F.col("first.no").alias(keys[0]), F.coalesce("first.key", F.lit(0)).alias(keys[1]), F.col("first.h").alias(keys[2]))
@@ -132,6 +133,11 @@ def deduplicated(docs: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS
     return kept.withColumn("__rf_nth", nth).where("__rf_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
+def deduplicated(docs: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS) -> DataFrame:
+    """One row of each near-duplicate group of ``docs``, as ``one_of_each`` takes it."""
+    return one_of_each(docs, lambda keyed: near_duplicates(keyed, words, bits_apart))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op8: fingerprint and near-duplicate component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
