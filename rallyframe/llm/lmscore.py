@@ -5,32 +5,34 @@ models over the ids of one public tokenizer, so they share one vocabulary and on
 token's loss under each is its negative log-probability after the token before it; the difference,
 averaged over a document, says how much better the target explains it than the corpus at large.
 
-Counts cover every token of every document. Single ids are counted exactly; pairs of ids are
-hashed into a fixed number of cells, which bounds the model (and its broadcast) whatever the
-input. Each task adds up its own cells and sends those that aren't zero; Spark sums them by cell.
-The background's counts are scaled to the target's size, so that the two are smoothed alike.
+Counts cover every token of every document and are exact, for single ids and for pairs of ids.
+Texts are encoded once, into blocks of documents. Each block's distinct pairs are counted, the
+counts are summed by pair into a table that grows with the corpus, and every block gets back the
+rows of that table for its own pairs by a join. Only counts of single ids are broadcast; their
+number is that of the vocabulary. The background's counts are scaled to the target's size, so
+that the two are smoothed alike.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rallyframe.llm.scratch import write_scratch
 from rallyframe.llm.words import PieceCodec, slices
 
-#: Cells of the pair counts, as a power of two.
-CELL_BITS = 20
+#: Tokens of a block, unless one slice of texts has more.
+BLOCK = 2_000_000
 #: Weight of the single-id distribution in a pair's probability, in tokens.
 PRIOR = 10.0
 
 
-def cells(before: np.ndarray, ids: np.ndarray, bits: int = CELL_BITS) -> np.ndarray:
-    """The cell of each (id before, id)."""
-    mixed = before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ ids.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    mixed *= np.uint64(0xFF51AFD7ED558CCD)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+def cells(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """A number for each (id before, id), its own for each pair."""
+    return before.astype(np.int64) << 32 | ids.astype(np.int64)
 
 
 def _before(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
@@ -41,99 +43,146 @@ def _before(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-def counted(docs: DataFrame, tokenizer: str, vocabulary: int, bits: int = CELL_BITS) -> DataFrame:
-    """kind, cell, background, target: token counts of (text, target boolean).
+def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """block, doc_id, target, ids of each (doc_id, text, target boolean)."""
 
-    kind 0 counts ids, 1 ids as the one before (``vocabulary`` stands for a text's start), 2 pairs.
-    """
-    sizes = (vocabulary, vocabulary + 1, 1 << bits)
-
-    def count(batches):
+    def encode(batches):
         codec = PieceCodec(tokenizer, keep_space=True)
-        sums = [np.zeros((2, n), dtype=np.int64) for n in sizes]
+        block, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for piece in slices(batch, 0):
-                ids, ends = codec.encode(piece.column(0))
-                own = np.repeat(np.asarray(piece.column(1).fill_null(False)), np.diff(ends))
-                before = _before(ids, ends, vocabulary)
-                for total, at in zip(sums, (ids, before, cells(before, ids, bits))):
-                    total[0] += np.bincount(at, minlength=total.shape[1])
-                    total[1] += np.bincount(at[own], minlength=total.shape[1])
-        for kind, total in enumerate(sums):
-            at = np.flatnonzero(total[0])
-            for i in range(0, len(at), 100_000):
-                some = at[i : i + 100_000]
+            for piece in slices(batch, 1):
+                ids, ends = codec.encode(piece.column(1))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                number = pa.array(np.full(len(piece), block, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([number, piece.column(0), piece.column(2), lists], names=["block", "doc_id", "target", "ids"])
+                filled += len(ids)
+                if filled >= BLOCK:
+                    block, filled = block + 1, 0
+
+    return docs.select("doc_id", "text", "target").mapInArrow(encode, "block long, doc_id long, target boolean, ids array<int>")
+
+
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    """All ids together, and the bounds of each row's."""
+    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), ends
+
+
+def counted(texts: DataFrame, vocabulary: int) -> DataFrame:
+    """block, pair, background, target: counts of each block's pairs; a block's part in a task each."""
+
+    def count(batches):
+        open_block, pairs, sums = None, np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
+
+        def rows():
+            for i in range(0, len(pairs), 100_000):
+                some = slice(i, i + 100_000)
+                number = pa.array(np.full(len(pairs[some]), open_block, dtype=np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(some), kind, dtype=np.int32)), pa.array(some.astype(np.int32)), pa.array(total[0, some]), pa.array(total[1, some])],
-                    names=["kind", "cell", "background", "target"],
+                    [number, pa.array(pairs[some]), pa.array(sums[0, some]), pa.array(sums[1, some])], names=["block", "pair", "background", "target"]
                 )
 
-    rows = docs.select("text", "target").mapInArrow(count, "kind int, cell int, background long, target long")
-    return rows.groupBy("kind", "cell").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            starts = np.flatnonzero(np.diff(numbers, prepend=-1))
+            for a, b in zip(starts, [*starts[1:], len(numbers)]):
+                if numbers[a] != open_block:
+                    yield from rows()
+                    open_block, pairs, sums = int(numbers[a]), np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
+                part = batch.slice(a, b - a)
+                ids, ends = _flat(part.column(2))
+                own = np.repeat(np.asarray(part.column(1)), np.diff(ends))
+                new, at, times = np.unique(cells(_before(ids, ends, vocabulary), ids), return_inverse=True, return_counts=True)
+                both, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
+                total = np.zeros((2, len(both)), np.int64)
+                total[:, place[: len(pairs)]] += sums
+                total[0, place[len(pairs) :]] += times
+                total[1, place[len(pairs) :]] += np.bincount(at[own], minlength=len(new))
+                pairs, sums = both, total
+        yield from rows()
+
+    return texts.select("block", "target", "ids").mapInArrow(count, "block long, pair long, background long, target long")
 
 
 class Pair:
-    """The two models: counts of ids, of ids before, and of pairs, as rows background and target."""
+    """The two models but for their pairs: counts of ids and of ids before, as rows background and target."""
 
-    def __init__(self, counts: pa.Table, vocabulary: int, bits: int = CELL_BITS):
-        self.vocabulary, self.bits = vocabulary, bits
-        sums = [np.zeros((2, n)) for n in (vocabulary, vocabulary + 1, 1 << bits)]
+    def __init__(self, counts: pa.Table, vocabulary: int):
+        """counts: of kind 0 those of ids, of kind 1 those of ids before (``vocabulary`` at a text's start)."""
+        self.vocabulary = vocabulary
+        sums = [np.zeros((2, n)) for n in (vocabulary, vocabulary + 1)]
         kind, cell = counts["kind"].to_numpy(), counts["cell"].to_numpy()
         for k, total in enumerate(sums):
             on = kind == k
             total[:, cell[on]] = counts["background"].to_numpy()[on], counts["target"].to_numpy()[on]
         n_all, n_target = sums[0].sum(axis=1)
-        scale = np.array([[n_target / n_all if n_target else 1.0], [1.0]])
-        sums = [s * scale for s in sums]
-        if not n_target:
-            sums = [s[[0, 0]] for s in sums]
-        self.single = ((sums[0] + 1) / (sums[0].sum(axis=1, keepdims=True) + vocabulary)).astype(np.float32)
-        self.before, self.pairs = sums[1].astype(np.float32), sums[2].astype(np.float32)
-
-    def losses(self, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Loss of each token (columns) under the background and the target (rows)."""
+        self.scale = np.array([[n_target / n_all if n_target else 1.0], [1.0]])
+        #: Without a target the two models are the same.
+        self.rows = [0, 1] if n_target else [0, 0]
+        sums = [(s * self.scale)[self.rows] for s in sums]
+        self.single = (sums[0] + 1) / (sums[0].sum(axis=1, keepdims=True) + vocabulary)
+        self.before = sums[1]
+
+    def losses(self, ids: np.ndarray, ends: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Loss of each token (columns) under the background and the target (rows).
+
+        pairs, counts: the pairs of these ids, sorted, and how often the corpus has each (rows).
+        """
         before = _before(ids, ends, self.vocabulary)
-        pair = self.pairs[:, cells(before, ids, self.bits)].astype(np.float64)
-        return -np.log((pair + PRIOR * self.single[:, ids]) / (np.maximum(self.before[:, before], pair) + PRIOR))
+        known = (counts * self.scale)[self.rows]
+        seen = known[:, np.searchsorted(pairs, cells(before, ids))]
+        return -np.log((seen + PRIOR * self.single[:, ids]) / (self.before[:, before] + PRIOR))
 
 
-def models(docs: DataFrame, tokenizer: str, bits: int = CELL_BITS) -> Pair:
-    """The models of (text, target)."""
-    vocabulary = PieceCodec(tokenizer, keep_space=True).tokenizer.get_vocab_size()
-    return Pair(counted(docs, tokenizer, vocabulary, bits).toArrow(), vocabulary, bits)  # at most 2 * vocabulary + 2 ** bits rows
+def models(table: DataFrame, vocabulary: int) -> Pair:
+    """The models of a table of pairs, background and target."""
+    kinds = F.array(
+        F.struct(F.lit(0).alias("kind"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("cell")),
+        F.struct(F.lit(1).alias("kind"), F.shiftright("pair", 32).alias("cell")),
+    )
+    each = table.select(F.explode(kinds).alias("of"), "background", "target").groupBy("of.kind", "of.cell")
+    sums = each.agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+    return Pair(sums.toArrow(), vocabulary)  # at most 2 * vocabulary + 1 rows
 
 
-def scored(docs: DataFrame, pair: Pair, tokenizer: str) -> DataFrame:
-    """doc_id, n_tokens, background_loss, target_loss, score of each (doc_id, text).
+def scored(texts: DataFrame, known: DataFrame, pair: Pair) -> DataFrame:
+    """doc_id, n_tokens, background_loss, target_loss, score of each (block, doc_id, ids).
 
+    ``known`` has block, pair, background, target: the corpus's counts of each block's pairs.
     Losses are means over a document's tokens, in nats; score is background_loss - target_loss,
     higher the more the document is like the target. Null and empty texts have losses and score
     0. Repeated rows are scored each.
     """
-    known = docs.sparkSession.sparkContext.broadcast(pair)
-
-    def score(batches):
-        codec = PieceCodec(tokenizer, keep_space=True)
-        for batch in batches:
-            for piece in slices(batch, 1):
-                ids, ends = codec.encode(piece.column(1))
-                n = np.diff(ends)
-                loss = known.value.losses(ids, ends)
-                sums = np.concatenate([np.zeros((2, 1)), np.cumsum(loss, axis=1)], axis=1)
-                mean = (sums[:, ends[1:]] - sums[:, ends[:-1]]) / np.maximum(n, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(n.astype(np.int64)), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])],
-                    names=["doc_id", "n_tokens", "background_loss", "target_loss", "score"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, n_tokens long, background_loss double, target_loss double, score double")
+    model = texts.sparkSession.sparkContext.broadcast(pair)
+
+    def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
+        ids, ends = _flat(docs["ids"].combine_chunks())
+        n = np.diff(ends)
+        pairs, first = np.unique(counts["pair"].to_numpy(), return_index=True)
+        times = np.stack([counts["background"].to_numpy()[first], counts["target"].to_numpy()[first]])
+        loss = model.value.losses(ids, ends, pairs, times)
+        sums = np.concatenate([np.zeros((2, 1)), np.cumsum(loss, axis=1)], axis=1)
+        mean = (sums[:, ends[1:]] - sums[:, ends[:-1]]) / np.maximum(n, 1)
+        return pa.table(
+            [docs["doc_id"], pa.array(n.astype(np.int64)), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])],
+            names=["doc_id", "n_tokens", "background_loss", "target_loss", "score"],
+        )
+
+    kinds = "doc_id long, n_tokens long, background_loss double, target_loss double, score double"
+    both = texts.select("block", "doc_id", "ids").groupBy("block").cogroup(known.select("block", "pair", "background", "target").groupBy("block"))
+    return both.applyInArrow(score, kinds)
 
 
 def cross_entropy_difference(docs: DataFrame, good: DataFrame, tokenizer: str) -> DataFrame:
     """Scores of all ``docs`` against the target documents, those whose doc_id is in ``good``."""
     wanted = good.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("target", F.lit(True))
-    tagged = docs.select("doc_id", "text").join(wanted, "doc_id", "left").select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    return scored(docs, models(tagged, tokenizer), tokenizer)
+    tagged = docs.select("doc_id", "text").join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    vocabulary = PieceCodec(tokenizer, keep_space=True).tokenizer.get_vocab_size()
+    texts = write_scratch(encoded(tagged, tokenizer), "ids")
+    parts = write_scratch(counted(texts, vocabulary), "block-pairs")
+    table = write_scratch(parts.groupBy("pair").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "pairs")
+    known = parts.select("block", "pair").join(table, "pair")
+    return scored(texts, known, models(table, vocabulary))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
