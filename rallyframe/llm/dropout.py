@@ -2,13 +2,15 @@
 
 Pieces of a merge-type (BPE) model are built from characters: an agenda holds the possible merges
 of neighbours, best score first, leftmost among equals. Here each merge that comes up is skipped
-if a keyed hash of the seed, the word, the place and the piece falls below ``DROPOUT``; a skipped
-merge comes back only if a neighbour changes. So one text has many segmentations, the same seed
-always gives the same one, and every one decodes to the text.
-
-No piece of such a model holds a space after another character, so a text is cut before its spaces
-and each distinct word of a batch is segmented once for each of ``VARIANTS`` keys; a document's
-doc_id chooses its key.
+if a keyed hash of the seed, the document, the word's position in its text, the place and the piece
+falls below ``DROPOUT``; a skipped merge comes back only if a neighbour changes. So every occurrence
+of a word is cut for itself, the same seed always gives the same ids, and all decode to the text.
+
+No piece of such a model holds a space after another character, so a text is cut before its spaces.
+What is remembered of a word is no segmentation but the merges that can come up in it: a tree
+with a node for each, which goes on by whether that merge is skipped, and ids at its leaves. All
+occurrences in a batch walk these trees together, by array arithmetic; a branch is worked out when
+one first takes it.
 """
 
 from __future__ import annotations
@@ -22,11 +24,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
-from rallyframe.llm.words import CACHE, PieceCodec, slices
+from rallyframe.llm.words import CACHE, LONGEST, slices
 
 DROPOUT = 0.1
 SEED = 1
-VARIANTS = 4
 _SPACE = "▁"
 _RUN = re.compile(r" +[^ ]*|[^ ]+")
 
@@ -50,13 +51,16 @@ class Vocabulary:
                 self.rank[piece] = (-model.get_score(i), i)
                 self.bytes_of.append(piece.replace(_SPACE, " ").encode())
 
-    def segment(self, word: str, dropout: float, key: int) -> list[int]:
-        """Ids of one word, spaces at its front included."""
+    def segment(self, word: str, skips: list[bool] | None = None, skipped=None) -> tuple[tuple[int, int] | None, list[int]]:
+        """One word, spaces at its front included, as far as ``skips`` tells which merges are skipped, in order.
+
+        Returns the next merge to decide, (place, piece), or None and the ids. Without ``skips``
+        it is ``skipped`` that tells of each (place, piece), or none is skipped.
+        """
         # A literal low block is no space: it is spelt in bytes, as any unknown character is.
         text = ["\0" if c == _SPACE else _SPACE if c == " " else c for c in word]
         n = len(text)
-        own = xxhash.xxh64_intdigest(word.encode(), key) if dropout else 0
-        limit = int(dropout * (1 << 32))
+        told = 0
         end = list(range(1, n + 1))  # where the symbol that begins here ends; 0 once it is merged away
         back = list(range(-1, n - 1))
         piece = text[:]
@@ -77,11 +81,14 @@ class Vocabulary:
             b = end[a]
             if b >= n or b >= stop or not end[b] or end[b] != stop:
                 continue
-            if limit:
-                h = (own ^ (a * 0x9E3779B97F4A7C15) ^ (number * 0xC2B2AE3D27D4EB4F)) & 0xFFFFFFFFFFFFFFFF
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
-                if h >> 32 < limit:
+            if skips is not None:
+                if told == len(skips):
+                    return (a, number), []
+                told += 1
+                if skips[told - 1]:
                     continue
+            elif skipped and skipped(a, number):
+                continue
             piece[a] += piece[b]
             end[a], end[b] = stop, 0
             if stop < n:
@@ -98,54 +105,139 @@ class Vocabulary:
             else:
                 ids += [self.byte_id[x] for x in (_SPACE if piece[i] == "\0" and word[i] == _SPACE else piece[i]).encode()]
             i = end[i]
-        return ids
+        return None, ids
 
     def decode(self, ids) -> str:
         """The text of ids, without the space that encoding puts in front."""
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode()
 
 
-class DropoutCodec(PieceCodec):
-    """Encodes arrays of texts under one key."""
-
-    #: Two spaces may make a piece of their own.
-    whole = r"  |\x00"
-    stops = False
+def _salt(place: int, piece: int) -> int:
+    return (place * 0x9E3779B97F4A7C15 ^ piece * 0xC2B2AE3D27D4EB4F) & 0xFFFFFFFFFFFFFFFF
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float, key: int, cache: int = CACHE):
-        self.vocabulary, self.dropout, self.key, self.cache = vocabulary, dropout, key, cache
-        self.keep_space = True
-        self._forget()
 
-    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = [self.vocabulary.segment(p, self.dropout, self.key) for p in pieces]
-        ends = np.cumsum([len(p) for p in parts])
-        return np.fromiter((i for p in parts for i in p), dtype=np.uint32, count=ends[-1]), ends
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """64-bit hashes, mixed (the last steps of MurmurHash3)."""
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ (h >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ (h >> np.uint64(33))
 
-    def encode_whole(self, text: str) -> np.ndarray:
-        return np.array([i for w in _RUN.findall(text) for i in self.vocabulary.segment(w, self.dropout, self.key)], dtype=np.uint32)
 
+class DropoutCodec:
+    """Encodes arrays of texts under one key.
 
-def variant_of(doc_id, seed: int = SEED, variants: int = VARIANTS) -> int:
-    """The number of the key that a document is segmented under."""
-    return xxhash.xxh64_intdigest(repr(doc_id).encode(), seed) % variants
-
-
-def encode_array(codecs: list[DropoutCodec], doc_ids: list, texts: pa.Array, seed: int = SEED) -> list[np.ndarray]:
-    """Ids of each text. Nulls and empty texts have none."""
-    which = np.array([variant_of(d, seed, len(codecs)) for d in doc_ids])
-    spaced = [None if not t else " " + t for t in texts.to_pylist()]
-    out: list = [None] * len(spaced)
-    for v, codec in enumerate(codecs):
-        at = np.flatnonzero(which == v)
-        if len(at):
-            ids, ends = codec.encode(pa.array([spaced[i] for i in at], pa.large_string()))
-            for i, a, b in zip(at, ends[:-1], ends[1:]):
-                out[i] = ids[a:b]
-    return out
+    Of a node: ``salt`` is the hash of its merge, ``child`` the nodes that follow if it is merged or
+    skipped, -1 if not worked out yet. A leaf has ids from ``begins``, ``lengths`` many, and else -1.
+    """
 
+    def __init__(self, vocabulary: Vocabulary, dropout: float, key: int, cache: int = CACHE):
+        self.vocabulary, self.dropout, self.key, self.cache = vocabulary, dropout, key, cache
+        self._forget()
 
-def encoded(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+    def _forget(self) -> None:
+        self.roots: dict[str, int] = {}
+        self.size = self.filled = 0
+        self.salt = np.zeros(1 << 16, dtype=np.uint64)
+        self.child = np.full((1 << 16, 2), -1, dtype=np.int64)
+        self.begins = np.zeros(1 << 16, dtype=np.int64)
+        self.lengths = np.zeros(1 << 16, dtype=np.int64)
+        self.ids = np.zeros(1 << 16, dtype=np.uint32)
+        #: The word of a node, the node before it and whether that one's merge is skipped.
+        self.come: list[tuple[str, int, bool]] = []
+
+    def _node(self, word: str, before: int, skipped: bool) -> int:
+        """A new node below ``before`` (-1: the word's first)."""
+        skips, at, by = [], before, skipped
+        while at >= 0:
+            skips.append(by)
+            _, at, by = self.come[at]
+        merge, ids = self.vocabulary.segment(word, skips[::-1] if self.dropout else None)
+        n = self.size
+        if n == len(self.salt):
+            self.salt, self.begins, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.salt, self.begins, self.lengths))
+            self.child = np.concatenate([self.child, np.full_like(self.child, -1)])
+        self.come.append((word, before, skipped))
+        self.size += 1
+        if merge:
+            self.salt[n] = _salt(*merge)
+            self.begins[n] = -1
+            return n
+        self.begins[n], self.lengths[n] = self._kept(ids), len(ids)
+        return n
+
+    def _kept(self, ids: list[int]) -> int:
+        """Where ``ids`` begin once they are added."""
+        while self.filled + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.filled : self.filled + len(ids)] = ids
+        self.filled += len(ids)
+        return self.filled - len(ids)
+
+    def _outright(self, word: str, own: int) -> list[int]:
+        """Ids of one occurrence of a long word, of which nothing is remembered."""
+        limit, bits = int(self.dropout * (1 << 32)), 0xFFFFFFFFFFFFFFFF
+
+        def skipped(place: int, piece: int) -> bool:
+            h = own ^ _salt(place, piece)
+            for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+                h = (h ^ h >> 33) * factor & bits
+            return (h ^ h >> 33) >> 32 < limit
+
+        return self.vocabulary.segment(word, None, skipped if limit else None)[1]
+
+    def encode(self, texts: pa.Array, doc_ids: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts together, and the n + 1 bounds of each text's ids. Nulls count as empty.
+
+        A text is told from others by its doc_id; without any, by none.
+        """
+        if self.size > self.cache:
+            self._forget()  # it changes no result
+        cut = [_RUN.findall(t or "") for t in texts.to_pylist()]
+        lengths = np.array([len(c) for c in cut], dtype=np.int64)
+        bounds = np.concatenate([[0], np.cumsum(lengths)])
+        roots = self.roots
+        for words in cut:
+            for w in words:
+                if w not in roots and len(w) <= LONGEST:
+                    roots[w] = self._node(w, -1, False)
+        at = np.fromiter((roots.get(w, -1) for words in cut for w in words), dtype=np.int64, count=bounds[-1])
+        owners = [xxhash.xxh64_intdigest(repr(d).encode(), self.key) for d in doc_ids or [None] * len(cut)]
+        nth = (np.arange(len(at)) - np.repeat(bounds[:-1], lengths)).astype(np.uint64)
+        own = _mixed(np.repeat(np.array(owners, dtype=np.uint64), lengths) + nth * np.uint64(0x9E3779B97F4A7C15))
+        limit = np.uint64(int(self.dropout * (1 << 32)))
+        long = np.flatnonzero(at < 0)
+        going = np.flatnonzero((at >= 0) & (self.begins[at] < 0))
+        while len(going):
+            here = at[going]
+            skip = (_mixed(own[going] ^ self.salt[here]) >> np.uint64(32) < limit).astype(np.int64)
+            then = self.child[here, skip]
+            new = np.flatnonzero(then < 0)
+            if len(new):
+                for code in np.unique(here[new] * 2 + skip[new]).tolist():
+                    made = self._node(self.come[code // 2][0], code // 2, bool(code % 2))
+                    self.child[code // 2, code % 2] = made
+                then = self.child[here, skip]
+            at[going] = then
+            going = going[self.begins[then] < 0]
+        begins, many, filled = self.begins[at], self.lengths[at], self.filled
+        row = np.searchsorted(bounds, long, side="right") - 1
+        for i, r in zip(long.tolist(), row.tolist()):
+            found = self._outright(cut[r][i - bounds[r]], int(own[i]))
+            begins[i], many[i] = self._kept(found), len(found)
+        self.filled = filled
+        before = np.concatenate([[0], np.cumsum(many)])
+        ids = self.ids[np.repeat(begins - before[:-1], many) + np.arange(before[-1])]
+        return ids, before[bounds]
+
+
+def encode_array(codec: DropoutCodec | list[DropoutCodec], doc_ids: list, texts: pa.Array) -> list[np.ndarray]:
+    """Ids of each text. Nulls and empty texts have none. Of several codecs the first is taken."""
+    codec = codec[0] if isinstance(codec, list) else codec
+    ids, ends = codec.encode(pa.array([None if not t else " " + t for t in texts.to_pylist()], pa.large_string()), doc_ids)
+    return [ids[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def encoded(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256, lossless of each (doc_id, text).
 
     decoded_sha256 is that of the text decoded from the ids, and lossless whether it equals the
@@ -155,11 +247,11 @@ def encoded(docs: DataFrame, model: str, dropout: float = DROPOUT, seed: int = S
 
     def encode(batches):
         vocabulary = Vocabulary(model)
-        codecs = [DropoutCodec(vocabulary, dropout, seed * variants + v, CACHE // variants) for v in range(variants)]
+        codec = DropoutCodec(vocabulary, dropout, seed)
         for batch in batches:
             for piece in slices(batch, 1):
                 doc_ids, texts = piece.column(0).to_pylist(), piece.column(1).to_pylist()
-                ids = encode_array(codecs, doc_ids, piece.column(1), seed)
+                ids = encode_array(codec, doc_ids, piece.column(1))
                 back = [vocabulary.decode(i.tolist()) for i in ids]
                 lengths = np.array([len(i) for i in ids])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
