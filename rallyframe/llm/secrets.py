@@ -8,7 +8,7 @@ stand together: candidates are interval-joined within a scope, which is a docume
 Regular expressions run once over each text, in the scan. What leaves the scan is narrow: lengths
 of gaps and hits, from which window sums give the spans. The interval join is an equality join on
 (row, block of text), so it is partitioned by document and block; spans of a kind don't overlap,
-so a block holds a bounded number of them.
+so a block holds a bounded number of their ends.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"
 LEAST = {"assign": 12, "access": 18, "hex": 16}
 
-IDENT = r"""(?i:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,64}"""
-KEY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,128}={0,2}(?![A-Za-z0-9+/_=-])"
+IDENT = r"""(?i:access_?key_?id|client_?id|account_?id|user_?name|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9_.@-]{3,}"""
+KEY = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/_=-])"
 ENDPOINT = r"""https?://[A-Za-z0-9][^\s"'<>]*|(?i:endpoint|host_?name|bucket|region)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.:/_-]{3,}"""
 
 #: Kind, pattern and role. A hex run takes part as a secret: it is one half of most key pairs.
@@ -102,8 +102,10 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
     near = weak.withColumn(
         "block", F.explode(F.sequence(F.floor((F.col("start") - scope) / scope), F.floor((F.col("end") + scope) / scope)))
     )
+    # A part ends within the scope before a candidate or starts within it after, so its ends suffice.
+    ends = F.array_distinct(F.array(F.floor(F.col("start") / scope), F.floor(F.col("end") / scope)))
     parts = spans.where(F.col("role") != "endpoint").select(
-        "row", F.col("role").alias("other"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.floor(F.col("start") / scope).alias("block")
+        "row", F.col("role").alias("other"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), F.explode(ends).alias("block")
     )
     beside = (
         (F.col("other") != F.col("role"))
