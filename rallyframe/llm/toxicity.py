@@ -6,17 +6,19 @@ window is toxic. Misspellings unseen in training share most n-grams with what th
 document is judged by the mean and the worst of its windows: a logistic curve of the two, fitted
 on documents that the softmax was not trained on, gives the score.
 
-Training is on a bounded sample (``SAMPLE`` labelled documents, a bounded number of windows of
-each, spread over the whole text). All windows of clean documents are clean. Those of a toxic
-document are used if they hold a bucket that tells: one in many toxic and hardly any clean
-documents. N-grams seen in too few documents keep a zero vector. Scoring covers every whole text;
-a worker remembers what the words it met add up to.
+Training is on a bounded sample (``SAMPLE`` labelled documents) and reads their whole texts. All
+windows of clean documents are clean. Those of a toxic document are used if they hold a bucket
+that tells: one in many toxic and hardly any clean documents. N-grams seen in too few documents
+keep a zero vector. The trainer holds a number for each word of the sample and the n-grams of each
+distinct word once. Scoring covers every whole text; a worker remembers what the words it met add
+up to.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,6 @@ from rallyframe.llm.words import slices
 
 #: Labelled documents in the training sample, the ones with the least hashes of doc_id.
 SAMPLE = 4000
-#: Windows of a toxic and of a clean document in the sample, at most.
-TOXIC_WINDOWS, CLEAN_WINDOWS = 64, 16
 WINDOW = 8
 BUCKETS = 1 << 17
 DIM = 8
@@ -73,16 +73,19 @@ class Model:
         self.bias = np.zeros(2)
         self.curve = np.array([0.0, 0.5, 0.5])
 
-    def fit(self, ids: np.ndarray, bag: np.ndarray, y: np.ndarray) -> None:
-        """Full-batch Adam on the mean cross-entropy. ids: buckets; bag: their window, ascending."""
-        n = len(y)
-        share = 1.0 / np.maximum(np.bincount(bag, minlength=n), 1)[bag]
+    def fit(self, bags: Bags, y: np.ndarray) -> None:
+        """Full-batch Adam on the mean cross-entropy of windows with labels ``y``."""
+        n, many = len(y), len(bags.lengths)
+        of = np.repeat(np.arange(many, dtype=np.int32), bags.lengths)
+        share = 1.0 / np.maximum(np.bincount(bags.window, weights=bags.lengths[bags.word], minlength=n), 1)
         params = [self.embeddings, self.weights, self.bias]
         moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
         for step in range(1, STEPS + 1):
-            logit = np.bincount(bag, weights=self.per_bucket()[ids] * share, minlength=n) + self.lean()
+            per_word = np.bincount(of, weights=self.per_bucket()[bags.grams], minlength=many)
+            logit = np.bincount(bags.window, weights=per_word[bags.word], minlength=n) * share + self.lean()
             wrong = (_sigmoid(logit) - y) / n  # gradient of the second class's logit; the first has its negative
-            per_gram = np.bincount(ids, weights=wrong[bag] * share, minlength=BUCKETS)
+            of_words = np.bincount(bags.word, weights=(wrong * share)[bags.window], minlength=many)
+            per_gram = np.bincount(bags.grams, weights=of_words[of], minlength=BUCKETS)
             toward = self.embeddings.T @ per_gram
             grads = [
                 per_gram[:, None] * (self.weights[1] - self.weights[0]) + DECAY * self.embeddings,
@@ -93,7 +96,7 @@ class Model:
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
-        self.embeddings[np.bincount(ids, minlength=BUCKETS) == 0] = 0
+        self.embeddings[np.bincount(bags.grams, minlength=BUCKETS) == 0] = 0
 
     def fit_curve(self, mean: np.ndarray, worst: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e-3) -> None:
         """Logistic regression of documents' labels on their two figures, by Newton's method."""
@@ -113,6 +116,10 @@ class Model:
         """What each bucket adds to the difference of the two logits, before averaging."""
         return self.embeddings @ (self.weights[1] - self.weights[0])
 
+    def scoring(self) -> tuple[np.ndarray, float, np.ndarray]:
+        """All that scoring needs of the model: BUCKETS numbers and a few more, whatever the input."""
+        return self.per_bucket(), self.lean(), self.curve
+
 
 def _figures(mean: np.ndarray, worst: np.ndarray) -> np.ndarray:
     def logit(p):
@@ -122,93 +129,96 @@ def _figures(mean: np.ndarray, worst: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(mean)), logit(mean), logit(worst)], axis=1)
 
 
-def _windows(text: str, most: int) -> list[str]:
-    words = _WORD.findall(text.lower())
-    starts = range(0, len(words), WINDOW)
-    if len(starts) > most:
-        starts = [starts[i * len(starts) // most] for i in range(most)]
-    return [" ".join(words[s : s + WINDOW]) for s in starts]
-
-
 def sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """doc_id, toxic, curve, window of the training sample; held-out documents are not in it.
+    """doc_id, toxic, text of the training sample; held-out documents are not in it.
 
-    ``curve`` marks the documents that the curve is fitted on.
+    Of rows that repeat a doc_id the least text is taken, and the greatest label.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
-    kinds = "doc_id long, toxic int, curve boolean, window string"
-
-    def cut(batches):
-        for batch in batches:
-            out = []
-            for doc_id, text, toxic in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                curve = zlib.crc32(str(doc_id).encode()) % 4 == 1
-                most = TOXIC_WINDOWS if toxic or curve else CLEAN_WINDOWS
-                out += [(doc_id, toxic, curve, w) for w in _windows(text, most)]
-            cols = list(zip(*out)) or [()] * 4
-            types = (pa.int64(), pa.int32(), pa.bool_(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["doc_id", "toxic", "curve", "window"])
-
-    return texts.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(cut, kinds)
-
-
-def _bags(windows) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all windows together, and the window of each."""
-    words = windows.str.split(" ").explode()
-    number, distinct = words.factorize()
-    window = words.index.factorize()[0]
-    parts = [grams(w).astype(np.int32) for w in distinct]
-    lengths = np.array([len(p) for p in parts])
-    table, starts = np.concatenate(parts), np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    per = lengths[number]
-    at = np.repeat((starts[number] - np.concatenate([[0], np.cumsum(per)[:-1]])).astype(np.int32), per)
-    at += np.arange(len(at), dtype=np.int32)
-    return table[at], np.repeat(window.astype(np.int32), per)
+    return texts.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+
+
+@dataclass
+class Bags:
+    """Windows of words: ``word`` and ``window`` of each word in order, the n-grams of all words of
+    the vocabulary one after the other, and how many each has."""
+
+    word: np.ndarray
+    window: np.ndarray
+    grams: np.ndarray
+    lengths: np.ndarray
+
+    def of(self, kept: np.ndarray, buckets: np.ndarray) -> Bags:
+        """The windows marked in ``kept``, numbered anew, with only those n-grams that ``buckets`` marks."""
+        on, here = kept[self.window], buckets[self.grams]
+        of = np.repeat(np.arange(len(self.lengths)), self.lengths)
+        number = (np.cumsum(kept) - 1).astype(np.int32)
+        return Bags(self.word[on], number[self.window[on]], self.grams[here], np.bincount(of[here], minlength=len(self.lengths)))
+
+
+def bagged(texts: list[str]) -> tuple[Bags, np.ndarray, np.ndarray]:
+    """The bags of all texts' windows, each window's text, and how many windows each text has."""
+    numbers: dict[str, int] = {}
+    word, per_text = [], []
+    for text in texts:
+        found = _WORD.findall(text.lower())
+        word.append(np.fromiter((numbers.setdefault(w, len(numbers)) for w in found), dtype=np.int32, count=len(found)))
+        per_text.append(-(-len(found) // WINDOW))
+    first = np.cumsum([0, *per_text])
+    window = [f + np.arange(len(w), dtype=np.int32) // WINDOW for f, w in zip(first, word)]
+    parts = [grams(w).astype(np.int32) for w in numbers] or [np.zeros(0, np.int32)]
+    none = np.zeros(0, np.int32)
+    bags = Bags(
+        np.concatenate([none, *word]), np.concatenate([none, *window]).astype(np.int32), np.concatenate(parts), np.array([len(p) for p in parts], np.int32)
+    )
+    return bags, np.repeat(np.arange(len(texts)), per_text), np.array(per_text)
+
+
+def _holding(bags: Bags, of_window: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """In how many clean and toxic texts each bucket is."""
+    counts = np.zeros((2, BUCKETS), dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(bags.lengths)])
+    ends = np.searchsorted(of_window[bags.window], np.arange(len(toxic) + 1))
+    for i, t in enumerate(toxic):
+        words = np.unique(bags.word[ends[i] : ends[i + 1]])
+        if len(words):
+            counts[int(t), np.unique(np.concatenate([bags.grams[starts[w] : starts[w + 1]] for w in words]))] += 1
+    return counts[0], counts[1]
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:
-    """The model of the bounded sample; None if it lacks either class."""
-    rows = sample(docs, labels, size).toPandas()  # at most size * TOXIC_WINDOWS windows
-    rows = rows.sort_values(["doc_id", "window"], kind="stable", ignore_index=True)
-    if rows["toxic"].nunique() < 2:
+    """The model of the bounded sample; None if it lacks either class, as with empty tables."""
+    rows = sample(docs, labels, size).toArrow().sort_by("doc_id")  # at most ``size`` texts
+    toxic = np.array([bool(t) for t in rows["toxic"].to_pylist()])
+    if toxic.all() or not toxic.any():
         return None
-    own = rows[~rows["curve"]]
-    if own["toxic"].nunique() < 2:
-        own = rows
-    ids, bag = _bags(own["window"])
-    y = own["toxic"].to_numpy(dtype=float)
-    doc = own["doc_id"].factorize()[0]
-    toxic_doc = np.bincount(doc, weights=y) > 0
-    pairs = np.unique(doc[bag] * BUCKETS + ids)
-    of, bucket = pairs // BUCKETS, pairs % BUCKETS
-    del pairs
-    toxic = np.bincount(bucket[toxic_doc[of]], minlength=BUCKETS)
-    clean = np.bincount(bucket[~toxic_doc[of]], minlength=BUCKETS)
-    n_toxic, n_clean = toxic_doc.sum(), (~toxic_doc).sum()
-    tells = (toxic >= max(2, TELLING_SHARE * n_toxic)) & (clean / n_clean <= toxic / n_toxic / TELLING_RATIO)
-    used = (y == 0) | (np.bincount(bag, weights=tells[ids], minlength=len(y)) > 0)
+    curve = np.array([zlib.crc32(str(d).encode()) % 4 == 1 for d in rows["doc_id"].to_pylist()])
+    own = ~curve if len(set(toxic[~curve])) == 2 else np.ones(len(toxic), dtype=bool)
+    bags, of_window, _ = bagged(rows["text"].filter(pa.array(own)).to_pylist())
+    y = toxic[own][of_window].astype(float)
+    n_toxic, n_clean = toxic[own].sum(), (~toxic[own]).sum()
+    in_clean, in_toxic = _holding(bags, of_window, toxic[own])
+    tells = (in_toxic >= max(2, TELLING_SHARE * n_toxic)) & (in_clean / n_clean <= in_toxic / n_toxic / TELLING_RATIO)
+    telling = bags.of(np.ones(len(y), dtype=bool), tells).lengths > 0
+    used = (y == 0) | (np.bincount(bags.window, weights=telling[bags.word], minlength=len(y)) > 0)
     if not y[used].any():
         used[:] = True
-    taken = used[bag] & ((toxic + clean) >= min(LEAST_DOCS, 1 + len(toxic_doc) / 100))[ids]
     model = Model()
-    model.fit(ids[taken], (np.cumsum(used) - 1)[bag[taken]], y[used])
-    rest = rows[rows["curve"]]
-    if rest["toxic"].nunique() < 2:
-        rest = rows
-    whole = rest.groupby("doc_id", sort=True).agg(text=("window", " ".join), toxic=("toxic", "max"))
-    mean, worst = Scorer(model).figures(pa.array(whole["text"], pa.large_string()))[:2]
-    model.fit_curve(mean, worst, whole["toxic"].to_numpy(dtype=float))
+    model.fit(bags.of(used, in_toxic + in_clean >= min(LEAST_DOCS, 1 + (n_toxic + n_clean) / 100)), y[used])
+    rest = curve if len(set(toxic[curve])) == 2 else np.ones(len(toxic), dtype=bool)
+    mean, worst = Scorer(*model.scoring()).figures(rows["text"].filter(pa.array(rest)).combine_chunks())[:2]
+    model.fit_curve(mean, worst, toxic[rest].astype(float))
     return model
 
 
 class Scorer:
     """Scores arrays of texts."""
 
-    def __init__(self, model: Model):
-        self.per_bucket, self.lean, self.curve = model.per_bucket(), model.lean(), model.curve
+    def __init__(self, per_bucket: np.ndarray, lean: float, curve: np.ndarray):
+        self.per_bucket, self.lean, self.curve = per_bucket, lean, curve
         self.known: dict[str, tuple[float, int]] = {}
 
     def word(self, word: str) -> tuple[float, int]:
@@ -256,14 +266,15 @@ def scored(docs: DataFrame, model: Model | None, extra: tuple[str, ...] = ()) ->
     """doc_id, held_out, score, predicted (and the columns ``extra``) of every document.
 
     Null and empty texts score 0, and so does everything without a model. Repeated rows are scored
-    each.
+    each; an empty table gives no rows. ``extra`` may not hold a name of the result or ``text``.
     """
+    if set(extra) & {"doc_id", "text", "held_out", "score", "predicted"}:
+        raise ValueError(f"columns clash with those of the result: {extra}")
     spark = docs.sparkSession
-    # BUCKETS vectors, whatever the input.
-    known = spark.sparkContext.broadcast(model)
+    known = spark.sparkContext.broadcast(model.scoring() if model else None)
 
     def score(batches):
-        scorer = Scorer(known.value) if known.value else None
+        scorer = Scorer(*known.value) if known.value else None
         for batch in batches:
             for piece in slices(batch, 1):
                 texts = piece.column(1)
@@ -278,11 +289,11 @@ def scored(docs: DataFrame, model: Model | None, extra: tuple[str, ...] = ()) ->
 def kept(docs: DataFrame, model: Model | None) -> DataFrame:
     """The rows of ``docs`` that score below THRESHOLD, unchanged; all rows without a model."""
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast(model)
+    known = spark.sparkContext.broadcast(model.scoring() if model else None)
     at = docs.columns.index("text")
 
     def keep(batches):
-        scorer = Scorer(known.value) if known.value else None
+        scorer = Scorer(*known.value) if known.value else None
         for batch in batches:
             for piece in slices(batch, at):
                 yield piece.filter(pa.array(scorer.scores(piece.column(at)) < THRESHOLD)) if scorer else piece
