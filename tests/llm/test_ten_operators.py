@@ -107,7 +107,7 @@ def test_dropout_equals_library_without_and_decodes_with():
     path = public_tokenizers.path("piece_bpe_32k.model")
     library, own = sentencepiece.SentencePieceProcessor(model_file=path), dropout.Vocabulary(path)
     some = [t or "" for t in texts()] + ["a  b", "   ", " lead", "漢字  x", "nul\x00"]
-    codecs = lambda p: [dropout.DropoutCodec(own, p, k) for k in range(3)]
+    codecs = lambda p: dropout.DropoutCodec(own, p, 0)
     numbers = list(range(len(some)))
     plain = dropout.encode_array(codecs(0.0), numbers, pa.array(some))
     assert [p.tolist() for p in plain] == [library.encode(t) for t in some]
