@@ -6,22 +6,28 @@ token's loss under each is its negative log-probability after the token before i
 averaged over a document, says how much better the target explains it than the corpus at large.
 
 Counts cover every token of every document and are exact, for single ids and for pairs of ids.
-Texts are encoded once, into blocks of documents. Each block's distinct pairs are counted, the
-counts are summed by pair into a table that grows with the corpus, and every block gets back the
-rows of that table for its own pairs by a join. Only counts of single ids are broadcast; their
-number is that of the vocabulary. The background's counts are scaled to the target's size, so
-that the two are smoothed alike.
+Texts are encoded once, where they are read, into blocks of documents, written as a table
+bucketed by block, so that neither texts nor ids are shuffled: what is known of a block (which of
+its documents are target, what the corpus has of its pairs) comes to it. Each block's distinct
+pairs are counted, the counts are summed by pair into a table that grows with the corpus, and
+every block gets back the rows of that table for its own pairs by a join. Only counts of single
+ids are broadcast; their number is that of the vocabulary. The background's counts are scaled to
+the target's size, so that the two are smoothed alike.
+
+A document is scored by what all others say: its own counts are taken off the background, and
+off the target if it is one.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rallyframe.llm.scratch import write_scratch
+from rallyframe.llm.scratch import write_bucketed, write_scratch
 from rallyframe.llm.words import PieceCodec, slices
 
 #: Tokens of a block, unless one slice of texts has more.
@@ -44,64 +50,75 @@ def _before(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
 
 
 def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """block, doc_id, target, ids of each (doc_id, text, target boolean)."""
+    """block, doc_id, ids (binary, see ``width``) of each (doc_id, text)."""
 
     def encode(batches):
         codec = PieceCodec(tokenizer, keep_space=True)
+        kind = width(codec.tokenizer.get_vocab_size())
         block, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             for piece in slices(batch, 1):
                 ids, ends = codec.encode(piece.column(1))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32)))
+                ids = ids.astype(kind)
+                each = pa.array([ids[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())
                 number = pa.array(np.full(len(piece), block, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays([number, piece.column(0), piece.column(2), lists], names=["block", "doc_id", "target", "ids"])
+                yield pa.RecordBatch.from_arrays([number, piece.column(0), each], names=["block", "doc_id", "ids"])
                 filled += len(ids)
                 if filled >= BLOCK:
                     block, filled = block + 1, 0
 
-    return docs.select("doc_id", "text", "target").mapInArrow(encode, "block long, doc_id long, target boolean, ids array<int>")
+    return docs.select("doc_id", "text").mapInArrow(encode, "block long, doc_id long, ids binary")
 
 
-def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
-    """All ids together, and the bounds of each row's."""
-    ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), ends
+def width(vocabulary: int) -> str:
+    """How an id is stored: in two bytes if all fit, else in four."""
+    return "<u2" if vocabulary <= 1 << 16 else "<u4"
 
 
-def counted(texts: DataFrame, vocabulary: int) -> DataFrame:
-    """block, pair, background, target: counts of each block's pairs; a block's part in a task each."""
+def _flat(ids, vocabulary: int) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a column together, and the bounds of each row's."""
+    kind = np.dtype(width(vocabulary))
+    each = ids.to_pylist()
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in each], dtype=np.int64)]) // kind.itemsize
+    return np.frombuffer(b"".join(each), kind).astype(np.int64), ends
 
-    def count(batches):
-        open_block, pairs, sums = None, np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
 
-        def rows():
-            for i in range(0, len(pairs), 100_000):
-                some = slice(i, i + 100_000)
-                number = pa.array(np.full(len(pairs[some]), open_block, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [number, pa.array(pairs[some]), pa.array(sums[0, some]), pa.array(sums[1, some])], names=["block", "pair", "background", "target"]
-                )
+def _column(told: pa.Table, name: str) -> pa.Array:
+    """A column of longs without its nulls; the side of a group that has no rows comes without columns."""
+    return told[name].combine_chunks().drop_null() if told.num_rows else pa.array([], pa.int64())
 
-        for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            starts = np.flatnonzero(np.diff(numbers, prepend=-1))
-            for a, b in zip(starts, [*starts[1:], len(numbers)]):
-                if numbers[a] != open_block:
-                    yield from rows()
-                    open_block, pairs, sums = int(numbers[a]), np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
-                part = batch.slice(a, b - a)
-                ids, ends = _flat(part.column(2))
-                own = np.repeat(np.asarray(part.column(1)), np.diff(ends))
-                new, at, times = np.unique(cells(_before(ids, ends, vocabulary), ids), return_inverse=True, return_counts=True)
-                both, place = np.unique(np.concatenate([pairs, new]), return_inverse=True)
-                total = np.zeros((2, len(both)), np.int64)
-                total[:, place[: len(pairs)]] += sums
-                total[0, place[len(pairs) :]] += times
-                total[1, place[len(pairs) :]] += np.bincount(at[own], minlength=len(new))
-                pairs, sums = both, total
-        yield from rows()
-
-    return texts.select("block", "target", "ids").mapInArrow(count, "block long, pair long, background long, target long")
+
+def counted(texts: DataFrame, targets: DataFrame, vocabulary: int) -> DataFrame:
+    """block, pair, background, target: counts of each block's pairs.
+
+    texts: block, doc_id, ids; targets: block, doc_id of the documents that are target.
+    """
+
+    def count(docs: pa.Table, good: pa.Table) -> pa.Table:
+        ids, ends = _flat(docs["ids"], vocabulary)
+        own = np.repeat(np.asarray(pc.is_in(docs["doc_id"], _column(good, "doc_id"))), np.diff(ends))
+        pairs, at, times = np.unique(cells(_before(ids, ends, vocabulary), ids), return_inverse=True, return_counts=True)
+        block = docs["block"][0].as_py() if len(pairs) else 0
+        sums = np.bincount(at[own], minlength=len(pairs)).astype(np.int64)
+        return pa.table(
+            [pa.array(np.full(len(pairs), block, dtype=np.int64)), pa.array(pairs), pa.array(times.astype(np.int64)), pa.array(sums)],
+            names=["block", "pair", "background", "target"],
+        )
+
+    both = texts.select("block", "doc_id", "ids").groupBy("block").cogroup(targets.select("block", "doc_id").groupBy("block"))
+    return both.applyInArrow(count, "block long, pair long, background long, target long")
+
+
+def _own(texts: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """How often the text (a number of each token) that holds a token holds its cell."""
+    if not len(cell):
+        return np.zeros(0, dtype=np.int64)
+    order = np.lexsort((cell, texts))
+    new = np.concatenate([[True], (np.diff(texts[order]) != 0) | (np.diff(cell[order]) != 0)])
+    run = np.cumsum(new) - 1
+    out = np.empty(len(cell), dtype=np.int64)
+    out[order] = np.bincount(run)[run]
+    return out
 
 
 class Pair:
@@ -119,19 +136,30 @@ class Pair:
         self.scale = np.array([[n_target / n_all if n_target else 1.0], [1.0]])
         #: Without a target the two models are the same.
         self.rows = [0, 1] if n_target else [0, 0]
-        sums = [(s * self.scale)[self.rows] for s in sums]
-        self.single = (sums[0] + 1) / (sums[0].sum(axis=1, keepdims=True) + vocabulary)
-        self.before = sums[1]
+        self.single, self.before = (s[self.rows] for s in sums)
+        self.total = self.single.sum(axis=1, keepdims=True)
 
-    def losses(self, ids: np.ndarray, ends: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Loss of each token (columns) under the background and the target (rows).
+    def losses(self, ids: np.ndarray, ends: np.ndarray, target: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Loss of each token (columns) under the background and the target (rows), its own text left out.
 
-        pairs, counts: the pairs of these ids, sorted, and how often the corpus has each (rows).
+        target: whether each text is one; pairs, counts: the pairs of these ids, sorted, and how
+        often the corpus has each (rows).
         """
+        lengths = np.diff(ends)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        # A text is part of the background, and of the target if it is one.
+        part = np.stack([np.ones(len(text)), np.repeat(target, lengths).astype(float)])[self.rows]
         before = _before(ids, ends, self.vocabulary)
-        known = (counts * self.scale)[self.rows]
-        seen = known[:, np.searchsorted(pairs, cells(before, ids))]
-        return -np.log((seen + PRIOR * self.single[:, ids]) / (self.before[:, before] + PRIOR))
+        cell = cells(before, ids)
+        scale = self.scale[self.rows]
+
+        def rest(known: np.ndarray, own: np.ndarray) -> np.ndarray:
+            return np.maximum(known - part * own, 0) * scale
+
+        seen = rest(counts[self.rows][:, np.searchsorted(pairs, cell)], _own(text, cell))
+        single = rest(self.single[:, ids], _own(text, ids)) + 1
+        of = rest(np.broadcast_to(self.total, part.shape), np.repeat(lengths, lengths)) + self.vocabulary
+        return -np.log((seen + PRIOR * single / of) / (rest(self.before[:, before], _own(text, before)) + PRIOR))
 
 
 def models(table: DataFrame, vocabulary: int) -> Pair:
@@ -148,19 +176,20 @@ def models(table: DataFrame, vocabulary: int) -> Pair:
 def scored(texts: DataFrame, known: DataFrame, pair: Pair) -> DataFrame:
     """doc_id, n_tokens, background_loss, target_loss, score of each (block, doc_id, ids).
 
-    ``known`` has block, pair, background, target: the corpus's counts of each block's pairs.
-    Losses are means over a document's tokens, in nats; score is background_loss - target_loss,
-    higher the more the document is like the target. Null and empty texts have losses and score
-    0. Repeated rows are scored each.
+    ``known`` has block and either pair, background, target (the corpus's counts of each block's
+    pairs) or doc_id (a block's documents that are target), the others null. Losses are means over
+    a document's tokens, in nats; score is background_loss - target_loss, higher the more the
+    document is like the target.
     """
     model = texts.sparkSession.sparkContext.broadcast(pair)
 
-    def score(docs: pa.Table, counts: pa.Table) -> pa.Table:
-        ids, ends = _flat(docs["ids"].combine_chunks())
+    def score(docs: pa.Table, told: pa.Table) -> pa.Table:
+        ids, ends = _flat(docs["ids"], model.value.vocabulary)
         n = np.diff(ends)
-        pairs, first = np.unique(counts["pair"].to_numpy(), return_index=True)
-        times = np.stack([counts["background"].to_numpy()[first], counts["target"].to_numpy()[first]])
-        loss = model.value.losses(ids, ends, pairs, times)
+        pairs, first = np.unique(_column(told, "pair").to_numpy(), return_index=True)
+        times = np.stack([_column(told, c).to_numpy()[first] for c in ("background", "target")])
+        target = np.asarray(pc.is_in(docs["doc_id"], _column(told, "doc_id")))
+        loss = model.value.losses(ids, ends, target, pairs, times)
         sums = np.concatenate([np.zeros((2, 1)), np.cumsum(loss, axis=1)], axis=1)
         mean = (sums[:, ends[1:]] - sums[:, ends[:-1]]) / np.maximum(n, 1)
         return pa.table(
@@ -169,20 +198,27 @@ def scored(texts: DataFrame, known: DataFrame, pair: Pair) -> DataFrame:
         )
 
     kinds = "doc_id long, n_tokens long, background_loss double, target_loss double, score double"
-    both = texts.select("block", "doc_id", "ids").groupBy("block").cogroup(known.select("block", "pair", "background", "target").groupBy("block"))
+    both = texts.select("block", "doc_id", "ids").groupBy("block").cogroup(known.groupBy("block"))
     return both.applyInArrow(score, kinds)
 
 
 def cross_entropy_difference(docs: DataFrame, good: DataFrame, tokenizer: str) -> DataFrame:
-    """Scores of all ``docs`` against the target documents, those whose doc_id is in ``good``."""
-    wanted = good.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("target", F.lit(True))
-    tagged = docs.select("doc_id", "text").join(wanted, "doc_id", "left").select("doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    """Scores of all ``docs`` against the target documents, those whose doc_id is in ``good``.
+
+    Null and empty texts have losses and score 0; a null doc_id is no target. Repeated rows count
+    and are scored each, with only the row itself left out. Without a target all scores are 0.
+    Texts are encoded whole, whatever their length; other columns are ignored; an empty table
+    gives no rows.
+    """
     vocabulary = PieceCodec(tokenizer, keep_space=True).tokenizer.get_vocab_size()
-    texts = write_scratch(encoded(tagged, tokenizer), "ids")
-    parts = write_scratch(counted(texts, vocabulary), "block-pairs")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = write_bucketed(encoded(docs, tokenizer), "ids", "block", buckets)
+    wanted = good.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
+    targets = write_scratch(texts.select("block", "doc_id").join(wanted, "doc_id", "left_semi").select("block", "doc_id").distinct(), "targets")
+    parts = write_scratch(counted(texts, targets, vocabulary), "block-pairs")
     table = write_scratch(parts.groupBy("pair").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "pairs")
-    known = parts.select("block", "pair").join(table, "pair")
-    return scored(texts, known, models(table, vocabulary))
+    known = parts.select("block", "pair").join(table, "pair").select("block", "pair", "background", "target")
+    return scored(texts, known.unionByName(targets, allowMissingColumns=True), models(table, vocabulary))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """Shared scratch tables: how these operators cut lineage.
 
 ``spark.checkpoint.dir`` names a folder that the driver and all executors share. Tables written
-there survive a lost executor, unlike cached blocks. The setting is read from the session; only
-where it is unset (as in tests) a temporary folder of this machine is taken.
+there survive a lost executor, unlike cached blocks. The setting is read from the session. Where it
+is unset, a session on one machine (master ``local``) gets a temporary folder; on a cluster that is
+an error, as no executor could read such a folder.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder of this session, without a trailing slash."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="rallyframe-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -35,6 +38,15 @@ def write_scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """Write ``df`` as a table in buckets of ``column`` and read it back; grouping by it then needs no shuffle."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    df.write.format("parquet").bucketBy(buckets, column).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all scratch tables below this session's shared folder.
 

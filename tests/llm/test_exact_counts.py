@@ -5,6 +5,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from rallyframe.llm import lmscore
+from rallyframe.llm.scratch import write_bucketed, write_scratch
 
 
 def test_pairs_have_numbers_of_their_own():
@@ -17,7 +18,7 @@ def test_counts_of_blocks_add_up(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     rnd = np.random.default_rng(4)
     texts = [" ".join(str(x) for x in rnd.integers(0, 99_999, 60)) for _ in range(400)] + ["", None]
-    docs = spark.createDataFrame([(i, t, i % 3 == 0) for i, t in enumerate(texts)], "doc_id long, text string, target boolean").repartition(3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     codec = lmscore.PieceCodec(path, keep_space=True)
     size = codec.tokenizer.get_vocab_size()
     want = {}
@@ -27,5 +28,7 @@ def test_counts_of_blocks_add_up(spark):
             row = want.setdefault((a << 32) | b, [0, 0])
             row[0] += 1
             row[1] += i % 3 == 0
-    rows = lmscore.counted(lmscore.encoded(docs, path), size).groupBy("pair").agg(F.sum("background").alias("b"), F.sum("target").alias("t")).collect()
+    coded = write_bucketed(lmscore.encoded(docs, path), "ids", "block", 4)
+    targets = write_scratch(coded.select("block", "doc_id").where("doc_id % 3 = 0"), "targets")
+    rows = lmscore.counted(coded, targets, size).groupBy("pair").agg(F.sum("background").alias("b"), F.sum("target").alias("t")).collect()
     assert {r.pair: [r.b, r.t] for r in rows} == want
