@@ -47,6 +47,15 @@ def write_bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataF
     return spark.table(table)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``write_scratch`` wrote, once all that was made of it is written too."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/rallyframe-scratch/" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all scratch tables below this session's shared folder.
 

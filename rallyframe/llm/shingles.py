@@ -1,47 +1,49 @@
-"""Near-duplicates by exact similarity of word shingles.
+"""Sets of word shingles: their similarity, and an index in which no similar pair is missed.
 
-Two texts are linked if the Jaccard similarity of their sets of word shingles is ``LIKE`` or more.
-No such pair is missed: in any one order of all shingles, two sets that are alike share one among
-the first n - ceil(LIKE * n) + 1 of each. So only these are indexed and joined, and the similarity of
-the pairs that meet is counted over the whole sets. The order puts shingles that are common in a
-sample last, which keeps lines that many texts repeat out of the index; it changes no result.
+Two texts are alike if the Jaccard similarity of their sets of word shingles is ``LIKE`` or more.
+In any one order of all shingles, two sets that are alike share one among the first
+n - ceil(LIKE * n) + 1 of each. So only these are indexed and joined. The order puts shingles that
+are common in a sample last, which keeps lines that many texts repeat out of the index; it changes
+no result.
 
-Texts with the same shingles are a class, and only classes take part. Pairs are confirmed in two
-rounds: first each class with the least one under each shingle, then those pairs that the first
-round has not put in one group, so that large groups don't cost the square of their size.
-
-Shingles stand for themselves by 64-bit hashes.
+Texts with the same shingles are a class, and only classes take part. Shingles stand for
+themselves by 64-bit hashes; sets that are compared hold 32 bits of each, so that of two texts of
+20,000 words one shingle in ten such pairs may be counted that only the low half agrees in.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rallyframe.llm.components import components
-from rallyframe.llm.scratch import write_scratch
-from rallyframe.llm.simhash import _LOWER, _WORD, SEED, one_of_each
 from rallyframe.llm.words import slices
 
 WORDS = 5
 LIKE = 0.8
+SEED = 42
 #: Documents in the sample that tells common shingles, about; one is common in so many of them.
 SAMPLE, COMMON = 20_000, 8
+#: Common shingles that are told from others, the most common first.
+MOST_COMMON = 500_000
+
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of a text's word shingles; of all its words if it has fewer."""
+def digests(text: str | None, words: int) -> np.ndarray:
+    """Hashes of a text's word shingles, repeats included; of all its words if it has fewer; none without words."""
     found = _WORD.findall((text or "").encode().translate(_LOWER))
-    if not found:
-        return np.zeros(0, dtype=np.int64)
     k = min(words, len(found))
+    if not k:
+        return np.zeros(0, dtype="<u8")
     digest = xxhash.xxh64_intdigest
-    return np.array(sorted({digest(s, SEED) for s in map(b" ".join, zip(*(found[i:] for i in range(k))))}), dtype=np.uint64).view(np.int64)
+    return np.fromiter((digest(s, SEED) for s in map(b" ".join, zip(*(found[i:] for i in range(k))))), dtype="<u8", count=len(found) - k + 1)
 
 
 def indexed(n: int, like: float = LIKE) -> int:
@@ -49,116 +51,93 @@ def indexed(n: int, like: float = LIKE) -> int:
     return n - math.ceil(like * n - 1e-9) + 1 if n else 0
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
+def lists(parts: list[np.ndarray], kind) -> pa.Array:
+    """Arrays of integers as a column of lists."""
     ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
-
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, kind), *parts])))
 
-def shingled(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The columns of ``docs`` without ``text``, class, n and set: the shingles, and a hash and the number of them."""
-    rest = [c for c in docs.columns if c != "text"]
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
 
-    def batches(them):
-        for batch in them:
-            for some in slices(batch, 0):
-                sets = [shingles(t, words) for t in some.column(0).to_pylist()]
-                own = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64).view(np.int64)
-                lengths = pa.array([len(s) for s in sets], pa.int32())
-                yield pa.RecordBatch.from_arrays([*some.columns[1:], pa.array(own), lengths, _lists(sets)], names=[*rest, "class", "n", "set"])
+def common(keyed: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that are common in a sample of distinct texts, and in how many of them each is.
 
-    return docs.select("text", *rest).mapInArrow(batches, f"{kinds}, class long, n int, set array<long>")
+    keyed: (text, h), with h a hash of the text.
+    """
+    share = SAMPLE / max(1, keyed.count())
+    some = keyed.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("h").agg(F.min("text").alias("text"))
 
+    def each(batches):
+        for batch in batches:
+            sets = [np.unique(digests(t, words)).view(np.int64) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *sets]))], names=["shingle"])
 
-def common(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles that are common in a sample of ``sets``, and in how many of it each is."""
-    share = SAMPLE / max(1, sets.count())
-    some = sets.where(F.pmod(F.xxhash64("class"), F.lit(1 << 20)) < share * (1 << 20))
-    seen = some.select(F.explode("set").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("times"))
-    found = seen.where(F.col("times") >= COMMON).toArrow()  # at most the sample's shingles / COMMON
-    at, times = found["shingle"].to_numpy(), found["times"].to_numpy()
+    seen = some.select("text").mapInArrow(each, "shingle long").groupBy("shingle").agg(F.count("*").alias("times"))
+    found = seen.where(F.col("times") >= COMMON).orderBy(F.desc("times"), "shingle").limit(MOST_COMMON).toArrow()
+    at, times = found["shingle"].to_numpy().view(np.uint64), found["times"].to_numpy()
     order = np.argsort(at)
     return at[order], times[order]
 
 
-def index(sets: DataFrame, like: float = LIKE) -> DataFrame:
-    """shingle, class, n, first: indexed shingles that more than one class has; ``first`` is the least such class."""
-    spark = sets.sparkSession
-    known = spark.sparkContext.broadcast(common(sets))
-
-    def batches(them):
-        at, times = known.value
-        for batch in them:
-            values, n = batch.column(2).flatten().to_numpy(), batch.column(1).to_numpy()
-            rank = np.zeros(len(values), dtype=np.int64)
-            if len(at):
-                place = np.minimum(np.searchsorted(at, values), len(at) - 1)
-                rank = np.where(at[place] == values, times[place], 0)
-            row = np.repeat(np.arange(len(n)), n)
-            # Within a row by rank and then by hash.
-            order = np.lexsort((values, rank, row))
-            nth = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
-            taken = order[nth < np.repeat([indexed(int(k), like) for k in n], n)] if len(values) else order
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values[taken]), batch.column(0).take(pa.array(row[taken])), batch.column(1).take(pa.array(row[taken]))],
-                names=["shingle", "class", "n"],
-            )
-
-    rows = sets.select("class", "n", "set").mapInArrow(batches, "shingle long, class long, n int")
-    by = Window.partitionBy("shingle")
-    # Dealt by shingle once, for both the repeats and the window.
-    rows = rows.repartition("shingle").dropDuplicates(["shingle", "class"])
-    return rows.withColumns({"first": F.min("class").over(by), "last": F.max("class").over(by)}).where("first <> last").drop("last")
-
-
-def _confirmed(pairs: DataFrame, sets: DataFrame, like: float) -> DataFrame:
-    """The pairs (a, b) of classes whose whole sets are alike."""
-    one = sets.select(F.col("class").alias("a"), F.col("set").alias("of_a"))
-    two = sets.select(F.col("class").alias("b"), F.col("set").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    alike = both * (1 + like) >= like * (F.size("of_a") + F.size("of_b")) - 1e-6
-    return pairs.join(one, "a").join(two, "b").where(alike).select("a", "b")
+def first_of(own: np.ndarray, known: tuple[np.ndarray, np.ndarray], like: float = LIKE) -> np.ndarray:
+    """Those of a text's sorted distinct shingles that are indexed."""
+    many, (at, times) = indexed(len(own), like), known
+    if not len(at) or not len(own):
+        return own[:many]
+    place = np.minimum(np.searchsorted(at, own), len(at) - 1)
+    rank = np.where(at[place] == own, times[place], 0)
+    return own[np.lexsort((own, rank))[:many]]
 
 
-def links(sets: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b: classes of ``sets`` (class, n, set), whose groups are those of all pairs that are alike."""
-    shared = write_scratch(index(sets, like), "index")
-    needed = shared.select("class").distinct()
-    own = write_scratch(sets.select("class", "set").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
+def shared(sets: DataFrame) -> DataFrame:
+    """shingle, class, n of indexed shingles that more than one class has, each once; sets: class, n, prefix.
+
+    Which shingles these are is found by partial aggregates; a shingle of very many classes is then
+    a skewed key of a join, which adaptive execution splits.
+    """
+    rows = sets.select(F.explode("prefix").alias("shingle"), "class", "n")
+    mark = F.hash("class")
+    several = rows.groupBy("shingle").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("shingle")
+    return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
-    sizes = shared.select(F.col("class").alias("first"), F.col("n").alias("n_first"), "shingle")
-    stars = shared.where("class <> first").join(sizes, ["shingle", "first"])
-    stars = stars.where(F.least("n", "n_first") >= like * F.greatest("n", "n_first") - 1e-6)
-    found = write_scratch(_confirmed(stars.select(F.col("first").alias("a"), F.col("class").alias("b")).distinct(), own, like), "stars")
 
-    groups = write_scratch(components(found), "groups")
-    left = shared.join(groups, shared["class"] == groups["node"], "left").select(
+def stars(index: DataFrame, like: float = LIKE) -> DataFrame:
+    """a, b: each class of ``index`` with the least one under each of its shingles, where lengths allow them to be alike."""
+    least = index.groupBy("shingle").agg(F.min("class").alias("a"))
+    sizes = index.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"))
+    met = index.join(least.join(sizes, ["shingle", "a"]), "shingle").where("class <> a")
+    return met.where(F.least("n", "n_a") >= like * F.greatest("n", "n_a") - 1e-6).select("a", F.col("class").alias("b"))
+
+
+def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
+    """a, b: classes of ``index`` under one shingle that ``groups`` (node, component) hasn't in one group."""
+    left = index.join(groups, index["class"] == groups["node"], "left").select(
         "shingle", "class", "n", F.coalesce("component", "class").alias("group")
     )
-    by = Window.partitionBy("shingle")
-    left = left.withColumns({"low": F.min("group").over(by), "high": F.max("group").over(by)}).where("low <> high")
-    left = write_scratch(left.select("shingle", "class", "n", "group"), "left")
+    several = left.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("shingle")
+    left = left.join(several, "shingle", "left_semi")
     one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("g_a"))
     two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("g_b"))
-    meet = one.join(two, "shingle").where(
-        (F.col("a") < F.col("b")) & (F.col("g_a") != F.col("g_b")) & (F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6)
-    )
-    more = _confirmed(meet.select("a", "b").distinct(), own, like)
-    return found.unionByName(more)
+    meet = one.join(two, "shingle").where("a < b and g_a <> g_b")
+    return meet.where(F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6).select("a", "b")
+
 
+def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:
+    """The pairs (a, b) of classes whose whole sets (class, set) are alike."""
+    one = sets.select(F.col("class").alias("a"), F.col("set").alias("of_a"))
+    two = sets.select(F.col("class").alias("b"), F.col("set").alias("of_b"))
+    both = F.size(F.array_intersect("of_a", "of_b"))
+    enough = both * (1 + like) >= like * (F.size("of_a") + F.size("of_b")) - 1e-6
+    return pairs.join(one, "a").join(two, "b").where(enough).select("a", "b")
 
-def near_duplicates(keyed: DataFrame, words: int = WORDS, like: float = LIKE) -> DataFrame:
-    """The columns of ``keyed`` but text, with group, for rows of (key, text, ...).
 
-    ``group`` is the least class of those that links connect. Texts without words are one class.
-    Repeated rows are returned each; an empty table gives no rows.
-    """
-    sets = write_scratch(shingled(keyed, words), "shingles")
-    stars = components(links(sets, like))
-    joined = sets.drop("set", "n").join(stars, sets["class"] == stars["node"], "left")
-    return joined.withColumn("group", F.coalesce("component", "class")).drop("node", "component", "class")
+def parted(text: str | None, words: int, known: tuple[np.ndarray, np.ndarray], like: float) -> tuple[np.ndarray, int, int, np.ndarray, np.ndarray]:
+    """A text's shingles with repeats, its class, how many distinct ones it has, those indexed, and its set."""
+    every = digests(text, words)
+    own = np.unique(every)
+    low = np.unique((own & np.uint64(0xFFFFFFFF)).astype(np.uint32)).view(np.int32)
+    return every, xxhash.xxh64_intdigest(own.tobytes(), SEED), len(own), first_of(own, known, like).view(np.int64), low
 
 
-def deduplicated(docs: DataFrame, words: int = WORDS, like: float = LIKE) -> DataFrame:
-    """One row of each near-duplicate group of ``docs``, as ``simhash.one_of_each`` takes it."""
-    return one_of_each(docs, lambda keyed: near_duplicates(keyed, words, like))
+def sliced(batches):
+    """The batches in slices of bounded bytes of their first column."""
+    for batch in batches:
+        yield from slices(batch, 0)

@@ -8,31 +8,31 @@ join, together with a rule that lets each pair through under one key only, so no
 leaves it.
 
 Only distinct fingerprints take part; documents with the same one are a class. Texts are read once, to make the fingerprints.
+
+Fingerprints tell texts that are nearly equal. Where near-duplicates are defined by the similarity
+of their shingles (``similar``), links of fingerprints are proposals, which the shingles of both
+texts confirm; pairs that are alike but whose fingerprints lie further apart are found by an index
+of shingles and confirmed likewise, so none is lost.
 """
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rallyframe.llm import shingles
 from rallyframe.llm.components import components
-from rallyframe.llm.scratch import write_scratch
+from rallyframe.llm.scratch import discard, write_scratch
 
 WORDS = 4
-SEED = 42
 MAX_BITS = 4
 #: First bit and width of each segment. Fingerprints up to 2 * len(SEGMENTS) - 1 bits apart have
 #: one in which they differ in at most one bit.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-#: Shingles hashed at a time, which bounds the memory a very long text takes.
+#: Hashes turned into bits at a time, which bounds the memory a very long text takes.
 _CHUNK = 1 << 15
 
 
@@ -41,18 +41,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
 
     A bit is set if it is set in over half of the hashes of all word shingles, repeats included.
     """
-    found = _WORD.findall((text or "").encode().translate(_LOWER))
-    if not found:
-        return 0
-    k = min(words, len(found))
-    n = len(found) - k + 1
+    return of_hashes(shingles.digests(text, words))
+
+
+def of_hashes(hashes: np.ndarray) -> int:
+    """The bits that are set in over half of the hashes."""
     ones = np.zeros(64, dtype=np.int64)
-    digest = xxhash.xxh64_intdigest
-    for at in range(0, n, _CHUNK):
-        part = found[at : at + _CHUNK + k - 1]
-        hashes = np.array([digest(s, SEED) for s in map(b" ".join, zip(*(part[i:] for i in range(k))))], dtype="<u8")
-        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    for at in range(0, len(hashes), _CHUNK):
+        part = hashes[at : at + _CHUNK]
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
 def fingerprinted(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -115,6 +113,60 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS, bits_apart: int = MAX_
     return prints.join(joined.join(least, "group").select("fp", "group", "component"), "fp")
 
 
+def _prepared(keyed: DataFrame, words: int, like: float) -> DataFrame:
+    """The columns of ``keyed`` but text, with class, fp, n, prefix and set of each text (see ``shingles``)."""
+    rest = [c for c in keyed.columns if c != "text"]
+    kinds = ", ".join(f"`{c}` {keyed.schema[c].dataType.simpleString()}" for c in rest)
+    known = keyed.sparkSession.sparkContext.broadcast(shingles.common(keyed, words))
+
+    def batches(them):
+        for some in shingles.sliced(them):
+            found = [shingles.parted(t, words, known.value, like) for t in some.column(0).to_pylist()]
+            of = np.array([f[1] for f in found], dtype=np.uint64).view(np.int64)
+            prints = np.array([of_hashes(f[0]) for f in found], dtype=np.uint64).view(np.int64)
+            many = pa.array([f[2] for f in found], pa.int32())
+            columns = [pa.array(of), pa.array(prints), many, shingles.lists([f[3] for f in found], np.int64), shingles.lists([f[4] for f in found], np.int32)]
+            yield pa.RecordBatch.from_arrays([*some.columns[1:], *columns], names=[*rest, "class", "fp", "n", "prefix", "set"])
+
+    return keyed.select("text", *rest).mapInArrow(batches, f"{kinds}, class long, fp long, n int, prefix array<long>, set array<int>")
+
+
+def _proposed(classes: DataFrame, bits_apart: int) -> DataFrame:
+    """a, b: classes (class, fp) to compare: those of one fingerprint with its least, and its least with the least near one."""
+    least = write_scratch(classes.groupBy("fp").agg(F.min("class").alias("least")), "prints")
+    same = classes.join(least, "fp").where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b"))
+    near = near_pairs(least.select("fp"), bits_apart).groupBy(F.col("b").alias("fp")).agg(F.min("a").alias("near"))
+    of = least.select(F.col("fp").alias("near"), F.col("least").alias("a"))
+    return same.unionByName(near.join(least, "fp").join(of, "near").select("a", F.col("least").alias("b")))
+
+
+def similar(keyed: DataFrame, words: int = shingles.WORDS, like: float = shingles.LIKE, bits_apart: int = 2 * len(SEGMENTS) - 1) -> DataFrame:
+    """The columns of ``keyed`` but text, with class and group, for rows of (key, text, h).
+
+    Texts are linked whose sets of word shingles have a Jaccard similarity of ``like`` or more;
+    ``group`` is the least class that links reach. Texts without words are one class. Repeated rows
+    are returned each; an empty table gives no rows. h is a hash of the text.
+
+    Pairs are confirmed in two rounds: first what fingerprints propose, and each class with the least
+    one under each of its indexed shingles; then the pairs that the first round has not put in one
+    group, so that large groups don't cost the square of their size.
+    """
+    whole = write_scratch(_prepared(keyed, words, like), "prepared")
+    own = write_scratch(whole.drop("fp", "n", "prefix", "set"), "keys")
+    index = write_scratch(shingles.shared(whole.select("class", "n", "prefix")), "index")
+    first = _proposed(whole.select("class", "fp").distinct(), bits_apart).unionByName(shingles.stars(index, like))
+    first = write_scratch(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "proposed")
+    needed = index.select("class").unionByName(first.select(F.col("a").alias("class"))).unionByName(first.select(F.col("b").alias("class"))).distinct()
+    sets = write_scratch(whole.select("class", "set").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
+    discard(whole)
+    links = write_scratch(shingles.alike(first, sets, like), "links")
+    groups = write_scratch(components(links), "groups")
+    rest = write_scratch(shingles.across(index, groups, like).distinct(), "rest")
+    links = links.unionByName(shingles.alike(rest, sets, like))
+    found = components(links)
+    return own.join(found, own["class"] == found["node"], "left").withColumn("group", F.coalesce("component", "class")).drop("node", "component")
+
+
 def one_of_each(docs: DataFrame, grouped) -> DataFrame:
     """One row of each group of ``docs``, with the columns of ``docs``.
 
@@ -138,6 +190,11 @@ def deduplicated(docs: DataFrame, words: int = WORDS, bits_apart: int = MAX_BITS
     return one_of_each(docs, lambda keyed: near_duplicates(keyed, words, bits_apart))
 
 
+def deduplicated_similar(docs: DataFrame, words: int = shingles.WORDS, like: float = shingles.LIKE) -> DataFrame:
+    """One row of each group of texts that ``similar`` links, as ``one_of_each`` takes it."""
+    return one_of_each(docs, lambda keyed: similar(keyed, words, like))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """op8: fingerprint and near-duplicate component of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -4,7 +4,9 @@ import random
 
 import corpus_pipeline
 
-from rallyframe.llm import shingles
+from pyspark.sql import functions as F
+
+from rallyframe.llm import shingles, simhash
 
 
 def sets_of(text):
@@ -58,4 +60,12 @@ def test_all_pairs_at_the_similarity_link_and_no_others(spark):
 
 def test_shingles_that_are_indexed_suffice():
     assert [shingles.indexed(n) for n in (0, 1, 4, 5, 10, 11)] == [0, 1, 1, 2, 3, 3]
-    assert len(shingles.shingles("a b c d e f a b c d e f")) == 6 and len(shingles.shingles("A b")) == 1
+    assert len(shingles.digests("a b c d e f a b c d e f", 5)) == 8 and len(shingles.digests("A b", 5)) == 1
+
+
+def test_fingerprints_propose_most_near_copies(spark):
+    """What deletion variants alone find, before the index of shingles adds the rest."""
+    texts = corpus()
+    keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string")
+    whole = simhash._prepared(keyed.withColumn("h", F.xxhash64("text")), 5, 0.8).select("class", "fp").distinct()
+    assert simhash._proposed(whole, 5).count() > 0
