@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rallyframe.llm import packing, secrets, shingles, toxicity
+from rallyframe.llm import packing, secrets, simhash, toxicity
 from rallyframe.llm.scratch import write_scratch
 
 
@@ -25,7 +25,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Fingerprints can't tell that: such pairs lie about ten bits apart on average, so the similarity
     itself is joined on.
     """
-    return shingles.deduplicated(docs, words=5, like=0.8)
+    return simhash.deduplicated_similar(docs, words=5, like=0.8)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
