@@ -99,16 +99,20 @@ def shared(sets: DataFrame) -> DataFrame:
     return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
 
-def stars(index: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b: each class of ``index`` with the least one under each of its shingles, where lengths allow them to be alike."""
+def stars(index: DataFrame) -> DataFrame:
+    """a, b: each class of ``index`` with that least class of its shingles that is so for most of them."""
     least = index.groupBy("shingle").agg(F.min("class").alias("a"))
-    sizes = index.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"))
-    met = index.join(least.join(sizes, ["shingle", "a"]), "shingle").where("class <> a")
-    return met.where(F.least("n", "n_a") >= like * F.greatest("n", "n_a") - 1e-6).select("a", F.col("class").alias("b"))
+    met = index.join(least, "shingle").where("class <> a").groupBy("class", "a").agg(F.count("*").alias("times"))
+    return met.groupBy(F.col("class").alias("b")).agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
 
 
 def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b: classes of ``index`` under one shingle that ``groups`` (node, component) hasn't in one group."""
+    """a, b: classes that ``groups`` (node, component) hasn't in one group, and that may be alike by what they share.
+
+    Each pair's common indexed shingles are counted. What two sets share is indexed in both, or lies
+    beyond the indexed part of the one whose part ends first; so they share no more than that count
+    and the longer of the two rests.
+    """
     left = index.join(groups, index["class"] == groups["node"], "left").select(
         "shingle", "class", "n", F.coalesce("component", "class").alias("group")
     )
@@ -116,8 +120,12 @@ def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame
     left = left.join(several, "shingle", "left_semi")
     one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("g_a"))
     two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("g_b"))
-    meet = one.join(two, "shingle").where("a < b and g_a <> g_b")
-    return meet.where(F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6).select("a", "b")
+    lengths = F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6
+    meet = one.join(two, "shingle").where(F.expr("a < b and g_a <> g_b") & lengths)
+    counted = meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
+    rest = F.ceil(like * F.greatest("n_a", "n_b") - 1e-9) - 1
+    enough = (F.col("common") + rest) * (1 + like) >= like * (F.col("n_a") + F.col("n_b")) - 1e-6
+    return counted.where(enough).select("a", "b")
 
 
 def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:

@@ -7,6 +7,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from rallyframe.llm import shingles, simhash
+from rallyframe.llm.scratch import write_scratch
 
 
 def sets_of(text):
@@ -69,3 +70,19 @@ def test_fingerprints_propose_most_near_copies(spark):
     keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string")
     whole = simhash._prepared(keyed.withColumn("h", F.xxhash64("text")), 5, 0.8).select("class", "fp").distinct()
     assert simhash._proposed(whole, 5).count() > 0
+
+
+def test_the_index_alone_misses_no_pair(spark):
+    texts = corpus()
+    keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").withColumn("h", F.xxhash64("text"))
+    whole = write_scratch(simhash._prepared(keyed, 5, 0.8), "prepared")
+    of = {r["key"]: r["class"] for r in whole.select("key", "class").collect()}
+    alone = spark.createDataFrame([], "node long, component long")
+    sets = whole.select("class", "set").dropDuplicates(["class"])
+    found = shingles.alike(shingles.across(shingles.shared(whole), alone), sets)
+    got = {(r.a, r.b) for r in found.collect()}
+    own = {}
+    for i, t in enumerate(texts):
+        own.setdefault(of[i], sets_of(t))
+    want = {(a, b) for a in own for b in own if a < b and alike(own[a], own[b])}
+    assert len(want) > 30 and got == want
