@@ -32,6 +32,8 @@ from rallyframe.llm.words import PieceCodec, slices
 
 #: Tokens of a block, unless one slice of texts has more.
 BLOCK = 2_000_000
+#: Tokens scored at a time, unless one text has more.
+PART = 200_000
 #: Weight of the single-id distribution in a pair's probability, in tokens.
 PRIOR = 10.0
 
@@ -109,18 +111,27 @@ def counted(texts: DataFrame, targets: DataFrame, vocabulary: int) -> DataFrame:
     return both.applyInArrow(count, "block long, pair long, background long, target long")
 
 
-def _own(texts: np.ndarray, cell: np.ndarray) -> np.ndarray:
-    """How often the text (a number of each token) that holds a token holds its cell."""
-    if not len(cell):
-        return np.zeros(0, dtype=np.int64)
-    order = np.lexsort((cell, texts))
-    new = np.concatenate([[True], (np.diff(texts[order]) != 0) | (np.diff(cell[order]) != 0)])
-    run = np.cumsum(new) - 1
-    out = np.empty(len(cell), dtype=np.int64)
+def _run_lengths(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """How often each key occurs, given the keys in order and the order."""
+    run = np.cumsum(np.diff(keys, prepend=keys[:1] - 1) != 0) - 1
+    out = np.empty(len(keys), dtype=np.int64)
     out[order] = np.bincount(run)[run]
     return out
 
 
+def own_counts(text: np.ndarray, before: np.ndarray, ids: np.ndarray, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How often each token's pair, id before and id occur in its own text (a number of each token)."""
+    if not len(ids):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    bits = vocabulary.bit_length()
+    keys = text << 2 * bits | before << bits | ids
+    order = np.argsort(keys)
+    keys = keys[order]
+    alone = text << bits | ids
+    by_id = np.argsort(alone)
+    return _run_lengths(keys, order), _run_lengths(keys >> bits, order), _run_lengths(alone[by_id], by_id)
+
+
 class Pair:
     """The two models but for their pairs: counts of ids and of ids before, as rows background and target."""
 
@@ -150,16 +161,27 @@ class Pair:
         # A text is part of the background, and of the target if it is one.
         part = np.stack([np.ones(len(text)), np.repeat(target, lengths).astype(float)])[self.rows]
         before = _before(ids, ends, self.vocabulary)
-        cell = cells(before, ids)
+        own_pair, own_before, own_id = own_counts(text, before, ids, self.vocabulary)
         scale = self.scale[self.rows]
 
         def rest(known: np.ndarray, own: np.ndarray) -> np.ndarray:
             return np.maximum(known - part * own, 0) * scale
 
-        seen = rest(counts[self.rows][:, np.searchsorted(pairs, cell)], _own(text, cell))
-        single = rest(self.single[:, ids], _own(text, ids)) + 1
+        seen = rest(counts[self.rows][:, np.searchsorted(pairs, cells(before, ids))], own_pair)
+        single = rest(self.single[:, ids], own_id) + 1
         of = rest(np.broadcast_to(self.total, part.shape), np.repeat(lengths, lengths)) + self.vocabulary
-        return -np.log((seen + PRIOR * single / of) / (rest(self.before[:, before], _own(text, before)) + PRIOR))
+        return -np.log((seen + PRIOR * single / of) / (rest(self.before[:, before], own_before) + PRIOR))
+
+    def means(self, ids: np.ndarray, ends: np.ndarray, target: np.ndarray, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The mean loss of each text (columns) under both models (rows), some texts at a time; 0 without tokens."""
+        out = np.zeros((2, len(ends) - 1))
+        parts = np.flatnonzero(np.diff(ends[1:] // PART, prepend=-1))
+        for a, b in zip(parts, [*parts[1:], len(ends) - 1]):
+            bounds = ends[a : b + 1] - ends[a]
+            loss = self.losses(ids[ends[a] : ends[b]], bounds, target[a:b], pairs, counts)
+            sums = np.concatenate([np.zeros((2, 1)), np.cumsum(loss, axis=1)], axis=1)
+            out[:, a:b] = (sums[:, bounds[1:]] - sums[:, bounds[:-1]]) / np.maximum(np.diff(bounds), 1)
+        return out
 
 
 def models(table: DataFrame, vocabulary: int) -> Pair:
@@ -189,9 +211,7 @@ def scored(texts: DataFrame, known: DataFrame, pair: Pair) -> DataFrame:
         pairs, first = np.unique(_column(told, "pair").to_numpy(), return_index=True)
         times = np.stack([_column(told, c).to_numpy()[first] for c in ("background", "target")])
         target = np.asarray(pc.is_in(docs["doc_id"], _column(told, "doc_id")))
-        loss = model.value.losses(ids, ends, target, pairs, times)
-        sums = np.concatenate([np.zeros((2, 1)), np.cumsum(loss, axis=1)], axis=1)
-        mean = (sums[:, ends[1:]] - sums[:, ends[:-1]]) / np.maximum(n, 1)
+        mean = model.value.means(ids, ends, target, pairs, times)
         return pa.table(
             [docs["doc_id"], pa.array(n.astype(np.int64)), pa.array(mean[0]), pa.array(mean[1]), pa.array(mean[0] - mean[1])],
             names=["doc_id", "n_tokens", "background_loss", "target_loss", "score"],
