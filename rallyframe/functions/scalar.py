@@ -50,8 +50,9 @@ def elapsed(period: Column, remaining: Column, regular: Column, n_regular: Colum
 
 
 def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den where den is positive, else null."""
-    return F.when(den > 0, num.cast("double") / den)
+    """num / den where den is positive and finite, else null."""
+    of = den.cast("double")
+    return F.when((of > 0) & ~F.isnan(of) & (of < float("inf")), num.cast("double") / of)
 
 
 def slugify(text: Column) -> Column:
@@ -69,6 +70,47 @@ def joined_description(*parts: Column) -> Column:
     return F.concat_ws(" ", *parts)
 
 
+def stint_description(home: Column, visitor: Column, neutral: Column) -> Column:
+    """Descriptions as stints read them: home, visitor, neutral, in upper case."""
+    return F.upper(joined_description(home, visitor, neutral))
+
+
+def box_description(home: Column, neutral: Column, visitor: Column) -> Column:
+    """Descriptions as box scores read them: home, neutral, visitor, in their own case."""
+    return joined_description(home, neutral, visitor)
+
+
+def known_number(value: Column, default: Column | None = None) -> Column:
+    """A number that is neither null nor NaN, else the default, else null."""
+    fine = F.when(~F.isnan(value), value)
+    return fine if default is None else F.coalesce(fine, F.when(~F.isnan(default), default))
+
+
+def whole_number(value: Column) -> Column:
+    """A number or its text as an integer, half to even; null if it is none."""
+    return F.bround(known_number(value.try_cast("double")), 0).try_cast("long")
+
+
+def rounded(value: Column, places: int) -> Column:
+    """A number to some places, half to even; null for null, NaN and what is no number."""
+    return F.bround(known_number(value.try_cast("double")), places)
+
+
+def scope_file(stem: str, scope: Column) -> Column:
+    """``stem`` with the scope's suffix, as a JSON file's name; an unknown scope gives null."""
+    suffix = F.lit(None).cast("string")
+    for name, text in SCOPE_SUFFIX.items():
+        suffix = F.when(scope == name, text).otherwise(suffix)
+    return F.concat(F.lit(stem), suffix, F.lit(".json"))
+
+
+def drawn_geometry(arc: Column, corner: Column) -> tuple[Column, Column]:
+    """Radii to draw with: an arc that isn't a positive number is today's, such a corner is the arc's."""
+    fine = lambda c: F.when((c > 0) & ~F.isnan(c), c)
+    arc = F.coalesce(fine(arc), F.lit(ERAS[-1][1]))
+    return arc, F.coalesce(fine(corner), arc)
+
+
 def is_technical(code: Column, description: Column) -> Column:
     """Technical foul by code or by its text."""
     text = F.upper(F.coalesce(description, F.lit("")))

@@ -10,13 +10,14 @@ def asof(events: DataFrame, starts: DataFrame, keys: list[str], time: str, start
     """Each event with ``carry`` of the last start at or before it, within ``keys``.
 
     Both inputs are sorted once per key, as a union; nothing is compared pairwise. Events before
-    the first start get nulls, or with ``clamp`` the first start's values.
+    the first start get nulls, or with ``clamp`` the first start's values. Of equal starts the one
+    with the greatest ``carry`` counts.
     """
     payload = F.struct(F.col(start).alias("__start"), *carry)
     left = events.withColumns({"__t": F.col(time), "__kind": F.lit(1), "__payload": F.lit(None).cast(starts.select(payload.alias("p")).schema["p"].dataType)})
     right = starts.select(*keys, F.col(start).alias("__t"), F.lit(0).alias("__kind"), payload.alias("__payload"))
     both = left.unionByName(right, allowMissingColumns=True)
-    order = Window.partitionBy(*keys).orderBy("__t", "__kind")
+    order = Window.partitionBy(*keys).orderBy("__t", "__kind", "__payload")
     found = F.last("__payload", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     if clamp:
         found = F.coalesce(found, F.min("__payload").over(Window.partitionBy(*keys)))

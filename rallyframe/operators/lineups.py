@@ -25,12 +25,15 @@ def primary_group(rows: DataFrame, member: str, group: str, weight: str) -> Data
 def on_off(stints: DataFrame, group: str, lineup: str, values: list[str]) -> DataFrame:
     """member, group, on_*, off_*: sums with a member present and absent, within a group.
 
-    Absence is the group's total less presence, so no member meets the stints it sat out.
+    Absence is the group's total less presence, so no member meets the stints it sat out. Each stint
+    is read once: besides its members it adds to an entry without one, the group's total.
     """
-    totals = stints.groupBy(group).agg(*(F.sum(v).alias(f"all_{v}") for v in values))
-    on = exploded(stints, lineup, "member").groupBy("member", group).agg(*(F.sum(v).alias(f"on_{v}") for v in values))
-    both = on.join(totals, group)
-    return both.select("member", group, *(f"on_{v}" for v in values), *((F.col(f"all_{v}") - F.col(f"on_{v}")).alias(f"off_{v}") for v in values))
+    everyone = F.array_append(F.transform(lineup, lambda m: F.struct(m.alias("member"))), F.lit(None))
+    rows = stints.select(group, *values, F.explode(everyone).alias("who")).select(group, *values, "who.member", F.col("who").isNull().alias("total"))
+    sums = rows.groupBy(group, "member", "total").agg(*(F.sum(v).alias(f"on_{v}") for v in values))
+    whole = Window.partitionBy(group)
+    sums = sums.withColumns({f"off_{v}": F.max(F.when(F.col("total"), F.col(f"on_{v}"))).over(whole) - F.col(f"on_{v}") for v in values})
+    return sums.where(~F.col("total")).select("member", group, *(f"on_{v}" for v in values), *(f"off_{v}" for v in values))
 
 
 def two_sided(sides: DataFrame, stint: str, team: str, values: list[str]) -> DataFrame:

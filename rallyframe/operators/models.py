@@ -1,13 +1,15 @@
 """Weighted ridge by sufficient statistics, cross-validation and soft assignment.
 
-Design rows stay in long form (row, column, weight, label). The Gram matrix comes from one join
-of the rows with themselves on row; only (columns x columns) numbers reach the driver. Folds are
-sums: the training Gram of a fold is the total less the fold's own.
+Design rows stay in long form (row, column, weight, label). Each row's columns are gathered once and
+its products emitted from there, to be added up within each task before anything is shuffled; only
+(columns x columns) numbers reach the driver, as arrays. Folds are sums: the training Gram of a fold
+is the total less the fold's own.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,10 @@ from pyspark.sql import functions as F
 def gram(long: DataFrame, row: str, col: str, weight: str, by: str | None = None) -> DataFrame:
     """i, j, w (and ``by``): weighted products of indicator columns, upper triangle."""
     extra = [by] if by else []
-    a = long.select(row, *extra, F.col(col).alias("i"), F.col(weight).alias("__w"))
-    b = long.select(row, F.col(col).alias("j"))
-    return a.join(b, row).where("i <= j").groupBy(*extra, "i", "j").agg(F.sum("__w").alias("w"))
+    rows = long.groupBy(row, *extra).agg(F.array_sort(F.collect_set(col)).alias("cols"), F.max(weight).alias("w"))
+    from_here = F.transform("cols", lambda c, k: F.struct(c.alias("i"), F.slice("cols", k + 1, F.size("cols")).alias("rest")))
+    pairs = rows.select(*extra, "w", F.explode(from_here).alias("of")).select(*extra, "w", "of.i", F.explode("of.rest").alias("j"))
+    return pairs.groupBy(*extra, "i", "j").agg(F.sum("w").alias("w"))
 
 
 def moments(long: DataFrame, col: str, weight: str, label: str, by: str | None = None) -> DataFrame:
@@ -26,54 +29,77 @@ def moments(long: DataFrame, col: str, weight: str, label: str, by: str | None =
     return long.groupBy(*extra, F.col(col).alias("i")).agg(F.sum(weight).alias("w"), F.sum(F.col(weight) * F.col(label)).alias("wy"))
 
 
-def _dense(products: list, sums: list, index: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n = len(index)
-    g, w, wy = np.zeros((n, n)), np.zeros(n), np.zeros(n)
-    for r in products:
-        g[index[r["i"]], index[r["j"]]] = g[index[r["j"]], index[r["i"]]] = r["w"]
-    for r in sums:
-        w[index[r["i"]]], wy[index[r["i"]]] = r["w"], r["wy"]
-    return g, w, wy
+class Sums:
+    """The dense sufficient statistics of a design: Gram matrix, weights and weighted labels of its columns.
+
+    The columns (players, say) number in the thousands at most, which bounds what the driver holds.
+    """
+
+    def __init__(self, long: DataFrame, row: str, col: str, weight: str, label: str, fold: str | None = None):
+        table = moments(long, col, weight, label, fold).toArrow()
+        products = gram(long, row, col, weight, fold).toArrow()
+        self.columns = np.unique(table["i"].to_numpy())
+        n = len(self.columns)
+        self.folds = np.unique(table[fold].to_numpy()) if fold else np.zeros(1)
+        of = lambda t: np.searchsorted(self.folds, t[fold].to_numpy()) if fold else np.zeros(t.num_rows, dtype=int)
+        at = lambda t, c: np.searchsorted(self.columns, t[c].to_numpy())
+        self.gram = np.zeros((len(self.folds), n, n))
+        self.gram[of(products), at(products, "i"), at(products, "j")] = products["w"].to_numpy()
+        self.gram = np.maximum(self.gram, self.gram.transpose(0, 2, 1))
+        self.w, self.wy = np.zeros((len(self.folds), n)), np.zeros((len(self.folds), n))
+        self.w[of(table), at(table, "i")], self.wy[of(table), at(table, "i")] = table["w"].to_numpy(), table["wy"].to_numpy()
 
 
 def ridge(long: DataFrame, rows: DataFrame, row: str, col: str, weight: str, label: str, alpha: float) -> dict:
     """Column -> coefficient. The label is centred by its weighted mean; there is no intercept.
 
-    ``rows`` has each design row once, with weight and label. The columns (players, say) number in
-    the thousands at most, which bounds the driver's solve.
+    ``rows`` has each design row once, with weight and label.
     """
     mean = rows.agg(F.sum(F.col(weight) * F.col(label)) / F.sum(weight)).first()[0]
-    index = {r["i"]: k for k, r in enumerate(long.select(F.col(col).alias("i")).distinct().orderBy("i").collect())}
-    g, w, wy = _dense(gram(long, row, col, weight).collect(), moments(long, col, weight, label).collect(), index)
-    beta = np.linalg.solve(g + alpha * np.eye(len(index)), wy - mean * w)
-    return {c: float(beta[k]) for c, k in index.items()}
+    sums = Sums(long, row, col, weight, label)
+    beta = np.linalg.solve(sums.gram[0] + alpha * np.eye(len(sums.columns)), sums.wy[0] - mean * sums.w[0])
+    return dict(zip(sums.columns.tolist(), beta.tolist()))
+
+
+def ridge_frame(long: DataFrame, rows: DataFrame, row: str, col: str, weight: str, label: str, alpha: float) -> DataFrame:
+    """col, beta of ``ridge``."""
+    beta = ridge(long, rows, row, col, weight, label, alpha)
+    table = pa.table({"col": pa.array(list(beta), pa.int64()), "beta": pa.array(list(beta.values()), pa.float64())})
+    return long.sparkSession.createDataFrame(table)
+
+
+def normal_residuals(long: DataFrame, rows: DataFrame, row: str, col: str, weight: str, label: str, alpha: float, beta: DataFrame) -> DataFrame:
+    """col, residual: what the normal equations of a fit (col, beta) leave over, zero but for rounding.
+
+    Worked out in Spark from the rows, without the Gram matrix that the fit was solved with.
+    """
+    mean = rows.agg((F.sum(F.col(weight) * F.col(label)) / F.sum(weight)).alias("mean"))
+    known = long.join(beta.select(F.col("col").alias(col), "beta"), col)
+    fitted = known.groupBy(row).agg(F.sum("beta").alias("fit"))
+    # Centred by a scalar, which is one row.
+    left = long.join(fitted, row).withColumn("left", F.col(weight) * (F.col(label) - mean.scalar() - F.col("fit")))
+    sums = left.groupBy(col).agg(F.sum("left").alias("left"), F.sum(weight).alias("size"))
+    return sums.join(beta.select(F.col("col").alias(col), "beta"), col).select(col, ((F.col("left") - alpha * F.col("beta")) / F.col("size")).alias("residual"))
 
 
 def ridge_cv(long: DataFrame, rows: DataFrame, row: str, col: str, weight: str, label: str, fold: str, alphas: list[float]) -> list[tuple[float, float]]:
     """(alpha, mean weighted RMSE over folds). Folds partition the rows; both tables carry ``fold``."""
-    totals = {
-        r[fold]: (r["w"], r["wy"], r["wyy"])
-        for r in rows.groupBy(fold)
-        .agg(F.sum(weight).alias("w"), F.sum(F.col(weight) * F.col(label)).alias("wy"), F.sum(F.col(weight) * F.col(label) ** 2).alias("wyy"))
-        .collect()
-    }
-    index = {r["i"]: k for k, r in enumerate(long.select(F.col(col).alias("i")).distinct().orderBy("i").collect())}
-    products, sums = gram(long, row, col, weight, fold).collect(), moments(long, col, weight, label, fold).collect()
-    parts = {f: _dense([r for r in products if r[fold] == f], [r for r in sums if r[fold] == f], index) for f in totals}
-    all_g, all_w, all_wy = (sum(p[k] for p in parts.values()) for k in range(3))
-    errors = {a: [] for a in alphas}
-    for f, (tw, twy, twyy) in totals.items():
-        g, w, wy = (t - p for t, p in zip((all_g, all_w, all_wy), parts[f]))
-        mean = sum(v[1] for k, v in totals.items() if k != f) / sum(v[0] for k, v in totals.items() if k != f)
-        values, axes = np.linalg.eigh(g)
-        turned = axes.T @ (wy - mean * w)
-        own_g, own_w, own_wy = parts[f]
-        for a in alphas:
-            beta = axes @ (turned / (values + a))
-            centred = twyy - 2 * mean * twy + mean * mean * tw
-            square = centred - 2 * beta @ (own_wy - mean * own_w) + beta @ own_g @ beta
-            errors[a].append(np.sqrt(max(square, 0.0) / tw))
-    return [(a, float(np.mean(e))) for a, e in errors.items()]
+    y = F.col(label)
+    totals = rows.groupBy(fold).agg(F.sum(weight).alias("w"), F.sum(F.col(weight) * y).alias("wy"), F.sum(F.col(weight) * y * y).alias("wyy")).toArrow()
+    sums = Sums(long, row, col, weight, label, fold)
+    at = np.searchsorted(sums.folds, totals[fold].to_numpy())
+    tw, twy, twyy = (totals[c].to_numpy()[np.argsort(at)] for c in ("w", "wy", "wyy"))
+    errors = np.zeros((len(sums.folds), len(alphas)))
+    for f in range(len(sums.folds)):
+        mean = (twy.sum() - twy[f]) / (tw.sum() - tw[f])
+        values, axes = np.linalg.eigh(sums.gram.sum(axis=0) - sums.gram[f])
+        turned = axes.T @ ((sums.wy.sum(axis=0) - sums.wy[f]) - mean * (sums.w.sum(axis=0) - sums.w[f]))
+        centred = twyy[f] - 2 * mean * twy[f] + mean * mean * tw[f]
+        for k, alpha in enumerate(alphas):
+            beta = axes @ (turned / (values + alpha))
+            square = centred - 2 * beta @ (sums.wy[f] - mean * sums.w[f]) + beta @ sums.gram[f] @ beta
+            errors[f, k] = np.sqrt(max(square, 0.0) / tw[f])
+    return list(zip(alphas, errors.mean(axis=0).tolist()))
 
 
 def best_alpha(scores: list[tuple[float, float]]) -> float:

@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def full_compare(ours: DataFrame, theirs: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """keys, side (both, ours, theirs), diff_*: a full outer join that says where rows are missing."""
+def full_compare(ours: DataFrame, theirs: DataFrame, keys: list[str], values: list[str], *, carry: bool = False) -> DataFrame:
+    """keys, side (both, ours, theirs), diff_*: a full outer join that says where rows are missing.
+
+    With ``carry`` also the values of both sides, a_* and b_*.
+    """
     a = ours.select(*keys, *(F.col(v).alias(f"a_{v}") for v in values), F.lit(True).alias("__a"))
     b = theirs.select(*keys, *(F.col(v).alias(f"b_{v}") for v in values), F.lit(True).alias("__b"))
     side = F.when(F.col("__b").isNull(), "ours").when(F.col("__a").isNull(), "theirs").otherwise("both")
-    return a.join(b, keys, "full").select(*keys, side.alias("side"), *((F.col(f"a_{v}") - F.col(f"b_{v}")).alias(f"diff_{v}") for v in values))
+    own = [f"{s}_{v}" for s in "ab" for v in values] if carry else []
+    return a.join(b, keys, "full").select(*keys, side.alias("side"), *((F.col(f"a_{v}") - F.col(f"b_{v}")).alias(f"diff_{v}") for v in values), *own)
 
 
 def with_name_fallback(ours: DataFrame, theirs: DataFrame, key: str, name: str) -> DataFrame:

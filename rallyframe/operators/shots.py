@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
@@ -49,3 +49,107 @@ def density_ceiling(rows: DataFrame, keys: list[str], x: str, y: str, width: flo
     whole = F.count("*").over(Window.partitionBy(*keys))
     at = F.least(F.floor(whole * share), whole - 1)
     return bins.withColumns({"__i": F.row_number().over(order) - 1, "__at": at}).where("__i = __at").select(*keys, F.col("n").alias("ceiling"))
+
+
+def half_court(rows: DataFrame, y: str) -> DataFrame:
+    """Shots taken in the attacking half."""
+    return rows.where(F.col(y).between(0, 420))
+
+
+def prepared_feed(raw: DataFrame, season: str) -> DataFrame:
+    """A raw shot feed (LOC_X, LOC_Y, SHOT_MADE_FLAG, SHOT_TYPE) with zone, made, shot_value, points and era.
+
+    The value is the feed's own; only where it says neither, the zone's.
+    """
+    kept = prepared(raw.dropna(subset=["LOC_X", "LOC_Y"]).withColumns({c: F.col(c).cast("double") for c in ("LOC_X", "LOC_Y")}), "LOC_X", "LOC_Y", season)
+    said = F.when(F.col("SHOT_TYPE").startswith("3PT"), 3).when(F.col("SHOT_TYPE").startswith("2PT"), 2)
+    value = F.coalesce(said, F.when(F.col("zone_idx") >= 9, 3).otherwise(2))
+    made = F.coalesce(F.col("SHOT_MADE_FLAG").cast("int"), F.lit(0))
+    return kept.withColumns({"made": made, "shot_value": value, "points": made * value, "era": scalar.era_value(F.col(season), 3)})
+
+
+def one_season(shots: DataFrame, season: str) -> DataFrame:
+    """season: the only one there is; an error with several or none."""
+    found = shots.agg(F.count_distinct(season).alias("n"), F.min(season).alias(season))
+    message = F.concat(F.lit("expected one season, found "), F.col("n").cast("string"))
+    return found.select(F.when(F.col("n") == 1, F.col(season)).otherwise(F.raise_error(message)).alias(season))
+
+
+def hexagons(rows: DataFrame, keys: list[str], x: str, y: str, made: str, width: float, least: int = 3) -> DataFrame:
+    """keys, hx, hy, n, pct: shots and share made in each pointy-topped hexagon ``width`` across, from ``least`` shots on.
+
+    Hexagon centres are two rectangular lattices, one shifted by half a cell; a point belongs to
+    the nearer of its nearest centre in each.
+    """
+    height = width * 3**0.5
+    px, py = F.col(x), F.col(y)
+    first = [F.round(px / width) * width, F.round(py / height) * height]
+    second = [(F.floor(px / width) + 0.5) * width, (F.floor(py / height) + 0.5) * height]
+    far = lambda c: F.pow(px - c[0], 2) + F.pow(py - c[1], 2)
+    nearer = far(first) <= far(second)
+    placed = rows.withColumns({"hx": F.when(nearer, first[0]).otherwise(second[0]), "hy": F.when(nearer, first[1]).otherwise(second[1])})
+    return placed.groupBy(*keys, "hx", "hy").agg(F.count("*").alias("n"), F.avg(F.col(made).cast("double")).alias("pct")).where(F.col("n") >= least)
+
+
+def arc_check(rows: DataFrame, season: str, x: str, y: str, three: Column, tolerance: float = 12.0, least: int = 50) -> DataFrame:
+    """season, table_arc, measured_arc, ok: the first percentile of three-point distances above the break against the era's arc.
+
+    Seasons with fewer than ``least`` such shots measure nothing and aren't ok.
+    """
+    r = F.sqrt(F.col(x) * F.col(x) + F.col(y) * F.col(y))
+    above = three & (F.col(y) > 100)
+    sums = rows.groupBy(season).agg(F.count_if(above).alias("n"), F.percentile(F.when(above, r), 0.01).alias("p"))
+    table = scalar.era_value(F.col(season), 1).cast("double")
+    measured = F.when(F.col("n") >= least, F.col("p"))
+    return sums.select(season, table.alias("table_arc"), F.bround(measured, 1).alias("measured_arc"), F.coalesce(F.abs(measured - table) <= tolerance, F.lit(False)).alias("ok"))
+
+
+def label_places(spark) -> DataFrame:
+    """era, zone_idx, x, y: where each zone's label is drawn in each era."""
+    import math
+
+    # Bearings in degrees of the labels of each ring, and how far beyond the arc they stand.
+    close, mid, beyond = (30, 90, 150), (18, 54, 90, 126, 162), ((54, 26.0), (90, 30.0), (126, 26.0))
+    out = []
+    for first, arc, corner, _ in scalar.ERAS:
+        at = lambda r, a: (r * math.cos(math.radians(a)), r * math.sin(math.radians(a)))
+        ring = (scalar.RIM_RADIUS + scalar.CLOSE_RADIUS) / 2
+        side = corner + 18 if corner < arc else arc + 14
+        places = [(0.0, 5.0), *(at(ring, a) for a in close), *(at((scalar.CLOSE_RADIUS + arc) / 2, a) for a in mid)]
+        places += [(side, 6.0), *(at(arc + more, a) for a, more in beyond), (-side, 6.0)]
+        out += [(first, z, float(px), float(py)) for z, (px, py) in enumerate(places)]
+    return spark.createDataFrame(out, "era int, zone_idx int, x double, y double")
+
+
+def misplaced_labels(spark) -> DataFrame:
+    """era, zone_idx, got of labels that don't lie in their zone (none should)."""
+    places = label_places(spark)
+    got = scalar.zone_index(F.col("x"), F.col("y"), scalar.era_value(F.col("era"), 1), scalar.era_value(F.col("era"), 2))
+    return places.withColumn("got", got).where("got <> zone_idx").select("era", "zone_idx", "got")
+
+
+def compact(shots: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, gp, games, players, player_ids, shots: a flat array of [game, x, y, made, player] positions.
+
+    ``shots`` has game, date, event, x, y, made, name and player. Games are numbered by date and id,
+    names alphabetically; shots stand in order of game and event, so equal data give equal documents.
+    """
+    own = Window.partitionBy(*keys)
+    coded = shots.withColumns({
+        "__g": F.dense_rank().over(own.orderBy("date", "game")) - 1,
+        "__p": F.when(F.col("name").isNull(), -1).otherwise(F.dense_rank().over(own.orderBy(F.col("name").asc_nulls_last())) - 1),
+    })
+    shot = F.struct("game", "event", F.array("__g", F.col("x").cast("int"), F.col("y").cast("int"), F.col("made").cast("int"), "__p").alias("five"))
+    flat = F.flatten(F.transform(F.array_sort(F.collect_list(shot)), lambda s: s["five"]))
+    games = F.array_sort(F.collect_set(F.struct("__g", F.col("game").cast("string").alias("id"), F.col("date").cast("string").alias("date"))))
+    named = coded.where("name is not null").groupBy(*keys, "name").agg(F.min_by("player", F.struct("game", "event")).alias("player"))
+    people = named.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("name", "player"))).alias("people"))
+    docs = coded.groupBy(*keys).agg(games.alias("games"), flat.alias("shots")).join(people, keys, "left")
+    return docs.select(
+        *keys,
+        F.size("games").alias("gp"),
+        F.transform("games", lambda g: F.struct(g["id"].alias("id"), g["date"].alias("date"))).alias("games"),
+        F.coalesce(F.transform("people", lambda p: p["name"]), F.array().cast("array<string>")).alias("players"),
+        F.coalesce(F.transform("people", lambda p: p["player"]), F.array().cast("array<long>")).alias("player_ids"),
+        "shots",
+    )

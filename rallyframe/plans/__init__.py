@@ -1 +1,5 @@
-"""See README.md for what lives here."""
+"""Registered queries with SQL; importing the package registers them all."""
+
+from rallyframe.plans import catalog, checks, games
+
+__all__ = ["catalog", "checks", "games"]

@@ -479,20 +479,21 @@ def ranked_nulls_last(spark, d):
 # ---------------------------------------------------------------- reconciliation
 
 
-@_query("""WITH a AS (SELECT l_orderkey AS k, round(sum(l_extendedprice), 2) AS v FROM lineitem WHERE l_orderkey % 10 <> 0 GROUP BY 1), b AS (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderkey % 7 <> 0)
+@_query("""WITH a AS (SELECT l_orderkey AS k, round(sum(l_extendedprice), 2) AS v FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), b AS (SELECT o_orderkey AS k, o_totalprice AS v FROM orders WHERE o_orderstatus <> 'F')
  SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'ours' WHEN a.k IS NULL THEN 'theirs' ELSE 'both' END AS side, round(a.v - b.v, 2) AS diff_v FROM a FULL JOIN b ON a.k = b.k""")
 def full_outer_reconcile(spark, d):
-    a = _t(spark, d, "lineitem").where("l_orderkey % 10 <> 0").groupBy(F.col("l_orderkey").alias("k")).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
-    b = _t(spark, d, "orders").where("o_orderkey % 7 <> 0").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
+    """Orders with returned items against orders that are open: each side has some that the other lacks."""
+    a = _t(spark, d, "lineitem").where("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("k")).agg(F.round(F.sum("l_extendedprice"), 2).alias("v"))
+    b = _t(spark, d, "orders").where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("v"))
     return reconcile.full_compare(a, b, ["k"], ["v"]).withColumn("diff_v", F.round("diff_v", 2))
 
 
-@_query("""WITH ours AS (SELECT CASE WHEN c_custkey % 5 = 0 THEN -c_custkey ELSE c_custkey END AS id, c_name AS name FROM customer), theirs AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_custkey % 3 <> 0),
+@_query("""WITH ours AS (SELECT CASE WHEN c_acctbal < 0 THEN -c_custkey ELSE c_custkey END AS id, c_name AS name FROM customer), theirs AS (SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_mktsegment <> 'BUILDING'),
  n AS (SELECT name, min(id) AS other FROM theirs GROUP BY 1) SELECT o.name, CASE WHEN t.id IS NULL THEN coalesce(n.other, o.id) ELSE o.id END AS id FROM ours o LEFT JOIN theirs t ON t.id = o.id LEFT JOIN n ON n.name = o.name""")
 def name_fallback_join(spark, d):
     c = _t(spark, d, "customer")
-    ours = c.select(F.when(F.col("c_custkey") % 5 == 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"))
-    theirs = c.where("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    ours = c.select(F.when(F.col("c_acctbal") < 0, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("id"), F.col("c_name").alias("name"))
+    theirs = c.where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     return reconcile.with_name_fallback(ours, theirs, "id", "name").select("name", "id")
 
 
@@ -567,11 +568,13 @@ def gram_matrix(spark, d):
     return models.gram(_design(spark, d)[0], "row", "col", "w")
 
 
-@_query()
+@_query("SELECT DISTINCT s_nationkey AS col, 0.0::DOUBLE AS residual FROM supplier JOIN lineitem ON l_suppkey = s_suppkey")
 def ridge_fit(spark, d):
+    """What the fit leaves over of its normal equations, worked out from the rows: nothing."""
     long, rows = _design(spark, d)
-    beta = models.ridge(long, rows, "row", "col", "w", "y", 2310.13)
-    return spark.createDataFrame(sorted(beta.items()), "col int, beta double").withColumn("beta", F.round("beta", 9))
+    beta = models.ridge_frame(long, rows, "row", "col", "w", "y", 2310.13)
+    left = models.normal_residuals(long, rows, "row", "col", "w", "y", 2310.13, beta)
+    return left.select("col", (F.round("residual", 7) + 0.0).alias("residual"))
 
 
 @_query()
@@ -583,12 +586,12 @@ def ridge_cv_folds(spark, d):
     return spark.createDataFrame([(a, e, a == best) for a, e in scores], "alpha double, rmse double, best boolean")
 
 
-@_query("""WITH c AS (SELECT label, avg(embedding[1]::DOUBLE) AS cx, avg(embedding[2]::DOUBLE) AS cy FROM embeddings WHERE label < 4 GROUP BY 1),
+@_query("""WITH c AS (SELECT label, avg(embedding[1]::DOUBLE) AS cx, avg(embedding[2]::DOUBLE) AS cy FROM embeddings WHERE label IS NOT NULL GROUP BY 1),
  dd AS (SELECT vec_id, c.label AS cluster, sqrt((embedding[1]::DOUBLE-cx)**2 + (embedding[2]::DOUBLE-cy)**2) AS d FROM embeddings, c), e AS (SELECT *, exp((min(d) OVER (PARTITION BY vec_id) - d)/0.3) AS e FROM dd)
  SELECT vec_id, cluster, round(e / sum(e) OVER (PARTITION BY vec_id), 6) AS share FROM e""")
 def softmax_assign(spark, d):
     e = _t(spark, d, "embeddings").select("vec_id", "label", F.get("embedding", F.lit(0)).cast("double").alias("x"), F.get("embedding", F.lit(1)).cast("double").alias("y"))
-    centres = e.where("label < 4").groupBy("label").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
+    centres = e.where("label is not null").groupBy("label").agg(F.avg("x").alias("cx"), F.avg("y").alias("cy"))
     packed = centres.agg(F.array_sort(F.collect_list(F.struct("label", "cx", "cy"))))  # a row for each cluster
     e = e.withColumn("c", packed.scalar())
     far = F.transform("c", lambda c: F.sqrt(F.pow(F.col("x") - c["cx"], 2) + F.pow(F.col("y") - c["cy"], 2)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rallyframe.sources import files
+
 
 def ingest(spark: SparkSession, source: str, schema: str, target: str, state: str, keys: list[str], order: list[str], by: list[str]) -> None:
     """Appends files that arrived at ``source`` since the last run to the partitioned ``target``.
@@ -17,13 +19,11 @@ def ingest(spark: SparkSession, source: str, schema: str, target: str, state: st
     def merge(batch: DataFrame, _: int) -> None:
         new = latest(batch, keys, order)
         touched = new.select(*by).distinct()
-        try:
-            old = spark.read.parquet(target).join(F.broadcast(touched), by, "left_semi")
+        rows = new
+        if files.exists(spark, target):
+            # A batch touches few partitions: one row each.
+            old = spark.read.parquet(target).join(touched, by, "left_semi")
             rows = latest(old.unionByName(new), keys, order)
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            rows = new
         # Cut from what it overwrites: the table is read above and replaced here.
         rows = rows.checkpoint()
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(target)
