@@ -1,18 +1,21 @@
 """I-Match document fingerprints with randomised lexicons (DataFrame functions only).
 
-The lexicon is the terms whose document frequency lies in a band. A seed's lexicon subsets are
-nested: level j keeps the terms whose hash under that seed ends in j zero bits or more, a random
-2**-j of the lexicon. A document's component for a seed is the hash of its sorted distinct terms
-in the deepest of these subsets in which it has any, so that long and short documents are told by
-a term or two each. Two fingerprints are alike by the share of equal components.
-
-Texts are shuffled once, into ranges of doc_id, where each row sees the next one. A range also
-gets a copy of the next range's first row, so no window spans more than a range. Terms meet the
-lexicon while the rows stay where they are.
-
-Size of the lexicon: a term in it is in ``LOW_SHARE`` of the documents or more, so there are at
-most (mean distinct terms of a document) / LOW_SHARE of them, whatever the number of documents.
-It is broadcast only after being counted, and shuffled beyond ``BROADCAST_TERMS``.
+The lexicon is the terms whose document frequency lies in a band. Of it there are fixed random
+subsets: for each of ``SEEDS`` seeds one that keeps a quarter of all terms, a quarter of that, and so
+on for ``RATES`` steps, whatever a document holds. A document's component for a subset is the hash of
+all its sorted distinct terms that the subset keeps; besides there is one for the whole lexicon, which
+is the plain I-Match fingerprint. Large subsets tell short texts apart and small ones long texts: the
+likeness of two fingerprints is the share of equal components among those for which either text has a
+term.
+
+A term stands for itself by its 64-bit hash, its code. Texts are shuffled once, into ranges of
+doc_id, where each row sees the next one. A range also gets a copy of the next range's first row, so
+no window spans more than a range. Codes meet the lexicon, which is broadcast, while the rows stay
+where they are.
+
+Size of the lexicon: a term in it is in ``LOW_SHARE`` of the documents or more, and in so many that
+no more than ``LEXICON`` terms can be (document frequencies add up to the distinct terms of all
+documents). That bounds what is broadcast at every size of the input.
 """
 
 from __future__ import annotations
@@ -27,10 +30,11 @@ from rallyframe.llm.scratch import write_scratch
 #: The band: inverse document frequencies from log(1 / HIGH_SHARE) to log(1 / LOW_SHARE).
 HIGH_SHARE = 0.05
 LOW_SHARE = 0.0005
-SEEDS = 16
-BROADCAST_TERMS = 2_000_000
-#: Levels are kept in four bits.
-_DEEPEST = 15
+#: Terms in the lexicon, at most.
+LEXICON = 2_000_000
+SEEDS, RATES = 8, 5
+#: Components are printed with so many bits.
+_BITS = 32
 
 
 def terms_of(text: Column) -> Column:
@@ -38,22 +42,18 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != ""))
 
 
-def _levels(term: Column, seeds: int) -> Column:
-    """The term's level for each seed, four bits each, in decimals of 16."""
+def codes_of(text: Column) -> Column:
+    """The codes of a text's distinct terms."""
+    return F.transform(terms_of(text), lambda t: F.xxhash64(t))
 
-    def level(k: int) -> Column:
-        h = F.xxhash64(term, F.lit(k)).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << _DEEPEST))
-        return F.bit_count(h.bitwiseXOR(h - 1)).cast("long") - 1
 
-    return F.array(*(level(k).cast("byte") for k in range(seeds)))
-
-
-def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, seeds: int = SEEDS) -> DataFrame:
-    """term, levels of the terms in the band."""
+def lexicon(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, most: int = LEXICON) -> DataFrame:
+    """code of the terms in the band: in two documents or more, in ``low`` of all or more, and in ``high`` of them or less."""
+    seen = docs.select(F.explode(codes_of(F.coalesce("text", F.lit("")))).alias("code")).groupBy("code").agg(F.count("*").alias("df"))
+    seen = write_scratch(seen.where("df > 1"), "frequencies")
     n = docs.count()
-    seen = docs.select(F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    kept = seen.where((F.col("df") >= low * n) & (F.col("df") <= max(high * n, 1)))
-    return kept.select("term", _levels(F.col("term"), seeds).alias("levels"))
+    whole = seen.agg(F.sum("df")).first()[0] or 0
+    return seen.where((F.col("df") >= max(2, low * n, whole / most)) & (F.col("df") <= max(2, high * n))).select("code")
 
 
 def _bounds(docs: DataFrame, n: int) -> list[int]:
@@ -95,90 +95,98 @@ def in_order(docs: DataFrame, buckets: int) -> DataFrame:
     return both.withColumns({"next": F.lead("text").over(order), "nth": F.row_number().over(order)})
 
 
-def _components(found: Column, fallback: Column, seeds: int) -> Column:
-    """Fixed number of hashes from array<struct<term, levels>>."""
-
-    def deepest(k: int) -> Column:
-        return F.array_max(F.transform(found, lambda m: m["levels"][k]))
-
-    def one(k: int, top: Column) -> Column:
-        kept = F.array_sort(F.transform(F.filter(found, lambda m: m["levels"][k] == top), lambda m: m["term"]))
-        return F.xxhash64(F.array_join(kept, " "), F.lit(k))
-
-    # An array of one binds the deepest levels, so that they are found once and not for each term.
-    bound = F.transform(F.array(F.array(*map(deepest, range(seeds)))), lambda t: F.array(*(one(k, t[k]) for k in range(seeds))))
-    whole = F.array(*(F.xxhash64(fallback, F.lit(k)) for k in range(seeds)))
-    return F.when(F.size(found) > 0, bound[0]).otherwise(whole)
-
-
-def _likeness(a: Column, b: Column, seeds: int) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x) / seeds
-
+def _retained(rows: DataFrame, words: DataFrame, carried: list[str]) -> DataFrame:
+    """bucket, nth, carried, own, changed: the sorted codes of both texts' terms in the lexicon; of all their terms if none is.
 
-def fingerprints(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, seeds: int = SEEDS, buckets: int | None = None) -> DataFrame:
+    ``rows`` has bucket, nth, the columns ``carried`` and the codes of both texts, own and changed.
+    """
+    tag = lambda codes, on: F.transform(codes, lambda c: F.struct(c.alias("code"), F.lit(on).alias("on")))
+    own, changed = F.col("own"), F.col("changed")
+    # An entry without a code makes sure that every row stays, and brings what is known of it.
+    none = F.array(F.struct(F.lit(None).cast("long").alias("code"), F.lit(0).alias("on")))
+    each = F.concat(none, tag(F.array_except(own, changed), 1), tag(F.array_except(changed, own), 2), tag(F.array_intersect(own, changed), 3))
+    exploded = rows.select("bucket", "nth", F.struct(*carried).alias("__said"), F.explode(each).alias("e"))
+    exploded = exploded.select("bucket", "nth", F.when(F.col("e.on") == 0, F.col("__said")).alias("said"), "e.code", "e.on")
+    met = exploded.join(F.broadcast(words.withColumn("known", F.lit(True))), "code", "left")
+    lists = {
+        f"{name}_{kind}": F.collect_list(F.when(F.col("on").bitwiseAND(bit) > 0, F.when(known, F.col("code"))))
+        for name, bit in (("own", 1), ("changed", 2))
+        for kind, known in (("in", F.col("known")), ("out", F.col("known").isNull()))
+    }
+    found = met.groupBy("bucket", "nth").agg(F.first("said", ignorenulls=True).alias("said"), *(c.alias(n) for n, c in lists.items()))
+    kept = [F.array_sort(F.when(F.size(f"{n}_in") > 0, F.col(f"{n}_in")).otherwise(F.col(f"{n}_out"))).alias(n) for n in ("own", "changed")]
+    return found.select("bucket", "nth", "said.*", *kept)
+
+
+def in_subset(code: Column, seed: int, step: int) -> Column:
+    """Whether the subset of a seed and step, 1 or more, keeps a term."""
+    return F.xxhash64(code, F.lit(seed)).bitwiseAND(F.lit((1 << 2 * step) - 1)) == 0
+
+
+def _subset(codes: str, seed: int, step: int) -> Column:
+    return F.filter(codes, lambda c: in_subset(c, seed, step))
+
+
+def _with_components(rows: DataFrame, names: list[str], seeds: int, rates: int) -> DataFrame:
+    """Replaces each of ``names``, sorted codes, by the array of its components; null for a subset without terms."""
+    parts = {n: [n] for n in names}
+    last = {(n, s): n for n in names for s in range(seeds)}
+    for step in range(1, rates + 1):
+        # A step's subsets lie within those of the step before.
+        made = {f"{n}_{s}_{step}": _subset(last[n, s], s, step) for n in names for s in range(seeds)}
+        rows = rows.withColumns(made)
+        for n in names:
+            for s in range(seeds):
+                last[n, s] = f"{n}_{s}_{step}"
+                parts[n].append(last[n, s])
+    one = lambda c: F.when(F.size(c) > 0, F.xxhash64(F.col(c)).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    spare = [c for n in names for c in parts[n][1:]]
+    return rows.withColumns({n: F.array(*map(one, parts[n])) for n in names}).drop(*spare)
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The share of equal components among those that either has; 1 if neither has any."""
+    pairs = F.zip_with(a, b, lambda x, y: F.when(x.isNotNull() | y.isNotNull(), F.coalesce(x == y, F.lit(False)).cast("int")))
+    known = F.filter(pairs, lambda p: p.isNotNull())
+    equal = F.aggregate(known, F.lit(0), lambda total, p: total + p)
+    return F.when(a.isNotNull() & b.isNotNull(), F.when(F.size(known) > 0, equal / F.size(known)).otherwise(F.lit(1.0)))
+
+
+def fingerprints(docs: DataFrame, low: float = LOW_SHARE, high: float = HIGH_SHARE, seeds: int = SEEDS, rates: int = RATES, buckets: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text is the document's with its last quarter replaced by the start of the next
-    document. A document without terms in the band is told by a hash of all its terms. A null
-    text counts as empty; repeated rows are taken each; other columns are ignored; an empty
-    table gives no rows.
+    document. A document without terms in the band keeps all its terms. A null text counts as empty
+    and has no component; a text of any length is taken whole. Repeated rows are taken each, next
+    to each other; other columns are ignored; an empty table gives no rows. The next document of
+    the last is the first, a single one's is itself.
     """
     spark = docs.sparkSession
-    buckets = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    words = write_scratch(lexicon(docs, low, high, seeds), "lexicon")
-    if words.count() <= BROADCAST_TERMS:
-        words = F.broadcast(words)
-    rows = in_order(docs, buckets)
+    ranges = buckets or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    words = write_scratch(lexicon(docs, low, high), "lexicon")
     n = F.char_length("text")
     cut = F.floor(n / 4).cast("int")
-    rows = rows.withColumn("edited", F.concat(F.left("text", n - cut), F.left(F.coalesce("next", F.lit("")), cut)))
-    rows = rows.withColumns({"terms": terms_of(F.col("text")), "edited_terms": terms_of(F.col("edited"))})
-    said = F.struct(
-        "guest",
-        "doc_id",
-        n.cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.xxhash64("terms").alias("whole"),
-        F.xxhash64("edited_terms").alias("edited_whole"),
-    )
-    nothing = F.lit(None)
-
-    def tagged(terms: Column, own: bool, edited: bool) -> Column:
-        return F.transform(terms, lambda t: F.struct(t.alias("term"), F.lit(own).alias("own"), F.lit(edited).alias("edited")))
-
-    # A null term makes sure that every row stays, and brings what is known of it.
-    each = F.concat(tagged(F.array(nothing.cast("string")), False, False), tagged(F.col("terms"), True, False), tagged(F.col("edited_terms"), False, True))
-    exploded = rows.select("bucket", "nth", said.alias("said"), F.explode(each).alias("e")).select(
-        "bucket", "nth", F.when(F.col("e.term").isNull(), F.col("said")).alias("said"), "e.term", "e.own", "e.edited"
-    )
-    met = exploded.join(words, "term", "left").where(F.col("levels").isNotNull() | F.col("said").isNotNull())
-    entry = F.struct("term", "levels")
-    found = met.groupBy("bucket", "nth").agg(
-        F.first("said", ignorenulls=True).alias("said"),
-        F.collect_list(F.when(F.col("own"), entry)).alias("own"),
-        F.collect_list(F.when(F.col("edited"), entry)).alias("edited"),
-    )
-    printed = found.select(
-        "bucket",
-        "nth",
-        "said.*",
-        _components(F.col("own"), F.col("said.whole"), seeds).alias("own"),
-        _components(F.col("edited"), F.col("said.edited_whole"), seeds).alias("edited"),
-    )
+    rows = in_order(docs, ranges).withColumn("edited", F.concat(F.left("text", n - cut), F.left(F.coalesce("next", F.lit("")), cut)))
+    rows = rows.select(
+        "bucket", "nth", "guest", "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        codes_of(F.col("text")).alias("own"), codes_of(F.col("edited")).alias("changed"),
+    )
+    rows = _retained(rows, words, ["guest", "doc_id", "n_chars", "edited_sha256"])
+    rows = _with_components(rows, ["own", "changed"], seeds, rates)
     after = Window.partitionBy("bucket").orderBy("nth")
-    printed = printed.withColumn("next", F.lead("own").over(after)).where(~F.col("guest"))
+    printed = rows.withColumn("following", F.lead("own").over(after)).where(~F.col("guest"))
 
     def text(hashes: str) -> Column:
-        return F.array_join(F.transform(hashes, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "-")
+        return F.array_join(F.transform(hashes, lambda h: F.coalesce(F.lower(F.lpad(F.hex(h), _BITS // 4, "0")), F.lit(""))), "-")
 
     return printed.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         text("own").alias("fingerprint"),
-        text("edited").alias("edited_fingerprint"),
-        _likeness(F.col("own"), F.col("edited"), seeds).alias("near_edited"),
-        _likeness(F.col("own"), F.col("next"), seeds).alias("near_next"),
+        text("changed").alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        likeness(F.col("own"), F.col("following")).alias("near_next"),
     )
 
 

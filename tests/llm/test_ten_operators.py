@@ -313,7 +313,55 @@ def test_fingerprints_and_edited_texts(spark):
 
 def test_lexicon_keeps_the_band(spark):
     docs = spark.createDataFrame([(i, "all " + ("half " if i % 2 else "") + f"one{i}") for i in range(20)], "doc_id long, text string")
-    assert {r.term for r in imatch.lexicon(docs, 0.1, 0.6).collect()} == {"half"}
+    assert {r.code for r in imatch.lexicon(docs, 0.1, 0.6).collect()} == {signed(xxhash.xxh64_intdigest(b"half", 42))}
+    # Two documents at least, and no more terms than the bound allows.
+    assert {r.code for r in imatch.lexicon(docs, 0.0, 1.0).collect()} == {signed(xxhash.xxh64_intdigest(w, 42)) for w in (b"all", b"half")}
+    assert {r.code for r in imatch.lexicon(docs, 0.0, 1.0, most=2).collect()} == {signed(xxhash.xxh64_intdigest(b"all", 42))}
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def chained(values, seed=42):
+    """Spark's hash of longs and ints one after the other."""
+    for v, size in values:
+        seed = xxhash.xxh64_intdigest((v % (1 << 8 * size)).to_bytes(size, "little"), seed)
+    return seed
+
+
+def test_fingerprints_match_brute_force(spark):
+    rnd = random.Random(12)
+    vocabulary = ["".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(400)]
+    texts = [" ".join(rnd.choice(vocabulary[:200] if i % 2 else vocabulary) for _ in range(rnd.choice((3, 30, 300, 2000)))) for i in range(40)]
+    texts += ["", None, "only these", "...", texts[1], texts[1] + " Extra"]
+    low, high, seeds, rates = 0.1, 0.6, 3, 4
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in imatch.fingerprints(docs, low, high, seeds, rates, buckets=4).collect()}
+    terms = lambda t: set(re.findall(r"[^\W_]+", (t or "").lower()))
+    df = collections.Counter(w for t in texts for w in terms(t))
+    band = {w for w, n in df.items() if n >= max(2, low * len(texts)) and n <= max(2, high * len(texts))}
+    assert 10 < len(band) < len(df)
+
+    def components(t):
+        kept = (terms(t) & band) or terms(t)
+        codes = sorted(signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in kept)
+        subsets = [codes] + [[c for c in codes if chained([(c, 8), (s, 4)]) & ((1 << 2 * r) - 1) == 0] for s in range(seeds) for r in range(1, rates + 1)]
+        return [chained([(c, 8) for c in sub]) & 0xFFFFFFFF if sub else None for sub in subsets]
+
+    def near(a, b):
+        known = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+        return sum(x == y for x, y in known) / len(known) if known else 1.0
+
+    named = lambda t: sorted(components(t), key=str)
+    for i, t in enumerate(texts):
+        t, nxt = t or "", texts[(i + 1) % len(texts)] or ""
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + nxt[:cut]
+        for text, print_ in ((t, got[i].fingerprint), (edited, got[i].edited_fingerprint)):
+            assert sorted((int(x, 16) if x else None for x in print_.split("-")), key=str) == named(text)
+        assert got[i].near_edited == pytest.approx(near(components(t), components(edited)))
+        assert got[i].near_next == pytest.approx(near(components(t), components(nxt)))
 
 
 # 7 ---------------------------------------------------------------------------------------------
