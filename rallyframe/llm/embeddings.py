@@ -8,18 +8,21 @@ at most the product of the two suffix norms, and pairs whose bound falls short s
 left gets the exact cosine of the unrotated vectors. Any rotation gives the same result; a good one
 stops earlier.
 
-Rows that repeat a vector are one member with a count. A tile pair is a task's unit of work: a
-label of any size is many tiles, dealt over all tasks. All links of a tile pair are looked at
-where they are found, but leave it as one row for each vector that has any: how many rows it is
-linked to, and the least vector of its component within the pair. That is all that counts and
-components need, and it doesn't grow with the square of a group.
+Rows that repeat a vector are one member with a count. Neighbouring tiles form blocks, and a pair of
+blocks is a task's unit of work, which gets each of its tiles once, whatever many pairs they are in; a
+label of any size is many blocks, dealt over all tasks. The tiles' outlines meet by label and a salt,
+so that one label's pairs are found in many tasks. All links of a block pair are looked at where they
+are found, but leave it as one row for each vector that has any: how many rows it is linked to, and
+the least vector of its component within the pair of tiles. That is all that counts and components
+need, and it doesn't grow with the square of a group. Vectors of floats stay floats until their
+cosines are worked out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rallyframe.llm.components import components
@@ -29,6 +32,8 @@ THRESHOLD = 0.93
 #: Rows of the sample that the axes are fitted on.
 SAMPLE = 5000
 TILE = 512
+#: Tiles of a block, and parts that a label's outlines are dealt into.
+BLOCK, SALTS = 8, 16
 #: Dimensions after which products are bounded, in order.
 STOPS = (8, 24)
 #: Tiles are told apart by the ranges of so many leading coordinates.
@@ -45,36 +50,49 @@ def axes(vectors: np.ndarray) -> np.ndarray:
     return turned[:, ::-1]
 
 
+def vector_of(rows: DataFrame) -> Column:
+    """A row's vector, as floats if it is stored so and else as doubles."""
+    kind = rows.schema["embedding"].dataType.elementType.simpleString()
+    return F.col("embedding") if kind == "float" else F.col("embedding").cast("array<double>")
+
+
 def members(rows: DataFrame) -> DataFrame:
-    """label, dim, vector, vec_id (the least), copies: distinct usable vectors of each label.
+    """label, vector, vec_id (the least), copies: distinct usable vectors of each label.
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without a
     label or a vec_id, are left out.
     """
-    v = F.col("embedding").cast("array<double>")
-    big = F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x)))
+    v = vector_of(rows)
+    big = F.aggregate(v, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x.cast("double"))))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()).where(fine & (big > 0))
     # 0.0 and -0.0 compare alike in grouping.
     return usable.groupBy("label", v.alias("vector")).agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"))
 
 
+def numbers(found: DataFrame) -> str:
+    """How components are stored: in four bytes if they are floats, else in eight."""
+    return "<f4" if found.schema["vector"].dataType.elementType.simpleString() == "float" else "<f8"
+
+
 def tiles(found: DataFrame, turned: dict[int, np.ndarray], size: int = TILE) -> DataFrame:
-    """label, dim, tile, low, high, ids, vectors: a row for each tile.
+    """label, dim, tile, block, low, high, ids, copies, vectors: a row for each tile.
 
     A label's vectors are sorted by leading coordinate in range-partitioned tasks, so a tile never
     holds more than ``size`` rows and a label may span any number of tasks.
     """
-    schema = "label long, dim int, tile string, low array<double>, high array<double>, ids array<long>, copies array<long>, vectors binary"
+    schema = "label long, dim int, tile string, block string, low array<double>, high array<double>, ids array<long>, copies array<long>, vectors binary"
+    kind = found.schema["vector"].dataType.simpleString()
+    width = np.dtype(numbers(found))
 
     def lead(batches):
         for batch in batches:
             vectors = batch.column(1).to_pylist()
-            first = [float(_unit(np.array(v)) @ turned[len(v)][:, 0]) for v in vectors]
+            first = [float(_unit(np.array(v, dtype=float)) @ turned[len(v)][:, 0]) for v in vectors]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first)], names=["label", "vector", "vec_id", "copies", "lead"])
 
     keyed = found.select(F.col("label").cast("long").alias("label"), "vector", "vec_id", "copies").mapInArrow(
-        lead, "label long, vector array<double>, vec_id long, copies long, lead double"
+        lead, f"label long, vector {kind}, vec_id long, copies long, lead double"
     )
     keyed = write_scratch(keyed.withColumn("dim", F.size("vector")), "led")
     order = ["label", "dim", "lead", "vec_id"]
@@ -86,20 +104,21 @@ def tiles(found: DataFrame, turned: dict[int, np.ndarray], size: int = TILE) ->
         part, n = TaskContext.get().partitionId(), 0
 
         def row(key, ids, copies, vectors):
-            x = np.array(vectors)
+            x = np.array(vectors, dtype=float)
             y = _units(x) @ turned[key[1]][:, :LEADING]
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([key[0]], pa.int64()),
                     pa.array([key[1]], pa.int32()),
                     pa.array([f"{part}.{n}"]),
+                    pa.array([f"{part}.{n // BLOCK}"]),
                     pa.array([y.min(axis=0).tolist()]),
                     pa.array([y.max(axis=0).tolist()]),
                     pa.array([ids], pa.list_(pa.int64())),
                     pa.array([copies], pa.list_(pa.int64())),
-                    pa.array([x.astype("<f8").tobytes()], pa.binary()),
+                    pa.array([x.astype(width).tobytes()], pa.binary()),
                 ],
-                names=["label", "dim", "tile", "low", "high", "ids", "copies", "vectors"],
+                names=["label", "dim", "tile", "block", "low", "high", "ids", "copies", "vectors"],
             )
 
         key, ids, copies, vectors = None, [], [], []
@@ -179,39 +198,45 @@ def near_vectors(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     by_dim: dict[int, list] = {r["dim"]: [] for r in found.select(F.size("vector").alias("dim")).distinct().collect()}
     for r in picked:
         by_dim[r["dim"]].append(r["vector"])
-    turned = {d: axes(_units(np.array(v))) if v else np.eye(d) for d, v in by_dim.items()}
+    turned = {d: axes(_units(np.array(v, dtype=float))) if v else np.eye(d) for d, v in by_dim.items()}
     cut = write_scratch(tiles(found, turned), "tiles")
+    width = numbers(found)
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
-    outline = cut.select("label", "dim", "tile", "low", "high")
-    a = outline.select("label", "dim", F.col("tile").alias("t"), F.col("low").alias("al"), F.col("high").alias("ah"))
-    b = outline.select("label", "dim", F.col("tile").alias("s"), F.col("low").alias("bl"), F.col("high").alias("bh"))
+    salted = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    a = cut.select("label", "dim", salted.alias("salt"), F.col("tile").alias("t"), F.col("block").alias("p"), F.col("low").alias("al"), F.col("high").alias("ah"))
+    b = cut.select(
+        "label", "dim", F.pmod(F.hash("tile"), F.lit(SALTS)).alias("salt"), F.col("tile").alias("s"), F.col("block").alias("q"), F.col("low").alias("bl"), F.col("high").alias("bh")
+    )
     # Squared gap of the two boxes; vectors of cosine c lie sqrt(2 - 2c) apart.
     gap = F.aggregate(
         F.sequence(F.lit(0), F.size("al") - 1),
         F.lit(0.0),
         lambda s, k: s + F.pow(F.greatest(F.get("al", k) - F.get("bh", k), F.get("bl", k) - F.get("ah", k), F.lit(0.0)), F.lit(2.0)),
     )
-    pairs = a.join(b, ["label", "dim"]).where((F.col("t") <= F.col("s")) & (gap <= reach * reach)).select("t", "s")
-    left = cut.select(F.col("tile").alias("t"), "dim", F.col("ids").alias("i"), F.col("copies").alias("m"), F.col("vectors").alias("x"))
-    right = cut.select(F.col("tile").alias("s"), F.col("ids").alias("j"), F.col("copies").alias("n"), F.col("vectors").alias("y"))
-    work = pairs.join(left, "t").join(right, "s")
-
-    def compare(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                x, y = (np.frombuffer(row[c], dtype="<f8").reshape(-1, row["dim"]) for c in "xy")
-                same = row["t"] == row["s"]
-                p, q = close_pairs(x, y, turned[row["dim"]], threshold)
-                if same:
-                    p, q = p[p < q], q[p < q]
-                    ids, copies = np.array(row["i"]), np.array(row["m"])
-                else:
-                    q = q + len(row["i"])
-                    ids, copies = np.array(row["i"] + row["j"]), np.array(row["m"] + row["n"])
-                cols = summed_up(ids, copies, p, q)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["node", "leader", "n"])
-
-    return work.select("t", "s", "dim", "i", "j", "m", "n", "x", "y").mapInArrow(compare, "node long, leader long, n long")
+    # A pair of tiles of different blocks is taken in the order of these.
+    once = F.when(F.col("p") == F.col("q"), F.col("t") <= F.col("s")).otherwise(F.col("p") < F.col("q"))
+    pairs = a.join(b, ["label", "dim", "salt"]).where(once & (gap <= reach * reach)).select("p", "q", "t", "s")
+    pairs = write_scratch(pairs, "tile-pairs")
+    wanted = pairs.select(F.col("p").alias("one"), F.col("q").alias("two"), F.explode(F.array("t", "s")).alias("tile")).distinct()
+    work = wanted.join(cut.select("tile", "dim", "ids", "copies", "vectors"), "tile")
+
+    def compare(which: pa.Table, given: pa.Table) -> pa.Table:
+        held = {r["tile"]: r for r in given.to_pylist()}
+        out = [[np.zeros(0, np.int64)] * 3]
+        for t, s in zip(which["t"].to_pylist(), which["s"].to_pylist()):
+            one, two = held[t], held[s]
+            x, y = (np.frombuffer(r["vectors"], dtype=width).reshape(-1, r["dim"]).astype(float) for r in (one, two))
+            i, j = close_pairs(x, y, turned[one["dim"]], threshold)
+            if t == s:
+                i, j = i[i < j], j[i < j]
+                ids, copies = np.array(one["ids"]), np.array(one["copies"])
+            else:
+                j = j + len(one["ids"])
+                ids, copies = np.array(one["ids"] + two["ids"]), np.array(one["copies"] + two["copies"])
+            out.append(summed_up(ids, copies, i, j))
+        return pa.table([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*out)], names=["node", "leader", "n"])
+
+    return pairs.groupBy("p", "q").cogroup(work.groupBy("one", "two")).applyInArrow(compare, "node long, leader long, n long")
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -238,7 +263,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             F.coalesce("component", "first").alias("component_id"),
         )
     )
-    own = rows.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("vector"))
+    own = rows.select("vec_id", "label", vector_of(rows).alias("vector"))
     out = own.join(classes, ["label", "vector"], "left")
     named = F.col("vec_id").isNotNull()
     component = F.when(named, F.coalesce("component_id", "vec_id"))
