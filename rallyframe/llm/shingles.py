@@ -19,7 +19,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallyframe.llm.words import slices
@@ -27,10 +27,10 @@ from rallyframe.llm.words import slices
 WORDS = 5
 LIKE = 0.8
 SEED = 42
-#: Documents in the sample that tells common shingles, about; one is common in so many of them.
-SAMPLE, COMMON = 20_000, 8
-#: Common shingles that are told from others, the most common first.
-MOST_COMMON = 500_000
+#: Share of the distinct texts in the sample that tells common shingles; one is common in so many of them.
+SAMPLE, COMMON = 1 / 8, 2
+#: Common shingles that are told from others, the most common first: what is broadcast is bounded by it.
+MOST_COMMON = 1_000_000
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -62,8 +62,7 @@ def common(keyed: DataFrame, words: int = WORDS) -> tuple[np.ndarray, np.ndarray
 
     keyed: (text, h), with h a hash of the text.
     """
-    share = SAMPLE / max(1, keyed.count())
-    some = keyed.where(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).groupBy("h").agg(F.min("text").alias("text"))
+    some = keyed.where(F.pmod("h", F.lit(1 << 20)) < SAMPLE * (1 << 20)).groupBy("h").agg(F.min("text").alias("text"))
 
     def each(batches):
         for batch in batches:
@@ -99,33 +98,49 @@ def shared(sets: DataFrame) -> DataFrame:
     return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
 
-def stars(index: DataFrame) -> DataFrame:
-    """a, b: each class of ``index`` with that least class of its shingles that is so for most of them."""
-    least = index.groupBy("shingle").agg(F.min("class").alias("a"))
-    met = index.join(least, "shingle").where("class <> a").groupBy("class", "a").agg(F.count("*").alias("times"))
-    return met.groupBy(F.col("class").alias("b")).agg(F.max_by("a", F.struct("times", "a")).alias("a")).select("a", "b")
-
-
-def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b: classes that ``groups`` (node, component) hasn't in one group, and that may be alike by what they share.
-
-    Each pair's common indexed shingles are counted. What two sets share is indexed in both, or lies
-    beyond the indexed part of the one whose part ends first; so they share no more than that count
-    and the longer of the two rests.
-    """
+def _grouped(index: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of ``index`` with their group, of shingles that more than one of ``groups`` (node, component) has."""
     left = index.join(groups, index["class"] == groups["node"], "left").select(
         "shingle", "class", "n", F.coalesce("component", "class").alias("group")
     )
     several = left.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("shingle")
-    left = left.join(several, "shingle", "left_semi")
+    return left.join(several, "shingle", "left_semi")
+
+
+def _may_be_alike(common: Column, n_a: Column, n_b: Column, like: float) -> Column:
+    """Whether sets of two sizes with so many common indexed shingles may be alike.
+
+    What two sets share is indexed in both, or lies beyond the indexed part of the one whose part
+    ends first; so they share no more than that count and the longer of the two rests.
+    """
+    rest = F.ceil(like * F.greatest(n_a, n_b) - 1e-9) - 1
+    lengths = F.least(n_a, n_b) >= like * F.greatest(n_a, n_b) - 1e-6
+    return lengths & ((common + rest) * (1 + like) >= like * (n_a + n_b) - 1e-6)
+
+
+def stars(index: DataFrame, groups: DataFrame, turn: int, like: float = LIKE) -> DataFrame:
+    """a, b: classes with one of another group, the one that leads most of their shingles, if that may be alike.
+
+    Each shingle is led by one of its classes, another in each ``turn``. So a shingle of very many
+    classes gives one pair for each and not one for each two.
+    """
+    left = _grouped(index, groups)
+    leads = left.groupBy("shingle").agg(F.min_by(F.struct("class", "n", "group"), F.xxhash64(F.lit(turn), "class")).alias("led"))
+    leads = leads.select("shingle", F.col("led.class").alias("a"), F.col("led.n").alias("n_a"), F.col("led.group").alias("g_a"))
+    met = left.join(leads, "shingle").where("group <> g_a").groupBy("class", "n", "a", "n_a").agg(F.count("*").alias("common"))
+    met = met.where(_may_be_alike(F.col("common"), F.col("n"), F.col("n_a"), like))
+    return met.groupBy(F.col("class").alias("b")).agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b")
+
+
+def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
+    """a, b: all classes that ``groups`` (node, component) hasn't in one group, and that may be alike by what they share."""
+    left = _grouped(index, groups)
     one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("g_a"))
     two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("g_b"))
     lengths = F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6
     meet = one.join(two, "shingle").where(F.expr("a < b and g_a <> g_b") & lengths)
     counted = meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
-    rest = F.ceil(like * F.greatest("n_a", "n_b") - 1e-9) - 1
-    enough = (F.col("common") + rest) * (1 + like) >= like * (F.col("n_a") + F.col("n_b")) - 1e-6
-    return counted.where(enough).select("a", "b")
+    return counted.where(_may_be_alike(F.col("common"), F.col("n_a"), F.col("n_b"), like)).select("a", "b")
 
 
 def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:

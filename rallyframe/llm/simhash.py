@@ -32,6 +32,8 @@ MAX_BITS = 4
 #: one in which they differ in at most one bit.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 
+#: Rounds in which classes meet leading ones, before all pairs left over are looked at.
+TURNS = 1
 #: Hashes turned into bits at a time, which bounds the memory a very long text takes.
 _CHUNK = 1 << 15
 
@@ -147,23 +149,28 @@ def similar(keyed: DataFrame, words: int = shingles.WORDS, like: float = shingle
     ``group`` is the least class that links reach. Texts without words are one class. Repeated rows
     are returned each; an empty table gives no rows. h is a hash of the text.
 
-    Pairs are confirmed in two rounds: first what fingerprints propose, and each class with one that
-    its indexed shingles point to; then the pairs that the first round has not put in one group and
-    that share enough of the index, so that large groups don't cost the square of their size.
+    Pairs are confirmed in rounds: first what fingerprints propose, then in ``TURNS`` turns each class
+    with one that its indexed shingles point to, and last all pairs that are not in one group by then
+    and share enough of the index. So large groups don't cost the square of their size.
     """
     whole = write_scratch(_prepared(keyed, words, like), "prepared")
     own = write_scratch(whole.drop("fp", "n", "prefix", "set"), "keys")
     index = write_scratch(shingles.shared(whole.select("class", "n", "prefix")), "index")
-    first = _proposed(whole.select("class", "fp").distinct(), bits_apart).unionByName(shingles.stars(index))
+    first = _proposed(whole.select("class", "fp").distinct(), bits_apart)
     first = write_scratch(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "proposed")
     needed = index.select("class").unionByName(first.select(F.col("a").alias("class"))).unionByName(first.select(F.col("b").alias("class"))).distinct()
     sets = write_scratch(whole.select("class", "set").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
     discard(whole)
     links = write_scratch(shingles.alike(first, sets, like), "links")
     groups = write_scratch(components(links), "groups")
+    for turn in range(TURNS):
+        more = write_scratch(shingles.alike(shingles.stars(index, groups, turn, like), sets, like), "links")
+        if more.isEmpty():
+            continue
+        links = links.unionByName(more)
+        groups = write_scratch(components(links), "groups")
     rest = write_scratch(shingles.across(index, groups, like), "rest")
-    links = links.unionByName(shingles.alike(rest, sets, like))
-    found = components(links)
+    found = components(links.unionByName(shingles.alike(rest, sets, like)))
     return own.join(found, own["class"] == found["node"], "left").withColumn("group", F.coalesce("component", "class")).drop("node", "component")
 
 
