@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
-from rallyframe.operators import archetypes, box, evaluate, intervals, lineups, maps, models, ordering, rapm, rates, rotation, shots, stints, verify
-from rallyframe.plans.catalog import _SHOTS, _query, _shots, _t
-from rallyframe.sources import documents, feeds
+from rallyframe.operators import box, bpm, evaluate, models, rapm, rates, rotation, stints, verify
+from rallyframe.plans.catalog import _query, _t
 
 # ---------------------------------------------------------------- stand-ins
 
@@ -390,3 +389,23 @@ def metric_correlations(spark, d):
 def metric_components(spark, d):
     """Principal components of standardised metrics (L9, W14); tests hold them against numpy."""
     return evaluate.components(_t(spark, d, "part"), _PART)
+
+
+_BPM = ("AST_100", "TOV_100", "USG_PCT", "TS_PCT", "STL_100", "BLK_100", "DREB_100", "OREB_100")
+
+
+@_query(f"WITH {_ADV} SELECT player, round(CASE WHEN fga+0.44*fta > 0 THEN pts/(2*(fga+0.44*fta)) END, 6) AS ts FROM a")
+def true_shooting(spark, d):
+    """True shooting as box ratings read it."""
+    return _advanced(spark, d).select("player", F.round(bpm.true_shooting(F.col("pts"), F.col("fga"), F.col("fta")), 6).alias("ts"))
+
+
+@_query()
+def box_ratings(spark, d):
+    """Box ratings fitted to adjusted ones (L5, L6); tests hold the fit against numpy."""
+    columns = {"AST_100": "ast_100", "TOV_100": "tov_100", "USG_PCT": "usg", "TS_PCT": "ts", "STL_100": "stl_100", "BLK_100": "blk_100", "DREB_100": "dreb_100", "OREB_100": "oreb_100"}
+    rows = _advanced(spark, d).withColumn("blk_100", F.col("blk") / F.nullif("on_poss_d", F.lit(0)) * 100)
+    rows = rows.select("player", (F.col("on_poss_o") + F.col("on_poss_d")).cast("double").alias("POSS"), *(F.col(columns[c]).alias(c) for c in _BPM))
+    s = rapm.usable(_rated_stints(spark, d))
+    rated = rapm.ratings(rapm.fitted(s, "stint", _ALPHA)).select("player", F.col("orapm").alias("ORAPM"), F.col("drapm").alias("DRAPM"))
+    return bpm.rated(rows.join(rated, "player")).select("player", "OBPM", "DBPM", "BPM")
