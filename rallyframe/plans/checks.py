@@ -380,14 +380,14 @@ def season_merge(spark, d):
 # ---------------------------------------------------------------- row rules
 
 
-@_query("""SELECT c_custkey, CAST(round_even(c_acctbal, 0) AS BIGINT) AS whole, round_even(c_acctbal/7, 1) AS one, CASE WHEN c_acctbal < 0 THEN 1.5 ELSE c_acctbal END AS known,
+@_query("""SELECT c_custkey, CAST(round_even(c_acctbal, 0) AS BIGINT) AS whole, round_even(c_acctbal/7.3, 1) AS one, CASE WHEN c_acctbal < 0 THEN 1.5 ELSE c_acctbal END AS known,
  CASE c_mktsegment WHEN 'BUILDING' THEN 'player-stats.json' WHEN 'MACHINERY' THEN 'player-stats-playoffs.json' WHEN 'FURNITURE' THEN 'player-stats-all.json' END AS file FROM customer""")
 def number_rules(spark, d):
     """Integers, roundings, unknown numbers and file names."""
     v, segment = F.col("c_acctbal"), F.col("c_mktsegment")
     scope = F.when(segment == "BUILDING", "reg").when(segment == "MACHINERY", "playoffs").when(segment == "FURNITURE", "all")
     known = scalar.known_number(F.when(v < 0, F.lit(float("nan"))).otherwise(v), F.lit(1.5))
-    return _t(spark, d, "customer").select("c_custkey", scalar.whole_number(v).alias("whole"), scalar.rounded(v / 7, 1).alias("one"), known.alias("known"), scalar.scope_file("player-stats", scope).alias("file"))
+    return _t(spark, d, "customer").select("c_custkey", scalar.whole_number(v).alias("whole"), scalar.rounded(v / 7.3, 1).alias("one"), known.alias("known"), scalar.scope_file("player-stats", scope).alias("file"))
 
 
 @_query("SELECT s_suppkey, CASE WHEN s_acctbal > 0 THEN s_acctbal ELSE 221.5 END AS arc, CASE WHEN s_acctbal - 100 > 0 THEN s_acctbal - 100 WHEN s_acctbal > 0 THEN s_acctbal ELSE 221.5 END AS corner FROM supplier")
