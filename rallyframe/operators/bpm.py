@@ -51,8 +51,15 @@ def predicted(model: dict[str, float]) -> Column:
     return F.bround(total, 2)
 
 
+def missing_features(columns: list[str]) -> list[str]:
+    """Features of either half that a table lacks."""
+    return [f for f in (*OFFENSE, *DEFENSE) if f not in columns]
+
+
 def rated(rows: DataFrame, weight: str = "POSS", offense: str = "ORAPM", defense: str = "DRAPM") -> DataFrame:
-    """Adds OBPM, DBPM and BPM, the sum of the two as rounded."""
+    """Adds OBPM, DBPM and BPM, the sum of the two as rounded. A table without all features is an error."""
+    if missing_features(rows.columns):
+        raise ValueError(f"features missing: {', '.join(missing_features(rows.columns))}")
     halves = {}
     for name, features, label in (("OBPM", OFFENSE, offense), ("DBPM", DEFENSE, defense)):
         model = fit(rows, features, label, weight)

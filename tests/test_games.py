@@ -8,7 +8,7 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
-from rallyframe.operators import archetypes, box, evaluate, intervals, models, ranks, rapm, rates, shots, verify
+from rallyframe.operators import archetypes, box, bpm, evaluate, intervals, models, ranks, rapm, rates, shots, verify
 from rallyframe.sources import documents, feeds, files
 
 PLAYS = "game int, seq int, t double, code int, action int, p1 long, k1 int, t1 long, p2 long, k2 int, t2 long, p3 long, k3 int, t3 long, description string"
@@ -216,3 +216,8 @@ def test_tables_and_documents_are_stored(spark, tmp_path):
     index = documents.shot_index(teams, ["season"], ["abbr", "id"], {"scope": F.lit("reg")}).first()["doc"]
     assert index.startswith('{"teams":[{"abbr":"NYL","id":5}],"zone_names":["Restricted Area"')
     assert files.exists(spark, path)
+
+
+def test_box_ratings_need_all_features(spark):
+    with pytest.raises(ValueError, match="AST_100, TOV_100"):
+        bpm.rated(spark.createDataFrame([(1, 2.0)], "player int, POSS double"))
