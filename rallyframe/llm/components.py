@@ -2,6 +2,7 @@
 
 Each round is a few aggregations and equality joins on node ids, written to the shared scratch
 folder, so nothing depends on blocks of one executor and no component is gathered anywhere. The
+links of a node that very many have, as the centre of a star does, are dealt over ``SALTS`` tasks. The
 number of rounds grows with the logarithm of the longest chain.
 """
 
@@ -13,17 +14,27 @@ from pyspark.sql import functions as F
 from rallyframe.llm.scratch import write_scratch
 
 
+#: Parts that a node's links are dealt into when they meet its least neighbour.
+SALTS = 8
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Edges (u, v) with m of ``least`` (u, m), salted by v."""
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS))).join(salted, ["u", "salt"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's least neighbour instead."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both.where("v > u"), least).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, are linked to its least neighbour."""
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(edges, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
