@@ -1,8 +1,8 @@
-"""The queries of the ten operators, and SQL where it can express one."""
+"""The queries of the operators, and SQL where it can express one."""
 
 from __future__ import annotations
 
-from rallyframe.llm import dropout, embeddings, imatch, lmscore, packing, planes, secrets, sharding, simhash, toxicity
+from rallyframe.llm import dropout, embeddings, imatch, interactions, lmscore, packing, planes, secrets, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_variants": simhash.query,
     "op9_virtual_slots": sharding.query,
     "op10_bit_planes": planes.query,
+    "op11_filter_orders": interactions.query,
 }
 
 ORACLES: dict[str, str] = {
@@ -25,4 +26,5 @@ ORACLES: dict[str, str] = {
  least AS (SELECT node, min(root) AS root FROM reach GROUP BY 1), many AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
  SELECT v.vec_id, coalesce(n, 0) AS n_links, coalesce(root, v.vec_id) AS component_id, coalesce(root, v.vec_id) = v.vec_id AS kept
  FROM embeddings v LEFT JOIN least ON node = v.vec_id LEFT JOIN many ON a = v.vec_id""",
+    "op11_filter_orders": interactions.ORACLE,
 }
