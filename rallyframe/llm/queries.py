@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rallyframe.llm import dropout, embeddings, imatch, interactions, lmscore, packing, planes, secrets, sharding, simhash, toxicity
+from rallyframe.llm import conversations, dropout, embeddings, imatch, interactions, lmscore, packing, planes, secrets, sharding, simhash, suffixes, toxicity
 
 QUERIES = {
     "op1_secret_scan": secrets.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_virtual_slots": sharding.query,
     "op10_bit_planes": planes.query,
     "op11_filter_orders": interactions.query,
+    "op12_structure_repair": conversations.query,
+    "op13_difference_cover": suffixes.query,
 }
 
 ORACLES: dict[str, str] = {
