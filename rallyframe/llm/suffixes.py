@@ -3,13 +3,14 @@
 A byte goes if it lies in a string of ``Rule.length`` bytes that also starts anywhere else. The
 suffixes of all distinct texts are brought into order and neighbours compared, in steps of Spark jobs:
 
-1. *Cuts.* A position is a cut if a hash of the few bytes from it says so, or if no such position
-   follows within ``Rule.gap`` bytes. That depends on the text to its right alone, so equal strings are cut
-   alike, and every start of a string has a cut within the gap. The string runs on for ``Rule.right``
-   bytes at least after that cut. Cuts whose next ``right`` bytes are found nowhere else can't serve
+1. *Cuts.* A position is a cut if a hash of the few bytes from it says so. Where none follows for long, as
+   in lines that repeat, one whose hash is least among the next is a cut too, and where none of those
+   follows within ``Rule.gap`` bytes, every position is. That depends on the text to its right alone, so
+   equal strings are cut alike, and every start of a string has a cut within the gap. The string runs on
+   for ``Rule.right`` bytes at least after that cut. Cuts whose next ``right`` bytes are found nowhere else can't serve
    a repeat and are left out; the others, with the text around them, are the *zones*.
-2. *Names.* The phrase of a cut reaches to the end of the next cut's hashed bytes, so no phrase begins
-   another. Distinct phrases are sorted, their places are the names, and a zone is a string of names.
+2. *Names.* The phrase of a cut reaches to the end of the bytes that decide on the next cut, so no phrase
+   begins another. Distinct phrases are sorted, their places are the names, and a zone is a string of names.
 3. *Difference cover* (``suffix_ranks``). The triples of names at places 1 and 2 modulo 3 are sorted and
    named, the named strings are ranked by recursion until names tell apart all that differs within
    ``length`` bytes, and the suffixes at places 0 modulo 3 are merged in: ranks count the smaller
@@ -48,8 +49,17 @@ class Rule:
     gap: int = 240
 
     def __post_init__(self):
-        if self.gap + self.gram > self.length or self.gram & (self.gram - 1):
-            raise ValueError("gap and gram must fit into length, and gram be a power of two")
+        if self.gap + self.lonely + self.gram > self.length or self.gap < 4 or self.gram & (self.gram - 1):
+            raise ValueError("one and a half gaps and gram must fit into length, and gram be a power of two")
+
+    @property
+    def lonely(self) -> int:
+        return self.gap // 2
+
+    @property
+    def least_of(self) -> int:
+        """The hash of a lonely cut is the least of so many that follow; a power of two below ``lonely``."""
+        return 1 << ((self.gap // 3).bit_length() - 1)
 
     @property
     def right(self) -> int:
@@ -74,29 +84,46 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _SHIFT)
 
 
-def hits(buf: np.ndarray, rule: Rule) -> np.ndarray:
-    """Positions whose next ``gram`` bytes hash to a cut, in ascending order."""
-    found = []
+def hits(buf: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Positions whose next ``gram`` bytes hash to a cut, and those whose hash no other of the next ``least_of`` is below; ascending."""
+    found, low, wide = [], [], rule.least_of
     for start in range(0, max(len(buf) - rule.gram + 1, 0), BLOCK):
-        h = _mixed(buf[start : start + BLOCK + rule.gram - 1].astype(np.uint64) + np.uint64(1))
+        h = _mixed(buf[start : start + BLOCK + wide + rule.gram - 1].astype(np.uint64) + np.uint64(1))
         size = 1
         while size < rule.gram:
             h = _mixed(h[: len(h) - size] * _ODD + h[size:])
             size *= 2
-        found.append(np.flatnonzero(h < np.uint64(2**64 // rule.every)) + start)
-    return np.concatenate(found) if found else np.empty(0, np.int64)
+        found.append(np.flatnonzero(h[:BLOCK] < np.uint64(2**64 // rule.every)) + start)
+        least, size = h[1:], 1
+        while size < wide:
+            least = np.minimum(least[: max(len(least) - size, 0)], least[size:])
+            size *= 2
+        low.append(np.flatnonzero(h[: len(least)] <= least) + start)
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(found), np.concatenate(low)
 
 
 def cuts(buf: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Cuts of a text, ascending, and which of them are hits."""
-    at = hits(buf, rule)
-    edges = np.concatenate([[-1], at, [len(buf) - rule.gram]])
-    edges[-1] = max(edges[-1], -1) + 1
+    """Cuts of a text, ascending, and how many bytes from each decided that it is one."""
+    at, low = hits(buf, rule)
+    last = len(buf) - rule.gram + 1
+    following = np.append(at, last)[np.searchsorted(at, low)] if len(low) else low
+    second = low[following - low >= rule.lonely]
+    some = np.concatenate([at, second])
+    decided = np.concatenate([np.full(len(at), rule.gram), np.full(len(second), rule.lonely + rule.gram)])
+    order = np.argsort(some, kind="stable")
+    some, decided = some[order], decided[order]
+    last -= rule.lonely
+    edges = np.concatenate([[-1], some[some < last], [max(last, -1)]])
     wide = np.flatnonzero(np.diff(edges) > rule.gap)
-    others = [np.arange(edges[i] + 1, edges[i + 1] - rule.gap + 1) for i in wide]
-    every = np.concatenate([at, *others]) if others else at
+    others = np.concatenate([np.empty(0, np.int64), *[np.arange(edges[i] + 1, edges[i + 1] - rule.gap + 1) for i in wide]])
+    if not len(others):
+        return some, decided
+    every = np.concatenate([some, others])
+    decided = np.concatenate([decided, np.full(len(others), rule.gap + rule.lonely + rule.gram)])
     order = np.argsort(every, kind="stable")
-    return every[order], (np.arange(len(every)) < len(at))[order]
+    return every[order], decided[order]
 
 
 def serving(buf: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
@@ -178,13 +205,12 @@ def zones(texts: DataFrame, rule: Rule) -> DataFrame:
 
 def _phrases(view: memoryview, rule: Rule) -> Iterator[tuple[int, bytes]]:
     """(cut, phrase) of each cut of a zone."""
-    at, hit = cuts(np.frombuffer(view, np.uint8), rule)
-    at, hit = at.tolist(), hit.tolist()
+    at, decided = (x.tolist() for x in cuts(np.frombuffer(view, np.uint8), rule))
     for i, p in enumerate(at):
         if i + 1 == len(at):
             end = p + rule.length
         else:
-            end = at[i + 1] + (rule.gram if hit[i + 1] else rule.gap + rule.gram)
+            end = at[i + 1] + decided[i + 1]
         yield p, bytes(view[p : min(end, len(view))])
 
 
