@@ -1,5 +1,5 @@
 """Registered queries with SQL; importing the package registers them all."""
 
-from rallyframe.plans import catalog, checks, games
+from rallyframe.plans import catalog, checks, games, season
 
-__all__ = ["catalog", "checks", "games"]
+__all__ = ["catalog", "checks", "games", "season"]

@@ -7,10 +7,12 @@ answer with no rows is an answer and gives an empty table. One that isn't there
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rallyframe.operators import ordering
 from rallyframe.sources import files
@@ -57,58 +59,85 @@ FEEDS = {
 }
 
 
+def file_of(feed: str, **parameters) -> str:
+    """The file name of one answer of a feed: ``content_key`` of its parameters."""
+    if set(parameters) != set(FEEDS[feed].keys):
+        raise ValueError(f"{feed} is keyed by {', '.join(FEEDS[feed].keys)}")
+    parts = "_".join(sorted(f"{k}={v}" for k, v in parameters.items()))
+    return f"{feed}_{hashlib.md5(parts.encode()).hexdigest()[:8]}.csv"
+
+
 def path_of(spark: SparkSession, folder: str, feed: str, **parameters) -> str:
     """Where one answer of a feed is stored."""
-    wanted = FEEDS[feed].keys
-    if set(parameters) != set(wanted):
-        raise ValueError(f"{feed} is keyed by {', '.join(wanted)}")
-    entries = F.create_map(*(F.lit(str(x)) for kv in parameters.items() for x in kv))
-    name = spark.range(1).select(files.content_key(F.lit(feed), entries).alias("name")).first()["name"]
-    return f"{folder.rstrip('/')}/{name}"
+    return f"{folder.rstrip('/')}/{file_of(feed, **parameters)}"
 
 
 def read(spark: SparkSession, folder: str, feed: str, **parameters) -> DataFrame:
     """One stored answer, columns as declared; columns that the answer lacks are null."""
-    path = path_of(spark, folder, feed, **parameters)
-    if not files.exists(spark, path):
-        raise NotFetched(f"{feed} {parameters}")
-    return declared(spark.read.csv(path, header=True), FEEDS[feed].schema)
+    return read_many(spark, folder, feed, [parameters]).drop(*(k for k in parameters if k.upper() not in (FEEDS[feed].schema or "").upper()))
 
 
-def declared(rows: DataFrame, schema: str | None) -> DataFrame:
-    """Rows with the declared columns and kinds only; a missing column is null, text that is no number too."""
-    if schema is None:
-        return rows
-    kinds = rows.sparkSession.createDataFrame([], schema).schema
-    return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in kinds))
+def missing(spark: SparkSession, folder: str, feed: str, answers: list[dict]) -> list[dict]:
+    """Those of ``answers`` that are not stored, by one listing of the folder."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = {f.getPath().getName() for f in store.listStatus(at)} if store.exists(at) else set()
+    return [a for a in answers if file_of(feed, **a) not in there]
 
 
 def read_many(spark: SparkSession, folder: str, feed: str, answers: list[dict]) -> DataFrame:
-    """Several answers as one table with their parameters as columns; all must be stored."""
-    out = None
-    for parameters in answers:
-        one = read(spark, folder, feed, **parameters).withColumns({k: F.lit(str(v)) for k, v in parameters.items() if k.upper() not in FEEDS[feed].schema.upper()} if FEEDS[feed].schema else {k: F.lit(str(v)) for k, v in parameters.items()})
-        out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out
+    """Several answers as one table with their parameters as columns, by one scan; all must be stored.
+
+    Columns go by the header that the files share; a file with another one fails the job.
+    """
+    absent = missing(spark, folder, feed, answers)
+    if absent:
+        raise NotFetched(f"{feed} {absent[0]}" + (f" and {len(absent) - 1} more" if len(absent) > 1 else ""))
+    known, schema = FEEDS[feed].keys, FEEDS[feed].schema
+    if not answers:
+        return spark.createDataFrame([], ", ".join([*filter(None, [schema]), *(f"{k} string" for k in known if k.upper() not in (schema or "").upper())]))
+    # The list of answers is the caller's, so the table of their parameters is no larger than what the driver holds anyway.
+    paths = sorted({path_of(spark, folder, feed, **a) for a in answers})
+    header = spark.read.option("header", True).csv(paths[0]).schema
+    text = ", ".join(f"`{f.name}` string" for f in header)
+    rows = spark.read.schema(text).csv(paths, header=True, enforceSchema=False).withColumn("__file", F.col("_metadata.file_name"))
+    of = spark.createDataFrame([(file_of(feed, **a), *(str(a[k]) for k in known)) for a in answers], ", ".join(["__file string", *(f"__{k} string" for k in known)])).distinct()
+    extra = [k for k in known if schema is None or k.upper() not in schema.upper()]
+    return declared(rows.join(F.broadcast(of), "__file"), schema, {k: F.col(f"__{k}") for k in extra}, ["__file", *(f"__{k}" for k in known)])
+
+
+def declared(rows: DataFrame, schema: str | None, extra: dict[str, Column] | None = None, drop: list[str] = ()) -> DataFrame:
+    """Rows with the declared columns and kinds only; a missing column is null, text that is no number too. ``extra`` columns follow."""
+    more = [c.alias(k) for k, c in (extra or {}).items()]
+    if schema is None:
+        return rows.select(*(c for c in rows.columns if c not in drop), *more)
+    kinds = StructType.fromDDL(schema)
+    return rows.select(*((F.col(f.name) if f.name in rows.columns else F.lit(None)).try_cast(f.dataType).alias(f.name) for f in kinds), *more)
 
 
 def plays(rows: DataFrame) -> DataFrame:
-    """A play feed in the engine's terms (see ``operators.box``), each row once, in chronological order.
+    """A play feed in the engine's terms (see ``operators.box`` and ``operators.season``), each row once, in chronological order.
 
     Rows without a readable clock are left out. The order is by period, clock and number: numbers
-    alone aren't in order.
+    alone aren't in order. begins and ends are the period's; side is the bench whose column has text.
     """
     from rallyframe.functions import scalar
 
     once = rows.dropDuplicates().withColumn("remaining", scalar.clock_seconds(F.col("PCTIMESTRING")))
     scheme = ordering.period_scheme(once, "GAME_ID", "PERIOD", "remaining")
-    timed = once.join(scheme, "GAME_ID").withColumn("t", scalar.elapsed(F.col("PERIOD"), F.col("remaining"), F.col("regular"), F.col("n_regular")))
+    lasts = lambda remaining: scalar.elapsed(F.col("PERIOD"), remaining, F.col("regular"), F.col("n_regular"))
+    ends = lasts(F.lit(0))
+    begins = scalar.period_offset(F.col("PERIOD"), F.col("regular"), F.col("n_regular"))
+    timed = once.join(scheme, "GAME_ID").withColumns({"t": lasts(F.col("remaining")), "begins": begins, "ends": ends})
     timed = ordering.chronological(timed.where("t is not null"), ["GAME_ID"], ["PERIOD", "t", "EVENTNUM"])
-    slots = [F.col(c).alias(n) for k in (1, 2, 3) for c, n in ((f"PLAYER{k}_ID", f"p{k}"), (f"PERSON{k}TYPE", f"k{k}"), (f"PLAYER{k}_TEAM_ID", f"t{k}"))]
+    fields = lambda k: ((f"PLAYER{k}_ID", f"p{k}"), (f"PERSON{k}TYPE", f"k{k}"), (f"PLAYER{k}_TEAM_ID", f"t{k}"), (f"PLAYER{k}_NAME", f"n{k}"))
+    slots = [F.col(c).alias(n) for k in (1, 2, 3) for c, n in fields(k)]
+    said = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) != ""
     return timed.select(
-        F.lpad("GAME_ID", 10, "0").alias("game"), "seq", F.col("PERIOD").alias("period"), "t", F.col("EVENTMSGTYPE").alias("code"),
+        F.lpad("GAME_ID", 10, "0").alias("game"), "seq", F.col("PERIOD").alias("period"), "t", "begins", "ends", F.col("EVENTMSGTYPE").alias("code"),
         F.col("EVENTMSGACTIONTYPE").alias("action"), F.col("SCORE").alias("score"),
-        scalar.box_description(F.col("HOMEDESCRIPTION"), F.col("NEUTRALDESCRIPTION"), F.col("VISITORDESCRIPTION")).alias("description"), *slots,
+        scalar.box_description(F.col("HOMEDESCRIPTION"), F.col("NEUTRALDESCRIPTION"), F.col("VISITORDESCRIPTION")).alias("description"),
+        F.when(said("HOMEDESCRIPTION"), "home").when(said("VISITORDESCRIPTION"), "away").alias("side"), *slots,
     )
 
 
