@@ -93,8 +93,7 @@ def shared(sets: DataFrame) -> DataFrame:
     a skewed key of a join, which adaptive execution splits.
     """
     rows = sets.select(F.explode("prefix").alias("shingle"), "class", "n")
-    mark = F.hash("class")
-    several = rows.groupBy("shingle").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).where("low <> high").select("shingle")
+    several = rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("shingle")
     return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
 

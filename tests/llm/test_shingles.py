@@ -86,3 +86,9 @@ def test_the_index_alone_misses_no_pair(spark):
         own.setdefault(of[i], sets_of(t))
     want = {(a, b) for a in own for b in own if a < b and alike(own[a], own[b])}
     assert len(want) > 30 and got == want
+
+
+def test_classes_whose_32_bit_hashes_agree_share_shingles(spark):
+    rows = [(-3965417102674106237, 5, [7, 8]), (-6054336684747022631, 5, [8, 9]), (1, 5, [10]), (1, 5, [10])]
+    got = shingles.shared(spark.createDataFrame(rows, "class long, n int, prefix array<long>")).collect()
+    assert sorted((r.shingle, r["class"]) for r in got) == [(8, -6054336684747022631), (8, -3965417102674106237)]
