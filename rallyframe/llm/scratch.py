@@ -8,6 +8,7 @@ an error, as no executor could read such a folder.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -56,6 +57,15 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of DataFrames that nothing refers to any more.
+
+    It does so when the driver collects garbage, which can be long after an iterative job has moved on.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Remove all scratch tables below this session's shared folder.
 

@@ -12,8 +12,8 @@ suffixes of all distinct texts are brought into order and neighbours compared, i
 2. *Names.* The phrase of a cut reaches to the end of the bytes that decide on the next cut, so no phrase
    begins another. Distinct phrases are sorted, their places are the names, and a zone is a string of names.
 3. *Difference cover* (``suffix_ranks``). The triples of names at places 1 and 2 modulo 3 are sorted and
-   named, the named strings are ranked by recursion until names tell apart all that differs within
-   ``length`` bytes, and the suffixes at places 0 modulo 3 are merged in: ranks count the smaller
+   named; strings that hold a name which suffixes share that may differ within ``length`` bytes are ranked
+   by recursion on the names, and the suffixes at places 0 modulo 3 are merged in: ranks count the smaller
    suffixes, which two sorts give, one with the suffixes at places 1 and one with those at places 2.
 4. *Adjacent prefixes.* Neighbours in that order are compared; cuts with equal ``length`` bytes form a
    class. Places of a class with equal bytes before the cut repeat with all their starts.
@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rallyframe.llm.scratch import discard, write_scratch
+from rallyframe.llm.scratch import discard, release, write_scratch
 
 
 @dataclass(frozen=True)
@@ -200,6 +200,7 @@ def zones(texts: DataFrame, rule: Rule) -> DataFrame:
     out = write_scratch(found.select(F.monotonically_increasing_id().alias("zone"), "*"), "zones")
     discard(again)
     discard(served)
+    release(texts.sparkSession)
     return out
 
 
@@ -258,6 +259,23 @@ def beside(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     return rows.withColumns({"before": F.coalesce("before", "left"), "after": F.coalesce("after", "right")}).drop("left", "right", "value")
 
 
+def _told_apart(coded: DataFrame, rule: Rule) -> DataFrame:
+    """zone, branch, place, rank of the places whose name is open, that is shared by suffixes that may differ.
+
+    Only strings of names with an open one are ranked; a suffix goes by its name, then by that rank.
+    """
+    place = F.struct("place", "name", "at")
+    inner = coded.groupBy("zone", (F.col("branch") * 2 + F.col("place") % 3 - 1).alias("branch")).agg(F.sort_array(F.collect_list(place)).alias("s"), F.max("open").alias("open"))
+    inner = suffix_ranks(inner.where("open").select("zone", "branch", F.col("s.name").alias("names"), F.col("s.at").alias("ats")), rule)
+    half = F.pmod(F.col("branch"), F.lit(2))
+    inner = inner.select("zone", ((F.col("branch") - half) / 2).cast("long").alias("branch"), (F.col("place") * 3 + half + 1).cast("int").alias("place"), F.col("rank").alias("next"))
+    opened = write_scratch(coded.where("open").join(inner, ["zone", "branch", "place"]).select("zone", "branch", "place", "name", "next"), "opened")
+    counted = write_scratch(below(opened.groupBy("name", "next").agg(F.count("*").alias("n")), ["name", "next"], ["n"]), "counted")
+    least = counted.groupBy("name").agg(F.min("n_below").alias("least"))
+    rank = (F.col("name") + F.col("n_below") - F.col("least")).alias("rank")
+    return opened.join(counted.join(least, "name").select("name", "next", rank), ["name", "next"]).select("zone", "branch", "place", "rank")
+
+
 def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
     """zone, branch, place, rank of every suffix of ``strings`` (zone, branch, names, ats), by a difference cover modulo 3.
 
@@ -273,17 +291,16 @@ def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
     sampled = strings.select("zone", "branch", F.inline(F.transform(F.filter(places, lambda i: i % 3 != 0), triple)))
     key = ["t1", "t2", "t3"]
     named = write_scratch(below(sampled.groupBy(*key).agg(F.count("*").alias("n"), F.min("span").alias("span")), key, ["n"]), "triples")
-    open_ties = named.where((F.col("n") > 1) & (F.col("span") < rule.length)).limit(1).count()
-    coded = sampled.drop("span").join(named.select(*key, (F.col("n_below") + 1).alias("name")), key)
-    if not open_ties:
-        ranks = coded.select("zone", "branch", "place", F.col("name").alias("rank"))
-    else:
-        inner = coded.groupBy("zone", (F.col("branch") * 2 + F.col("place") % 3 - 1).alias("branch")).agg(F.sort_array(F.collect_list(F.struct("place", "name", "at"))).alias("s"))
-        inner = suffix_ranks(inner.select("zone", "branch", F.col("s.name").alias("names"), F.col("s.at").alias("ats")), rule)
-        half = F.pmod(F.col("branch"), F.lit(2))
-        ranks = inner.select("zone", ((F.col("branch") - half) / 2).cast("long").alias("branch"), (F.col("place") * 3 + half + 1).cast("int").alias("place"), "rank")
-    ranks = write_scratch(ranks, "ranks")
+    tied = (F.col("n") > 1) & (F.col("span") < rule.length)
+    coded = sampled.drop("span").join(named.select(*key, (F.col("n_below") + 1).alias("name"), tied.alias("open")), key)
+    coded = write_scratch(coded.select("zone", "branch", "place", "at", "name", "open"), "coded")
     discard(named)
+    ranks = coded.where("NOT open").select("zone", "branch", "place", F.col("name").alias("rank"))
+    if not coded.where("open").isEmpty():
+        ranks = ranks.unionByName(_told_apart(coded, rule))
+    ranks = write_scratch(ranks, "ranks")
+    discard(coded)
+    release(strings.sparkSession)
 
     # Places 1 and 2 of a zone are held as one array: place 3m + r has the index 2m + r - 1.
     held = ranks.groupBy("zone", "branch").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "rank"))), lambda s: s["rank"]).alias("ranks"))
@@ -307,6 +324,7 @@ def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
     ranked = write_scratch(out[0].unionByName(out[1]).unionByName(out[2]), "ranks")
     for used in (strings, ranks, every, with1, with2, both):
         discard(used)
+    release(strings.sparkSession)
     return ranked
 
 
@@ -390,6 +408,7 @@ def repeated_starts(zoned: DataFrame, rule: Rule) -> DataFrame:
     ladder = F.array(*[F.lit(n) for n in rule.ladder])
     low = F.when(F.col("a") != F.col("b"), F.lit(0)).otherwise(F.lit(rule.length + 1) - F.get(ladder, F.col("near")))
     asked = lots.join(many, "class").select("one.*", "width", "lot", F.greatest(low, F.col("least")).alias("low")).where("low < width")
+    release(zoned.sparkSession)
     suffixes = write_scratch(tails(zoned, asked, rule), "tails")
     same = beside(suffixes.groupBy("head", "rank", "digest").agg(F.count("*").alias("n")), ["head", "rank", "digest"], F.struct("head", "digest"))
     me = F.struct("head", "digest")
