@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rallyframe.operators import models, rapm
+from rallyframe.operators import models, rapm, solve
 
 # Least possessions in a half and a season, least players in common, least deviation.
 HALF_POSSESSIONS, SEASON_POSSESSIONS, LEAST_COMMON, FLAT = 250.0, 500.0, 10, 1e-9
@@ -32,36 +33,45 @@ def p_value(r: float, n: int) -> float:
     return float(2 * math.exp(log_scale) * np.trapezoid(np.cos(u) ** (free - 1), u))
 
 
-def halves(stints: DataFrame, key: str, split: int) -> DataFrame:
-    """Adds half, 0 or 1: the stints by a hash of their key under split number ``split``, two even halves."""
-    from pyspark.sql import Window
+def half_mask(key: str, splits: int) -> Column:
+    """A bit for each split: which half a stint is in, by a hash of its key."""
+    return F.xxhash64(F.lit(20), F.col(key)).bitwiseAND(F.lit((1 << splits) - 1))
+
 
-    place = F.percent_rank().over(Window.partitionBy("season").orderBy(F.xxhash64(F.lit(split), key), key))
-    return stints.withColumn("half", (place >= 0.5).cast("int"))
+def half_possessions(stints: DataFrame, key: str, splits: int) -> DataFrame:
+    """player, split, poss_0, poss_1: possessions in either half of each split, in one pass."""
+    both = F.array_union("home_lineup", "away_lineup")
+    rows = stints.select(F.explode(both).alias("player"), (F.col("home_poss") + F.col("away_poss")).alias("poss"), half_mask(key, splits).alias("mask"))
+    one = lambda s: F.sum(F.when(F.shiftright("mask", s).bitwiseAND(F.lit(1)) == 1, F.col("poss")).otherwise(0.0))
+    sums = rows.groupBy("player").agg(F.sum("poss").alias("poss"), *(one(s).alias(f"s{s}") for s in range(splits)))
+    each = F.array(*(F.struct(F.lit(s).alias("split"), (F.col("poss") - F.col(f"s{s}")).alias("poss_0"), F.col(f"s{s}").alias("poss_1")) for s in range(splits)))
+    return sums.select("player", F.inline(each))
 
 
-def half_ratings(stints: DataFrame, key: str, alpha: float) -> DataFrame:
-    """player, orapm, drapm, rapm (not rounded) and poss of one half's fit."""
-    beta = rapm.fitted(stints, key, alpha)
-    half = lambda on: F.coalesce(F.sum(F.when(on, F.col("beta"))), F.lit(0.0))
-    rated = beta.groupBy(F.abs("col").alias("player")).agg(half(F.col("col") > 0).alias("orapm"), (-half(F.col("col") < 0)).alias("drapm"))
-    return rated.withColumn("rapm", F.col("orapm") + F.col("drapm")).join(rapm.possessions(stints), "player")
+def half_ratings(stints: DataFrame, key: str, alpha: float, splits: int) -> DataFrame:
+    """player, split, half, orapm, drapm, rapm (not rounded) of the fits of all halves, which are solved together."""
+    problems = [solve.Problem(alpha, split, half) for split in range(splits) for half in (0, 1)]
+    fits = solve.ridges(rapm.masked_rows(stints, key, half_mask(key, splits)), problems)
+    n, k = fits.beta.shape
+    table = pa.table({"col": np.repeat(fits.columns, k), "split": np.tile(np.repeat(np.arange(splits), 2), n), "half": np.tile([0, 1], n * splits), "beta": fits.beta.ravel()})
+    beta = stints.sparkSession.createDataFrame(table)
+    part = lambda on: F.coalesce(F.sum(F.when(on, F.col("beta"))), F.lit(0.0))
+    rated = beta.groupBy(F.abs("col").alias("player"), "split", "half").agg(part(F.col("col") > 0).alias("orapm"), (-part(F.col("col") < 0)).alias("drapm"))
+    return rated.withColumn("rapm", F.col("orapm") + F.col("drapm"))
 
 
 def reliability(stints: DataFrame, key: str, alpha: float, splits: int = 20, least: float = HALF_POSSESSIONS) -> DataFrame:
     """metric, r_raw, reliability, n_players_avg, n_splits_used: split halves, stepped up by Spearman and Brown.
 
-    Splits with too few players in common are left out, and so are correlations of flat ratings.
-    A split is two fits; ``stints`` carry a season.
+    Splits with too few players in common are left out, and so are correlations of flat ratings. A stint's
+    halves in all splits are the bits of one mask, and all halves are fitted together; at most 62 splits.
     """
     metrics = ("orapm", "drapm", "rapm")
-    found = None
-    for split in range(splits):
-        parted = halves(stints, key, split)
-        a, b = (half_ratings(parted.where(F.col("half") == h), key, alpha).where(F.col("poss") >= least) for h in (0, 1))
-        both = a.join(b.select("player", *(F.col(m).alias(f"{m}_b") for m in metrics)), "player")
-        one = both.agg(F.count("*").alias("n"), *(correlation(m, f"{m}_b").alias(m) for m in metrics)).where(F.col("n") >= LEAST_COMMON)
-        found = one if found is None else found.unionByName(one)
+    rated = half_ratings(stints, key, alpha, splits)
+    a, b = (rated.where(F.col("half") == h).drop("half") for h in (0, 1))
+    both = a.join(b.select("player", "split", *(F.col(m).alias(f"{m}_b") for m in metrics)), ["player", "split"])
+    both = both.join(half_possessions(stints, key, splits), ["player", "split"]).where((F.col("poss_0") >= least) & (F.col("poss_1") >= least))
+    found = both.groupBy("split").agg(F.count("*").alias("n"), *(correlation(m, f"{m}_b").alias(m) for m in metrics)).where(F.col("n") >= LEAST_COMMON)
     long = found.select("n", F.inline(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("r")) for m in metrics))))
     means = long.where("r is not null").groupBy("metric").agg(F.avg("r").alias("r"), F.avg("n").alias("n"), F.count("*").alias("used"))
     stepped = F.when(F.col("r") > -1, models.spearman_brown(F.col("r")))

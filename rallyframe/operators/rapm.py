@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rallyframe.functions.scalar import safe_ratio
-from rallyframe.operators import lineups, models
+from rallyframe.operators import lineups, solve
+from rallyframe.sources.stored import written
 
 # Least possessions, garbage time, the weight of an empty side.
 LEAST_POSSESSIONS, REGULATION, GARBAGE_WINDOW, GARBAGE_MARGIN, FLOOR = 0.5, 2400.0, 300.0, 20.0, 0.01
@@ -26,8 +27,8 @@ def without_garbage(stints: DataFrame, window: float = GARBAGE_WINDOW, margin: f
     return stints.where(~((F.col("t_start") >= REGULATION - window) & (F.abs("score_margin") >= margin)))
 
 
-def design(stints: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(row, col, w, y and key) for every player of a design row, and the rows alone.
+def design_rows(stints: DataFrame, key: str) -> DataFrame:
+    """key, side, w, y, cols of the two design rows of each stint.
 
     y is points per 100 possessions and w the possessions; a side without any weighs FLOOR.
     ``key`` identifies a stint.
@@ -38,8 +39,12 @@ def design(stints: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
         attack, defence = F.col(f"{own}_lineup"), F.transform(f"{other}_lineup", lambda p: -p)
         return F.struct(F.lit(side).alias("side"), w.alias("w"), (F.col(f"{own}_pts") / w * 100).alias("y"), F.concat(attack, defence).alias("cols"))
 
-    both = stints.select(F.col(key), F.inline(F.array(one(0, "home", "away"), one(1, "away", "home"))))
-    rows = both.withColumn("row", F.col(key) * 2 + F.col("side")).drop("side")
+    return stints.select(F.col(key), F.inline(F.array(one(0, "home", "away"), one(1, "away", "home"))))
+
+
+def design(stints: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(row, col, w, y and key) for every player of a design row, and the rows alone."""
+    rows = design_rows(stints, key).withColumn("row", F.col(key) * 2 + F.col("side")).drop("side")
     return rows.select("row", key, "w", "y", F.explode("cols").alias("col")), rows.drop("cols")
 
 
@@ -95,10 +100,15 @@ def net_ratings(stints: DataFrame) -> DataFrame:
     return both.select("player", "team", *(F.bround(c, 1).alias(n) for n, c in out.items()))
 
 
+def masked_rows(stints: DataFrame, key: str, mask: Column | None = None) -> DataFrame:
+    """w, y, mask, cols of the design of usable stints, stored, as ``solve`` reads them; ``mask`` is of the key."""
+    kept = design_rows(usable(stints), key)
+    return written(kept.select("w", "y", (F.lit(0) if mask is None else mask).cast("long").alias("mask"), "cols"), "design")
+
+
 def fitted(stints: DataFrame, key: str, alpha: float) -> DataFrame:
-    """col, beta: the ridge of the design of usable stints."""
-    long, rows = design(usable(stints), key)
-    return models.ridge_frame(long, rows, "row", "col", "w", "y", alpha)
+    """col, beta: the ridge of the design of usable stints. The design is worked out once."""
+    return solve.frame(stints.sparkSession, solve.ridges(masked_rows(stints, key), [solve.Problem(alpha)]))
 
 
 def assembled(rated: DataFrame, played: DataFrame, net: DataFrame, box: DataFrame) -> DataFrame:

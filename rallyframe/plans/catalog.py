@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
-from rallyframe.operators import intervals, lineups, models, ordering, ranks, reconcile, shots, state
+from rallyframe.operators import intervals, lineups, models, ordering, ranks, reconcile, shots, solve, state
+from rallyframe.sources.stored import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -568,20 +569,41 @@ def gram_matrix(spark, d):
     return models.gram(_design(spark, d)[0], "row", "col", "w")
 
 
+def _packed(spark, d):
+    """Orders by supplier nation as ``solve`` reads them, stored: row, w, y, fold, mask, cols."""
+    nation = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("col"))
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity", "l_discount").join(nation, "l_suppkey", "left")
+    rows = lines.groupBy(F.col("l_orderkey").alias("row")).agg(F.sum("l_quantity").cast("double").alias("w"), F.avg("l_discount").alias("y"), F.collect_set("col").alias("cols"))
+    return written(rows.withColumns({"fold": F.pmod(F.col("row"), F.lit(5)).cast("int"), "mask": F.lit(0).cast("long")}), "design")
+
+
+def _residuals(spark, rows, alpha):
+    beta = solve.frame(spark, solve.ridges(rows, [solve.Problem(alpha)]))
+    long = rows.select("row", "w", "y", F.explode("cols").alias("col"))
+    left = models.normal_residuals(long, rows, "row", "col", "w", "y", alpha, beta)
+    return left.select("col", (F.round("residual", 7) + 0.0).alias("residual"))
+
+
 @_query("SELECT DISTINCT s_nationkey AS col, 0.0::DOUBLE AS residual FROM supplier JOIN lineitem ON l_suppkey = s_suppkey")
 def ridge_fit(spark, d):
-    """What the fit leaves over of its normal equations, worked out from the rows: nothing."""
-    long, rows = _design(spark, d)
-    beta = models.ridge_frame(long, rows, "row", "col", "w", "y", 2310.13)
-    left = models.normal_residuals(long, rows, "row", "col", "w", "y", 2310.13, beta)
-    return left.select("col", (F.round("residual", 7) + 0.0).alias("residual"))
+    """What the fit leaves over of its normal equations, worked out from the rows: nothing (L2)."""
+    return _residuals(spark, _packed(spark, d), 2310.13)
+
+
+@_query("SELECT DISTINCT unnest([l_suppkey, -l_partkey]) AS col, 0.0::DOUBLE AS residual FROM lineitem")
+def ridge_many_columns(spark, d):
+    """The same with a column for each supplier and each part, without a Gram matrix (L2)."""
+    lines = _t(spark, d, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_discount")
+    cols = F.array_union(F.collect_set("l_suppkey"), F.collect_set(-F.col("l_partkey")))
+    rows = lines.groupBy(F.col("l_orderkey").alias("row")).agg(F.sum("l_quantity").cast("double").alias("w"), F.avg("l_discount").alias("y"), cols.alias("cols"))
+    return _residuals(spark, written(rows.withColumn("mask", F.lit(0).cast("long")), "design"), 300.0)
 
 
 @_query()
 def ridge_cv_folds(spark, d):
-    long, rows = _design(spark, d)
+    """Errors of twelve penalties over five folds, all sixty fits together (L3); tests hold them against numpy."""
     alphas = [10 ** (2 + 2.5 * i / 11) for i in range(12)]
-    scores = models.ridge_cv(long, rows, "row", "col", "w", "y", "fold", alphas)
+    scores = solve.cross_validated(_packed(spark, d), 5, alphas)
     best = models.best_alpha(scores)
     return spark.createDataFrame([(a, e, a == best) for a, e in scores], "alpha double, rmse double, best boolean")
 

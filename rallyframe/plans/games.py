@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rallyframe.functions import scalar
 from rallyframe.operators import box, bpm, evaluate, models, rapm, rates, rotation, stints, verify
 from rallyframe.plans.catalog import _query, _t
+from rallyframe.sources.stored import written
 
 # ---------------------------------------------------------------- stand-ins
 
@@ -359,8 +360,8 @@ def rapm_table(spark, d):
 
 @_query()
 def split_half_reliability(spark, d):
-    """Ratings of two halves against each other, two splits."""
-    return evaluate.reliability(rapm.usable(_rated_stints(spark, d)), "stint", _ALPHA, splits=2)
+    """Ratings of two halves against each other, over twenty splits solved together."""
+    return evaluate.reliability(written(rapm.usable(_rated_stints(spark, d)), "stints"), "stint", _ALPHA)
 
 
 _YEARS = "y AS (SELECT l_suppkey AS player, year(l_shipdate) AS season, sum(l_quantity) AS poss, avg(l_discount) AS a, avg(l_tax) AS b FROM lineitem GROUP BY 1, 2)"
