@@ -13,7 +13,7 @@ suffixes of all distinct texts are brought into order and neighbours compared, i
    begins another. Distinct phrases are sorted, their places are the names, and a zone is a string of names.
 3. *Difference cover* (``suffix_ranks``). The triples of names at places 1 and 2 modulo 3 are sorted and
    named; strings that hold a name which suffixes share that may differ within ``length`` bytes are ranked
-   by recursion on the names, and the suffixes at places 0 modulo 3 are merged in: ranks count the smaller
+   by recursion on the names (by one task, once there are few enough), and the suffixes at places 0 modulo 3 are merged in: ranks count the smaller
    suffixes, which two sorts give, one with the suffixes at places 1 and one with those at places 2.
 4. *Adjacent prefixes.* Neighbours in that order are compared; cuts with equal ``length`` bytes form a
    class. Places of a class with equal bytes before the cut repeat with all their starts.
@@ -73,6 +73,8 @@ class Rule:
 
 #: Bytes of a text that are searched for cuts at a time.
 BLOCK = 1 << 20
+#: Names of all strings of a round that one task may rank. It changes no result.
+TOGETHER = 1_000_000
 #: Digests a task remembers, so that copies it meets again are not searched again. It changes no result.
 REMEMBERED = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -259,14 +261,48 @@ def beside(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
     return rows.withColumns({"before": F.coalesce("before", "left"), "after": F.coalesce("after", "right")}).drop("left", "right", "value")
 
 
+def ranked_together(strings: DataFrame) -> DataFrame:
+    """zone, branch, place, rank of the suffixes of ``strings``, in one task: by doubled prefixes. For at most TOGETHER names."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        names = table["names"].combine_chunks()
+        sizes = np.diff(names.offsets.to_numpy())
+        rank = names.flatten().to_numpy().astype(np.int64)
+        place = np.arange(len(rank)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        left = np.repeat(sizes, sizes) - place
+        many, step = 0, 1
+        while True:
+            after = np.where(left > step, np.append(rank[step:], np.zeros(min(step, len(rank)), np.int64))[: len(rank)], 0)
+            order = np.lexsort((after, rank))
+            fresh = np.concatenate([[True], (np.diff(rank[order]) != 0) | (np.diff(after[order]) != 0)])
+            rank = np.empty_like(rank)
+            rank[order] = np.cumsum(fresh)
+            if rank.max() == many:
+                break
+            many, step = int(rank.max()), step * 2
+        zone, branch = (np.repeat(table[c].to_numpy(), sizes) for c in ("zone", "branch"))
+        for at in range(0, len(rank), 1 << 16):
+            part = slice(at, at + (1 << 16))
+            yield pa.RecordBatch.from_arrays([pa.array(zone[part]), pa.array(branch[part]), pa.array(place[part].astype(np.int32)), pa.array(rank[part])], ["zone", "branch", "place", "rank"])
+
+    return strings.select("zone", "branch", "names").coalesce(1).mapInArrow(run, "zone long, branch long, place int, rank long")
+
+
 def _told_apart(coded: DataFrame, rule: Rule) -> DataFrame:
     """zone, branch, place, rank of the places whose name is open, that is shared by suffixes that may differ.
 
-    Only strings of names with an open one are ranked; a suffix goes by its name, then by that rank.
+    Only strings of names with an open one are ranked; a suffix goes by its name, then by that rank. If they
+    hold no more than TOGETHER names, one task ranks them, else they are the next round's strings.
     """
     place = F.struct("place", "name", "at")
     inner = coded.groupBy("zone", (F.col("branch") * 2 + F.col("place") % 3 - 1).alias("branch")).agg(F.sort_array(F.collect_list(place)).alias("s"), F.max("open").alias("open"))
-    inner = suffix_ranks(inner.where("open").select("zone", "branch", F.col("s.name").alias("names"), F.col("s.at").alias("ats")), rule)
+    inner = write_scratch(inner.where("open").select("zone", "branch", F.col("s.name").alias("names"), F.col("s.at").alias("ats")), "inner")
+    few = inner.agg(F.sum(F.size("names"))).first()[0] <= TOGETHER
+    inner = ranked_together(inner) if few else suffix_ranks(inner, rule)
     half = F.pmod(F.col("branch"), F.lit(2))
     inner = inner.select("zone", ((F.col("branch") - half) / 2).cast("long").alias("branch"), (F.col("place") * 3 + half + 1).cast("int").alias("place"), F.col("rank").alias("next"))
     opened = write_scratch(coded.where("open").join(inner, ["zone", "branch", "place"]).select("zone", "branch", "place", "name", "next"), "opened")
@@ -281,9 +317,8 @@ def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
 
     Ranks of suffixes that differ within ``length`` bytes are in their order; others may tie or stand in
     any order next to each other. names are positive and order phrases; ats are their positions, by which
-    the bytes that a triple spans are known.
+    the bytes that a triple spans are known. ``strings`` is a table that was written.
     """
-    strings = write_scratch(strings, "strings")
     name = lambda i: F.coalesce(F.get("names", i), F.lit(0).cast("long"))
     places = F.sequence(F.lit(0), F.size("names") - 1)
     span = lambda i: F.coalesce(F.get("ats", i + 3) - F.get("ats", i), F.lit(2**31 - 1))
@@ -397,7 +432,7 @@ def tails(zoned: DataFrame, asked: DataFrame, rule: Rule) -> DataFrame:
 
 def repeated_starts(zoned: DataFrame, rule: Rule) -> DataFrame:
     """t, starts: where repeated strings start in each distinct text, as runs (low, high)."""
-    ranks = suffix_ranks(zone_strings(zoned, rule), rule).select("zone", "place", "rank")
+    ranks = suffix_ranks(write_scratch(zone_strings(zoned, rule), "strings"), rule).select("zone", "place", "rank")
     facts = write_scratch(cut_facts(zoned, rule).join(ranks, ["zone", "place"]), "facts")
     classed = classes(facts, rule)
     members = write_scratch(facts.drop("prefixes").join(classed, "rank"), "members")

@@ -56,20 +56,23 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_removal_equals_brute_force(spark, seed):
+@pytest.mark.parametrize(("seed", "together"), [(1, 0), (2, S.TOGETHER)])
+def test_removal_equals_brute_force(spark, monkeypatch, seed, together):
+    monkeypatch.setattr(S, "TOGETHER", together)
     rows = corpus(seed)
     got = sorted((tuple(r) for r in S.without_repeats(docs_of(spark, rows), SMALL).collect()), key=str)
     assert got == plain(rows, SMALL.length)
 
 
-def test_ranks_are_the_order_of_suffixes(spark):
+@pytest.mark.parametrize("together", [0, S.TOGETHER])
+def test_ranks_are_the_order_of_suffixes(spark, monkeypatch, together):
+    monkeypatch.setattr(S, "TOGETHER", together)
     rnd = random.Random(4)
     texts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(1, 60))) for _ in range(30)]
     texts += [texts[0] + "b", texts[0], "a" * 50, "a" * 49 + "b"]
     rows = [(z, 1, [ord(c) for c in t], list(range(len(t)))) for z, t in enumerate(texts)]
     strings = spark.createDataFrame(rows, "zone long, branch long, names array<long>, ats array<int>")
-    got = S.suffix_ranks(strings, S.Rule(length=1000, gram=2, every=5, gap=15)).collect()
+    got = S.suffix_ranks(write_scratch(strings, "strings"), S.Rule(length=1000, gram=2, every=5, gap=15)).collect()
     assert len(got) == sum(map(len, texts))
     order = sorted((r["rank"], texts[r["zone"]][r["place"] :]) for r in got)
     assert [s for _, s in order] == sorted(s for _, s in order)
