@@ -6,6 +6,7 @@ and two recursions over a game's periods.
 
 from __future__ import annotations
 
+import uuid
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from rallyframe.operators import rotation, season
 from rallyframe.plans.catalog import _query
 from rallyframe.plans.games import _PLAYS, _log, _plays
+from rallyframe.sources import refresh
+from rallyframe.sources.stored import shared_dir
 
 
 def _season_plays(spark, d):
@@ -111,3 +114,25 @@ def season_stints(spark, d):
     made = season.built(_season_plays(spark, d)).stints
     lineups = {f"{s}_lineup": F.array_join(f"{s}_lineup", ",") for s in ("home", "away")}
     return made.withColumns(lineups | {f"{s}_poss": F.round(f"{s}_poss", 6) for s in ("home", "away")})
+
+
+@_query(f"""WITH RECURSIVE {_DONE}, each AS (SELECT game, unnest(home_lineup) AS player, t_end - t_start AS secs, round(home_poss + away_poss, 2) AS poss, home_pts AS points, away_pts AS against FROM done WHERE acts > 0
+  UNION ALL SELECT game, unnest(away_lineup), t_end - t_start, round(home_poss + away_poss, 2), away_pts, home_pts FROM done WHERE acts > 0)
+ SELECT CASE WHEN game % 2 = 0 THEN 'even' ELSE 'odd' END AS season, player, count(DISTINCT game) AS games, count(*) AS stints, round(sum(secs), 2) AS secs, round(sum(poss), 2) AS poss, CAST(sum(points) AS BIGINT) AS points, CAST(sum(against) AS BIGINT) AS against FROM each GROUP BY 1, 2""")
+def refreshed_sums(spark, d):
+    """Season sums of a store that was built from other plays and then refreshed: games added, changed and removed.
+
+    Before the refresh every fifth game was missing, every seventh lacked what came after its thirtieth
+    play, and every third had a double that is there no more.
+    """
+    plays = _season_plays(spark, d).withColumn("game", F.col("game").cast("string"))
+    number = F.col("game").try_cast("long")
+    earlier = plays.where((number % 5 != 0) & ((number % 7 != 0) | (F.col("seq") <= 30)))
+    earlier = earlier.unionByName(plays.where(number % 3 == 0).withColumn("game", F.concat(F.lit("x"), "game")))
+    season_of = F.when(F.regexp_extract("game", "[0-9]+", 0).cast("long") % 2 == 0, "even").otherwise("odd")
+    games = lambda p: p.select("game").distinct().select("game", season_of.alias("season"), F.lit("all").alias("season_type"))
+    store = f"{shared_dir(spark)}/rallyframe-store-{uuid.uuid4().hex}"
+    refresh.refresh(spark, store, earlier, games(earlier))
+    refresh.refresh(spark, store, plays, games(plays))
+    kinds = {"secs": "double", "poss": "double"}
+    return refresh.sums(spark, store).select("season", "player", "games", *(F.col(c).cast(kinds.get(c, "long")).alias(c) for c in refresh.SUMS))
