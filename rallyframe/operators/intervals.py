@@ -58,3 +58,20 @@ def occupancy(spans: DataFrame, keys: list[str], start: str, end: str, member: s
     first, last = F.ceil(start), F.floor(end)
     seconds = spans.where(last > first).withColumn("second", F.explode(F.sequence(first, last - 1)))
     return seconds.groupBy(*keys, "second").agg(F.array_sort(F.collect_set(member)).alias("members"))
+
+
+def presence_changes(spans: DataFrame, keys: list[str], start: str, end: str, member: str) -> DataFrame:
+    """keys, at, joined, digest: how the set of members present changes, in whole seconds from ceil(start) to floor(end).
+
+    joined is how many more there are from then on, digest the xor of the hashes of those who come or go, so
+    the running xor tells sets apart. Spans of one member that overlap or touch are one. Rows grow with the spans
+    and not with their lengths.
+    """
+    whole = spans.select(*keys, member, F.ceil(start).alias("first"), F.floor(end).alias("last")).where("last > first")
+    order = Window.partitionBy(*keys, member).orderBy("first", "last")
+    until = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    islands = whole.withColumn("opens", F.coalesce(F.col("first") > until, F.lit(True)).cast("int")).withColumn("island", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    runs_ = islands.groupBy(*keys, member, "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    ends = F.array(F.struct(F.col("first").alias("at"), F.lit(1).alias("d")), F.struct(F.col("last").alias("at"), F.lit(-1).alias("d")))
+    events = runs_.select(*keys, F.xxhash64(member).alias("h"), F.inline(ends))
+    return events.groupBy(*keys, "at").agg(F.sum("d").alias("joined"), F.bit_xor("h").alias("digest"))

@@ -12,30 +12,37 @@ SECONDS_EXACT, SECONDS_CLOSE, SEASON_SHARE, RATE_GAP, RATE_R, RATE_MINUTES = 1.0
 LEAST_PLAYERS, MOST_DAYS = 50, 4
 
 
-def occupied(spans: DataFrame) -> DataFrame:
-    """game, team, second, members of spans (game, team, player, t_start, t_end)."""
-    return intervals.occupancy(spans, ["game", "team"], "t_start", "t_end", "player")
-
-
 def compare_seconds(ours: DataFrame, official: DataFrame) -> DataFrame:
     """game, covered, matched, mismatched, first_mismatch: seconds whose lineups agree on every team.
 
     Only seconds count at which the official source has five players of each of the game's teams: a
-    gap in it is no error of ours.
+    gap in it is no error of ours. A sweep over the times at which a set changes: a running digest of each
+    side's set tells whether they agree until the next change, so no second is a row.
     """
-    a = occupied(official).select("game", "team", "second", F.col("members").alias("theirs"))
-    b = occupied(ours).select("game", "team", "second", F.col("members").alias("ours"))
-    none = F.array().cast("array<long>")
-    both = a.join(b, ["game", "team", "second"], "full")
-    both = both.select("game", "team", "second", F.coalesce("theirs", none).alias("theirs"), F.coalesce("ours", none).alias("ours"))
-    teams = both.groupBy("game").agg(F.count_distinct("team").alias("teams"))
-    each = both.groupBy("game", "second").agg(F.count_if(F.size("theirs") == 5).alias("full"), F.max(F.col("theirs") != F.col("ours")).alias("differs"))
-    seconds = each.join(teams, "game").where("full = teams")
-    return seconds.groupBy("game").agg(
-        F.count("*").alias("covered"),
-        F.count_if(~F.col("differs")).alias("matched"),
-        F.count_if("differs").alias("mismatched"),
-        F.min(F.when(F.col("differs"), F.col("second"))).alias("first_mismatch"),
+    keys = ["game", "team"]
+    sides = {"a": official, "b": ours}
+    changes = [
+        intervals.presence_changes(rows, keys, "t_start", "t_end", "player").select(*keys, "at", *(F.when(F.lit(s == side), F.col(c)).alias(f"{c}_{s}") for s in sides for c in ("joined", "digest")))
+        for side, rows in sides.items()
+    ]
+    none = F.lit(0).cast("long")
+    met = changes[0].unionByName(changes[1]).groupBy(*keys, "at").agg(
+        *(F.coalesce(F.sum(f"joined_{s}"), none).alias(f"joined_{s}") for s in sides), *(F.coalesce(F.bit_xor(f"digest_{s}"), none).alias(f"digest_{s}") for s in sides)
+    )
+    own = Window.partitionBy(*keys).orderBy("at")
+    held = own.rowsBetween(Window.unboundedPreceding, 0)
+    here = met.withColumns({f"n_{s}": F.sum(f"joined_{s}").over(held) for s in sides} | {f"x_{s}": F.bit_xor(f"digest_{s}").over(held) for s in sides})
+    here = here.select(*keys, "at", (F.col("n_a") == 5).cast("int").alias("full"), ((F.col("n_a") != F.col("n_b")) | (F.col("x_a") != F.col("x_b"))).cast("int").alias("differs"))
+    step = lambda c: (F.col(c) - F.lag(c, 1, 0).over(own)).alias(c)
+    teams = here.groupBy("game").agg(F.count_distinct("team").alias("teams"))
+    whole = here.select(*keys, "at", step("full"), step("differs")).groupBy("game", "at").agg(F.sum("full").alias("full"), F.sum("differs").alias("differs"))
+    order = Window.partitionBy("game").orderBy("at")
+    until = order.rowsBetween(Window.unboundedPreceding, 0)
+    spans = whole.select("game", "at", F.sum("full").over(until).alias("full"), F.sum("differs").over(until).alias("differs"), (F.lead("at").over(order) - F.col("at")).alias("secs"))
+    covered = spans.join(teams, "game").where("full = teams AND secs > 0")
+    total = lambda on: F.coalesce(F.sum(F.when(on, F.col("secs"))), none)
+    return covered.groupBy("game").agg(
+        F.sum("secs").alias("covered"), total(F.col("differs") == 0).alias("matched"), total(F.col("differs") > 0).alias("mismatched"), F.min(F.when(F.col("differs") > 0, F.col("at"))).alias("first_mismatch")
     )
 
 

@@ -456,8 +456,19 @@ def zscore_within_group(spark, d):
 
 @_query("""SELECT event_type, round(quantile_cont(value, 0.01), 6) AS p01, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.9), 6) AS p90 FROM events GROUP BY 1""")
 def exact_quantiles(spark, d):
-    q = lambda p: F.round(F.percentile("value", p), 6)
-    return _t(spark, d, "events").groupBy("event_type").agg(q(0.01).alias("p01"), q(0.5).alias("p50"), q(0.9).alias("p90"))
+    """Quantiles by selection."""
+    q = ranks.quantiles(_t(spark, d, "events"), ["event_type"], "value", {"p01": 0.01, "p50": 0.5, "p90": 0.9})
+    return q.select("event_type", *(F.round(c, 6).alias(c) for c in ("p01", "p50", "p90")))
+
+
+@_query("""SELECT event_id, dense_rank() OVER (ORDER BY value) - 1 AS code, round(CASE WHEN count(*) FILTER (user_id % 3 = 0) OVER () > 1
+  THEN 100.0 * (rank() OVER (ORDER BY value) - 1 - count(*) FILTER (user_id % 3 <> 0) OVER (ORDER BY value RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW EXCLUDE GROUP)) / (count(*) FILTER (user_id % 3 = 0) OVER () - 1) END, 6) AS pct FROM events""")
+def ranks_of_one_group(spark, d):
+    """Dense codes and percentile ranks in one group that holds the whole table; no task sorts it."""
+    e = _t(spark, d, "events").select("event_id", "value", "user_id", F.lit(1).alias("g"))
+    coded = ranks.dense_codes(e, [], "value", "code")
+    out = ranks.spread_percentiles(coded, F.col("user_id") % 3 == 0, "g", "value", "pct")
+    return out.select("event_id", "code", F.round("pct", 6).alias("pct"))
 
 
 @_query("SELECT p_brand, round(corr(p_size, p_retailprice), 5) AS r, count(*) AS n FROM part GROUP BY 1")
