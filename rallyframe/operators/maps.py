@@ -54,6 +54,12 @@ def seasons(first: int, last: int, spark) -> DataFrame:
     return spark.range(1).select(F.explode(F.sequence(F.lit(first), F.lit(last))).alias("season"))
 
 
+def seasons_of(rows: DataFrame, season: str) -> DataFrame:
+    """season: every year from the first to the last of ``rows``; none without any."""
+    one = rows.agg(F.min(season).alias("first"), F.max(season).alias("last")).where("first IS NOT NULL")
+    return one.select(F.explode(F.sequence("first", "last")).alias("season"))
+
+
 def box_feed(rows: DataFrame, player: str, season: str, per_game: list[str]) -> DataFrame:
     """player, name, gp, per_game means weighted by gp, and the team of the last season.
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
+from rallyframe.operators import ranks
 
 
 def prepared(raw: DataFrame, x: str, y: str, season: str) -> DataFrame:
@@ -98,7 +99,8 @@ def arc_check(rows: DataFrame, season: str, x: str, y: str, three: Column, toler
     """
     r = F.sqrt(F.col(x) * F.col(x) + F.col(y) * F.col(y))
     above = three & (F.col(y) > 100)
-    sums = rows.groupBy(season).agg(F.count_if(above).alias("n"), F.percentile(F.when(above, r), 0.01).alias("p"))
+    first = ranks.quantiles(rows.select(season, F.when(above, r).alias("r")), [season], "r", {"p": 0.01})
+    sums = rows.groupBy(season).agg(F.count_if(above).alias("n")).join(first, season)
     table = scalar.era_value(F.col(season), 1).cast("double")
     measured = F.when(F.col("n") >= least, F.col("p"))
     return sums.select(season, table.alias("table_arc"), F.bround(measured, 1).alias("measured_arc"), F.coalesce(F.abs(measured - table) <= tolerance, F.lit(False)).alias("ok"))

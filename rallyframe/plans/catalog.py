@@ -147,9 +147,12 @@ def padded_ids(spark, d):
     return _t(spark, d, "orders").select("o_orderkey", scalar.padded_id(F.col("o_orderkey")).alias("game_id"))
 
 
-@_query("SELECT s.id AS season, CAST(CASE WHEN s.id >= 2013 THEN 221.5 WHEN s.id >= 2004 THEN 205.2 ELSE 197.5 END AS DOUBLE) AS arc FROM (SELECT unnest(range(1990, 2027)) AS id) s")
+@_query("""SELECT o_orderkey, 1990 + o_orderkey % 37 AS season, CAST(CASE WHEN o_orderkey % 37 >= 23 THEN 221.5 WHEN o_orderkey % 37 >= 14 THEN 205.2 ELSE 197.5 END AS DOUBLE) AS arc,
+ CAST(CASE WHEN o_orderkey % 37 >= 23 THEN 220.0 WHEN o_orderkey % 37 >= 14 THEN 205.2 ELSE 197.5 END AS DOUBLE) AS corner FROM orders""")
 def era_lookup(spark, d):
-    return spark.range(1990, 2027).select(F.col("id").alias("season"), scalar.era_value(F.col("id"), 1).cast("double").alias("arc"))
+    """The era's radii of each order's season."""
+    o = _t(spark, d, "orders").select("o_orderkey", (1990 + F.col("o_orderkey") % 37).alias("season"))
+    return o.withColumns({n: scalar.era_value(F.col("season"), i).cast("double") for i, n in ((1, "arc"), (2, "corner"))})
 
 
 @_query("""SELECT o_orderkey, CASE WHEN upper(o_orderpriority) LIKE '%URGENT%' THEN 0 WHEN upper(o_orderpriority) LIKE '%HIGH%' THEN 1

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
-from rallyframe.operators import archetypes, box, lineups, maps, ordering, reconcile, shots, verify
+from rallyframe.operators import archetypes, box, density, lineups, maps, ordering, reconcile, shots, verify
 from rallyframe.plans.catalog import _SHOTS, _query, _shots, _t
 from rallyframe.plans.games import _ADV, _BOX, _PLAYS, _SPANS, _STATS, _advanced, _events, _plays, _spans
 from rallyframe.sources import documents, feeds, files
@@ -163,9 +163,11 @@ def with_team(spark, d):
     return maps.with_team(_t(spark, d, "supplier"), teams, "s_nationkey", keep_unknown=False).select("s_suppkey", "name", "conf")
 
 
-@_query("SELECT unnest(range(1997, 2027)) AS season")
+@_query("SELECT CAST(unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1)) AS BIGINT) AS season FROM orders WHERE o_orderstatus <> 'O' OR year(o_orderdate) % 2 = 0")
 def season_list(spark, d):
-    return maps.seasons(1997, 2026, spark).select(F.col("season").cast("long").alias("season"))
+    """Every season between the first and the last, those without games too."""
+    o = _t(spark, d, "orders").withColumn("season", F.year("o_orderdate")).where("o_orderstatus <> 'O' OR season % 2 = 0")
+    return maps.seasons_of(o, "season").select(F.col("season").cast("long").alias("season"))
 
 
 _FEED = "f AS (SELECT l_suppkey AS player, year(l_shipdate) AS season, max(l_returnflag) AS name, min(l_linestatus) AS team, count(*) AS gp, avg(l_quantity) AS pts, avg(l_tax) AS reb FROM lineitem GROUP BY 1, 2)"
@@ -305,20 +307,32 @@ def hex_bins(spark, d):
     return h.select("label", (F.col("hx") + 0.0).alias("hx"), (F.round("hy", 6) + 0.0).alias("hy"), "n", F.round("pct", 6).alias("pct"))
 
 
-@_query(f"""WITH {_SHOTS}, m AS (SELECT season, count(*) FILTER (zone_idx >= 9 AND y > 100) AS n, quantile_cont(CASE WHEN zone_idx >= 9 AND y > 100 THEN r END, 0.01) AS p, max(arc) AS arc FROM zoned WHERE zone_idx >= 0 GROUP BY 1)
- SELECT season, CAST(arc AS DOUBLE) AS table_arc, CASE WHEN n >= 2 THEN round_even(p, 1) END AS measured_arc, coalesce(n >= 2 AND abs(p - arc) <= 12, false) AS ok FROM m""")
+# A line item is a shot, so that a season has hundreds.
+_LINE_SHOTS = f"""shots AS (SELECT CAST(l_partkey % 601 - 300 AS DOUBLE) AS x, CAST(l_orderkey % 470 - 50 AS DOUBLE) AS y, CAST(1997 + l_suppkey % 28 AS INTEGER) AS season FROM lineitem),
+{_SHOTS[_SHOTS.index(" geo AS"):]}"""
+
+
+def _line_shots(spark, d):
+    lines = _t(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_suppkey")
+    place = lines.select((F.col("l_partkey") % 601 - 300).cast("double").alias("x"), (F.col("l_orderkey") % 470 - 50).cast("double").alias("y"), (1997 + F.col("l_suppkey") % 28).cast("int").alias("season"))
+    return place.withColumn("zone_idx", scalar.zone_index(F.col("x"), F.col("y"), scalar.era_value(F.col("season"), 1), scalar.era_value(F.col("season"), 2)))
+
+
+@_query(f"""WITH {_LINE_SHOTS}, m AS (SELECT season, count(*) FILTER (zone_idx >= 9 AND y > 100) AS n, quantile_cont(CASE WHEN zone_idx >= 9 AND y > 100 THEN r END, 0.01) AS p, max(arc) AS arc FROM zoned GROUP BY 1)
+ SELECT season, CAST(arc AS DOUBLE) AS table_arc, CASE WHEN n >= 50 THEN round_even(p, 1) END AS measured_arc, coalesce(n >= 50 AND abs(p - arc) <= 12, false) AS ok FROM m""")
 def arc_check(spark, d):
     """The measured arc of each season against the era's."""
-    s = shots.prepared(_shots(spark, d), "x", "y", "season")
-    return shots.arc_check(s, "season", "x", "y", F.col("zone_idx") >= 9, least=2)
+    return shots.arc_check(_line_shots(spark, d), "season", "x", "y", F.col("zone_idx") >= 9)
 
 
-@_query("SELECT CAST(e AS INTEGER) AS era, CAST(z AS INTEGER) AS zone_idx, CAST(z AS INTEGER) AS got FROM (SELECT unnest([1997, 2004, 2013]) AS e) a, (SELECT unnest(range(14)) AS z) b")
+@_query(f"WITH {_LINE_SHOTS} SELECT DISTINCT season, CAST(zone_idx AS INTEGER) AS zone_idx, CAST(zone_idx AS INTEGER) AS got FROM zoned WHERE zone_idx >= 0")
 def zone_labels(spark, d):
-    """Every zone's label lies in its zone, in every era."""
-    places = shots.label_places(spark)
+    """The label of every zone that a season shot from lies in that zone."""
+    used = _line_shots(spark, d).where("zone_idx >= 0").select("season", F.col("zone_idx").cast("int").alias("zone_idx")).distinct()
+    began = used.withColumn("era", scalar.era_value(F.col("season"), 0))
+    places = began.join(F.broadcast(shots.label_places(spark)), ["era", "zone_idx"])  # a row for each zone and era
     got = scalar.zone_index(F.col("x"), F.col("y"), scalar.era_value(F.col("era"), 1), scalar.era_value(F.col("era"), 2))
-    return places.select("era", "zone_idx", got.alias("got"))
+    return places.select("season", "zone_idx", got.cast("int").alias("got"))
 
 
 @_query(f"WITH {_SHOTS} SELECT vec_id, zone_idx, CASE WHEN label % 3 = 0 THEN 3 WHEN label % 3 = 1 THEN 2 WHEN zone_idx >= 9 THEN 3 ELSE 2 END AS shot_value FROM zoned WHERE zone_idx >= 0 AND y BETWEEN 0 AND 420")
@@ -332,14 +346,26 @@ def prepared_feed(spark, d):
 _Z = ", ".join(f"embedding[{i + 1}]::DOUBLE*12 AS {f}" for i, f in enumerate(archetypes.FEATURES))
 
 
-def _rule(conditions) -> str:
-    if conditions[0] == "any":
-        some = " OR ".join(f"{c} {op} {v}" for c, op, v in conditions[1])
-        return f"({some})" + (f" AND {conditions[2][0]} {conditions[2][1]} {conditions[2][2]}" if conditions[2] else "")
-    return " AND ".join(f"{c} {op} {v}" for c, op, v in conditions)
-
-
-@_query(f"WITH z AS (SELECT vec_id, {_Z} FROM embeddings) SELECT vec_id, CASE {' '.join(f'WHEN {_rule(c)} THEN {chr(39)}{n}{chr(39)}' for n, c in archetypes.RULES)} ELSE '{archetypes.OTHERWISE}' END AS archetype FROM z")
+_NAMES = """CASE WHEN BLK > 2.0 AND USG_PCT > 1.4 THEN 'Dominant Two-Way Big'
+  WHEN USG_PCT > 0.7 AND BLK > 0.8 AND OREB_PCT > 0.6 AND TS_PCT > 0.5 THEN 'Versatile Two-Way Forward'
+  WHEN BLK > 1.4 AND OREB_PCT > 1.5 THEN 'Traditional Rim Protector'
+  WHEN USG_PCT > 0.9 AND DREB_PCT > 1.0 AND TS_PCT < 0 THEN 'High-Usage Frontcourt'
+  WHEN OREB_PCT > 1.0 AND FG3A < -1.0 AND USG_PCT < 0 THEN 'Glass Cleaner / Rebounder'
+  WHEN E_TOV_PCT > 1.0 AND AST_TO < -0.8 AND DREB_PCT > 0.2 THEN 'Turnover-Prone Frontcourt'
+  WHEN greatest(OREB_PCT - 0.7, DREB_PCT - 0.9, BLK - 0.8) > 0 THEN CASE WHEN FG3A < 0 THEN 'Interior Frontcourt' ELSE 'Frontcourt Contributor' END
+  WHEN AST_PCT > 1.0 AND AST_TO > 0.8 THEN 'Playmaking Guard'
+  WHEN AST_PCT > 0.8 AND E_TOV_PCT > 0.6 THEN 'Combo Guard / Facilitator'
+  WHEN FG3A > 0.9 AND USG_PCT > 0.5 AND E_TOV_PCT < 0 THEN 'High-Volume Guard / Shot Creator'
+  WHEN USG_PCT > 0.7 AND OREB_PCT > 0 AND FG3A > 0.4 THEN 'Wing Primary Option'
+  WHEN USG_PCT > 0.7 AND FG3A < 0 THEN 'High-Usage Athletic Wing'
+  WHEN STL > 0.7 AND TS_PCT < -0.4 THEN 'Defensive Perimeter Wing'
+  WHEN FG3A > 0.6 AND TS_PCT < -1.0 THEN '3PT Volume Shooter'
+  WHEN USG_PCT < -0.8 AND TS_PCT > 0 THEN 'Efficient Role Player'
+  WHEN STL < -0.5 AND TS_PCT < -0.2 THEN 'Secondary Wing / Developing'
+  WHEN USG_PCT < -0.4 THEN 'Role Wing' ELSE 'Multi-Role Contributor' END"""
+
+
+@_query(f"WITH z AS (SELECT vec_id, {_Z} FROM embeddings) SELECT vec_id, {_NAMES} AS archetype FROM z")
 def archetype_names(spark, d):
     """Names by the first rule that holds."""
     z = [(F.get("embedding", F.lit(i)).cast("double") * 12).alias(f) for i, f in enumerate(archetypes.FEATURES)]
@@ -421,3 +447,10 @@ def pivoted_counts(spark, d):
 def sampled_games(spark, d):
     """Twenty games drawn by a seed (T5): the hash of seed and game orders them, so a sample can be repeated."""
     return _t(spark, d, "orders").select("o_orderkey").orderBy(F.xxhash64(F.lit(7), "o_orderkey"), "o_orderkey").limit(20)
+
+
+@_query()
+def density_clusters(spark, d):
+    """Clusters of all embeddings by density, noise apart (L10); tests hold them against a plain version."""
+    points = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
+    return density.clusters(points, "vec_id", "x")

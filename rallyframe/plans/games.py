@@ -218,10 +218,18 @@ def points_audit(spark, d):
     return found.select("game", "stint_points", "log_points", "diff")
 
 
-@_query(f"WITH {_PLAYS}, {_SPANS} SELECT game, CAST(10 AS DOUBLE) AS on_floor, CAST(sum((gap)::INT) AS BIGINT) AS n_gaps, CAST(0 AS BIGINT) AS odd_sizes FROM (SELECT game, coalesce(lead(t_start) OVER (PARTITION BY game ORDER BY t_start) <> t_end, false) AS gap FROM spans) GROUP BY 1")
+@_query(f"""WITH {_PLAYS}, {_SPANS}, bad AS (SELECT game, t_start, t_end - CASE WHEN b % 11 = 5 THEN 10 ELSE 0 END AS t_end, CASE WHEN b % 7 = 3 THEN 4 ELSE 5 END AS home, CASE WHEN b % 5 = 4 THEN 6 ELSE 5 END AS away FROM spans),
+ g AS (SELECT *, coalesce(lead(t_start) OVER (PARTITION BY game ORDER BY t_start) <> t_end, false) AS gap FROM bad)
+ SELECT game, round(sum((t_end - t_start) * (home + away)) / sum(t_end - t_start), 6) AS on_floor, count(*) FILTER (gap) AS n_gaps, count(*) FILTER (home <> 5 OR away <> 5) AS odd_sizes FROM g GROUP BY 1""")
 def structure_audit(spark, d):
-    """Ten on the floor throughout, no gaps."""
-    return verify.structure(_spans(_plays(spark, d)))
+    """Players on the floor, gaps and odd sizes of spans in which some lack a player, have one too many or end early."""
+    b = F.col("b")
+    faults = {
+        "t_end": F.col("t_end") - F.when(b % 11 == 5, 10).otherwise(0),
+        "home_lineup": F.when(b % 7 == 3, F.slice("home_lineup", 2, 4)).otherwise(F.col("home_lineup")),
+        "away_lineup": F.when(b % 5 == 4, F.array_append("away_lineup", F.lit(999).cast("long"))).otherwise(F.col("away_lineup")),
+    }
+    return verify.structure(_spans(_plays(spark, d)).withColumns(faults)).withColumn("on_floor", F.round("on_floor", 6))
 
 
 @_query(f"""WITH {_PLAYS}, l AS (SELECT *, max(period) OVER (PARTITION BY game) AS last FROM plays) SELECT game, bool_or(last >= 4) AND bool_or(period = last AND code = 12) AS complete FROM l GROUP BY 1""")
