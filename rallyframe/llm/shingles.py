@@ -87,12 +87,14 @@ def first_of(own: np.ndarray, known: tuple[np.ndarray, np.ndarray], like: float
 
 
 def shared(sets: DataFrame) -> DataFrame:
-    """shingle, class, n of indexed shingles that more than one class has, each once; sets: class, n, prefix.
+    """shingle, class, n, at of indexed shingles that more than one class has, each once; sets: class, n, prefix.
+
+    at is the shingle's place in the class's order, which is the same for all.
 
     Which shingles these are is found by partial aggregates; a shingle of very many classes is then
     a skewed key of a join, which adaptive execution splits.
     """
-    rows = sets.select(F.explode("prefix").alias("shingle"), "class", "n")
+    rows = sets.select(F.posexplode("prefix").alias("at", "shingle"), "class", "n").select("shingle", "class", "n", "at")
     several = rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("shingle")
     return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
@@ -100,7 +102,7 @@ def shared(sets: DataFrame) -> DataFrame:
 def _grouped(index: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``index`` with their group, of shingles that more than one of ``groups`` (node, component) has."""
     left = index.join(groups, index["class"] == groups["node"], "left").select(
-        "shingle", "class", "n", F.coalesce("component", "class").alias("group")
+        "shingle", "class", "n", "at", F.coalesce("component", "class").alias("group")
     )
     several = left.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("shingle")
     return left.join(several, "shingle", "left_semi")
@@ -132,14 +134,18 @@ def stars(index: DataFrame, groups: DataFrame, turn: int, like: float = LIKE) ->
 
 
 def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b: all classes that ``groups`` (node, component) hasn't in one group, and that may be alike by what they share."""
+    """a, b: all classes that ``groups`` (node, component) hasn't in one group, and that may be alike by where they meet.
+
+    The first shingle in the common order that two sets share has all their others behind it, in both. So two
+    that are alike meet where enough of either set is left, and only such meetings leave the join. As rare shingles
+    come first, sets that are not quite alike have used up what they may lack before they meet.
+    """
     left = _grouped(index, groups)
-    one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("g_a"))
-    two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("group").alias("g_b"))
+    one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("group").alias("g_a"))
+    two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("group").alias("g_b"))
     lengths = F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6
-    meet = one.join(two, "shingle").where(F.expr("a < b and g_a <> g_b") & lengths)
-    counted = meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("common"))
-    return counted.where(_may_be_alike(F.col("common"), F.col("n_a"), F.col("n_b"), like)).select("a", "b")
+    enough = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * (1 + like) >= like * (F.col("n_a") + F.col("n_b")) - 1e-6
+    return one.join(two, "shingle").where(F.expr("a < b and g_a <> g_b") & lengths & enough).select("a", "b").distinct()
 
 
 def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:

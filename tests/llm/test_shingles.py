@@ -92,3 +92,15 @@ def test_classes_whose_32_bit_hashes_agree_share_shingles(spark):
     rows = [(-3965417102674106237, 5, [7, 8]), (-6054336684747022631, 5, [8, 9]), (1, 5, [10]), (1, 5, [10])]
     got = shingles.shared(spark.createDataFrame(rows, "class long, n int, prefix array<long>")).collect()
     assert sorted((r.shingle, r["class"]) for r in got) == [(8, -6054336684747022631), (8, -3965417102674106237)]
+
+
+def test_a_group_not_quite_alike_makes_no_pairs(spark, monkeypatch):
+    """150 texts, any two of them at 0.78, meet on a hundred shingles and leave the join as no pair; at 0.81 all do."""
+    monkeypatch.setattr(shingles, "SAMPLE", 1.0)
+    base = " ".join(f"base{i}" for i in range(104))
+    for own, pairs in ((14, 0), (12, 150 * 149 // 2)):
+        texts = [" ".join(f"own{t}x{i}" for i in range(own)) + " " + base for t in range(150)]
+        keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").withColumn("h", F.xxhash64("text"))
+        whole = write_scratch(simhash._prepared(keyed, 5, 0.8), "prepared")
+        alone = spark.createDataFrame([], "node long, component long")
+        assert shingles.across(shingles.shared(whole), alone).count() == pairs
