@@ -170,11 +170,11 @@ def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     marks = found_in(docs, scope).where(F.size("all") > 0)
     keys = ["__rf_no", "__rf_id", "__rf_h"]
     marks = marks.select(
-        F.col("doc_id").isNull().alias(keys[0]), F.coalesce("doc_id", F.lit(0)).alias(keys[1]), F.col("h").alias(keys[2]), F.col("all").alias("__rf_all")
+        F.col("doc_id").isNull().alias(keys[0]), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(keys[1]), F.col("h").alias(keys[2]), F.col("all").alias("__rf_all")
     ).dropDuplicates(keys)
     text = F.col("text")
     own = docs.withColumns(
-        {keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)), keys[2]: F.xxhash64(F.coalesce("text", F.lit("")))}
+        {keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), keys[2]: F.xxhash64(F.coalesce("text", F.lit("")))}
     )
     both = own.join(marks, keys, "left")
 

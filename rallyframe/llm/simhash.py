@@ -185,8 +185,8 @@ def one_of_each(docs: DataFrame, grouped) -> DataFrame:
     found = grouped(docs.select(F.col("doc_id").alias("key"), "text", h.alias("h")))
     first = found.groupBy("group").agg(F.min(F.struct(F.col("key").isNull().alias("no"), "key", "h")).alias("first"))
     keys = ["__rf_no", "__rf_id", "__rf_h"]
-    winners = first.select(F.col("first.no").alias(keys[0]), F.coalesce("first.key", F.lit(0)).alias(keys[1]), F.col("first.h").alias(keys[2]))
-    own = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce("doc_id", F.lit(0)), keys[2]: h})
+    winners = first.select(F.col("first.no").alias(keys[0]), F.coalesce(F.col("first.key").cast("string"), F.lit("")).alias(keys[1]), F.col("first.h").alias(keys[2]))
+    own = docs.withColumns({keys[0]: F.col("doc_id").isNull(), keys[1]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), keys[2]: h})
     kept = own.join(winners, keys, "left_semi")
     nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[1]))
     return kept.withColumn("__rf_nth", nth).where("__rf_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns))

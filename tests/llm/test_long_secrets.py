@@ -13,3 +13,13 @@ def test_long_parts_link_and_go(spark):
     assert kinds[2] == ["ident", "key"] and kinds[3] == ["ident", "key"]
     clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
     assert clean[2] == "[ident] [key] end" and clean[3] == "[ident] [key] end"
+
+
+def test_ids_of_any_kind(spark):
+    from rallyframe.llm import simhash
+
+    secret = "token = 0123456789abcdefABCDEF"
+    docs = spark.createDataFrame([("a", f"x {secret}"), ("b", "plain"), (None, f"y {secret} z"), ("c", "plain")], "doc_id string, text string")
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert clean["b"] == "plain" and "0123456789" not in clean["a"] + clean[None]
+    assert {r.doc_id for r in simhash.deduplicated(docs).collect()} >= {"a", "b"}
