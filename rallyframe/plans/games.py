@@ -173,13 +173,17 @@ def lineup_openings(spark, d):
 
 
 def _log(spark, d):
+    return _log_of(_plays(spark, d))
+
+
+def _log_of(plays: DataFrame) -> DataFrame:
     """Plays as stints read them, with a running score on every scoring row."""
     text, code = F.col("description"), F.col("code")
     points = F.when(code == 1, scalar.shot_points(text)).when((code == 3) & (scalar.free_throw_made_by_text(text) == 1), 1).otherwise(0)
     by = Window.partitionBy("game").orderBy("seq")
     side = lambda team: F.sum(F.when(F.col("t1") == team, points).otherwise(0)).over(by)
     score = F.when(points > 0, F.concat_ws("-", side(1).cast("string"), side(2).cast("string")))
-    return _plays(spark, d).select("game", "seq", "t", "code", F.col("t1").alias("team"), F.col("p1").alias("player"), "description", score.alias("score"))
+    return plays.select("game", "seq", "t", "code", F.col("t1").alias("team"), F.col("p1").alias("player"), "description", score.alias("score"))
 
 
 _STINTS = f"""{_PLAYS}, r0 AS (SELECT *, CASE WHEN code = 1 THEN CASE WHEN description LIKE '%3PT%' THEN 3 ELSE 2 END WHEN code = 3 AND description NOT LIKE 'MISS%' THEN 1 ELSE 0 END AS pts,
@@ -199,8 +203,8 @@ _STINTS = f"""{_PLAYS}, r0 AS (SELECT *, CASE WHEN code = 1 THEN CASE WHEN descr
 
 
 def _built(spark, d):
-    spans = _spans(_plays(spark, d))
-    return stints.stints(_log(spark, d), spans)
+    plays = written(_plays(spark, d), "plays")
+    return stints.stints(_log_of(plays), _spans(plays))
 
 
 @_query(f"WITH {_STINTS} SELECT game, t_start, t_end, home_pts, away_pts, round(home_poss, 6) AS home_poss, round(away_poss, 6) AS away_poss, score_margin FROM built WHERE activity > 0")
@@ -276,8 +280,8 @@ _PG = ", ".join(f"round(CAST({s} AS DOUBLE)/gp, 5) AS {s}_pg" for s in rates.PER
 
 
 def _advanced(spark, d):
-    p, e = _plays(spark, d), _events(spark, d)
-    s = _with_poss(p)
+    p = written(_plays(spark, d), "plays")
+    e, s = written(box.box_events(p), "events"), written(_with_poss(p), "spans")
     played = rates.with_box(rates.appearances(s), box.season_box(e))
     return rates.advanced(played.join(rates.context(e, s), "player", "left"))
 
@@ -360,7 +364,7 @@ def net_ratings(spark, d):
 @_query()
 def rapm_table(spark, d):
     """Ratings, on/off and box columns of a season (L4, J7, M9, M10, T1); the fit is held by its normal equations."""
-    s = rapm.usable(_rated_stints(spark, d))
+    s = written(rapm.usable(_rated_stints(spark, d)), "stints")
     beta = rapm.fitted(s, "stint", _ALPHA)
     b = _advanced(spark, d).select("player", "gp", *(F.col(f"{c}_pg").alias(c) for c in ("fga", "fta", "tov")))
     return rapm.assembled(rapm.ratings(beta), rapm.possessions(s), rapm.net_ratings(s), b).select("player", "orapm", "drapm", "rapm", "poss", "on_off", "usg")
