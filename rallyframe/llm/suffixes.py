@@ -247,18 +247,23 @@ def below(df: DataFrame, keys: list[str], counts: list[str]) -> DataFrame:
     offsets = totals.select("part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_base") for c in counts])
     within = Window.partitionBy("part").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     sums = held.withColumns({f"{c}_below": F.coalesce(F.sum(c).over(within), F.lit(0)) for c in counts})
-    return sums.join(F.broadcast(offsets), "part").select(*df.columns, *[(F.col(f"{c}_below") + F.col(f"{c}_base")).alias(f"{c}_below") for c in counts])
+    out = sums.join(F.broadcast(offsets), "part").select(*df.columns, *[(F.col(f"{c}_below") + F.col(f"{c}_base")).alias(f"{c}_below") for c in counts])
+    out = write_scratch(out, "below")
+    discard(held)
+    return out
 
 
 def beside(df: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """Adds before and after, ``value`` of the rows next to each in the order of ``keys``, and part. Keys are distinct."""
+    """Adds before and after, ``value`` of the rows next to each in the order of ``keys``. Keys are distinct."""
     held = ranged(df.withColumn("value", value), keys)
     order, part = F.struct(*keys), Window.orderBy("part")  # a row per part
     ends = held.groupBy("part").agg(F.min_by("value", order).alias("first"), F.max_by("value", order).alias("last"))
     ends = ends.select("part", F.lag("last").over(part).alias("left"), F.lead("first").over(part).alias("right"))
     within = Window.partitionBy("part").orderBy(*keys)
     rows = held.withColumns({"before": F.lag("value").over(within), "after": F.lead("value").over(within)}).join(F.broadcast(ends), "part")
-    return rows.withColumns({"before": F.coalesce("before", "left"), "after": F.coalesce("after", "right")}).drop("left", "right", "value")
+    out = write_scratch(rows.withColumns({"before": F.coalesce("before", "left"), "after": F.coalesce("after", "right")}).drop("left", "right", "value", "part"), "beside")
+    discard(held)
+    return out
 
 
 def ranked_together(strings: DataFrame) -> DataFrame:
@@ -306,7 +311,7 @@ def _told_apart(coded: DataFrame, rule: Rule) -> DataFrame:
     half = F.pmod(F.col("branch"), F.lit(2))
     inner = inner.select("zone", ((F.col("branch") - half) / 2).cast("long").alias("branch"), (F.col("place") * 3 + half + 1).cast("int").alias("place"), F.col("rank").alias("next"))
     opened = write_scratch(coded.where("open").join(inner, ["zone", "branch", "place"]).select("zone", "branch", "place", "name", "next"), "opened")
-    counted = write_scratch(below(opened.groupBy("name", "next").agg(F.count("*").alias("n")), ["name", "next"], ["n"]), "counted")
+    counted = below(opened.groupBy("name", "next").agg(F.count("*").alias("n")), ["name", "next"], ["n"])
     least = counted.groupBy("name").agg(F.min("n_below").alias("least"))
     rank = (F.col("name") + F.col("n_below") - F.col("least")).alias("rank")
     return opened.join(counted.join(least, "name").select("name", "next", rank), ["name", "next"]).select("zone", "branch", "place", "rank")
@@ -325,7 +330,7 @@ def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
     triple = lambda i: F.struct(i.alias("place"), name(i).alias("t1"), name(i + 1).alias("t2"), name(i + 2).alias("t3"), span(i).alias("span"), F.get("ats", i).alias("at"))
     sampled = strings.select("zone", "branch", F.inline(F.transform(F.filter(places, lambda i: i % 3 != 0), triple)))
     key = ["t1", "t2", "t3"]
-    named = write_scratch(below(sampled.groupBy(*key).agg(F.count("*").alias("n"), F.min("span").alias("span")), key, ["n"]), "triples")
+    named = below(sampled.groupBy(*key).agg(F.count("*").alias("n"), F.min("span").alias("span")), key, ["n"])
     tied = (F.col("n") > 1) & (F.col("span") < rule.length)
     coded = sampled.drop("span").join(named.select(*key, (F.col("n_below") + 1).alias("name"), tied.alias("open")), key)
     coded = write_scratch(coded.select("zone", "branch", "place", "at", "name", "open"), "coded")
@@ -349,9 +354,9 @@ def suffix_ranks(strings: DataFrame, rule: Rule) -> DataFrame:
     with1 = below(every.where("r <> 2").groupBy("t1", "r1").agg(of(0, "zero"), of(1, "one")), ["t1", "r1"], ["zero", "one"])
     with2 = below(every.where("r <> 1").groupBy("t1", "t2", "r2").agg(of(0, "zero"), of(2, "two")), ["t1", "t2", "r2"], ["zero", "two"])
     both = below(every.where("r <> 0").groupBy("own").agg(of(1, "one"), of(2, "two")), ["own"], ["one", "two"])
-    with1 = write_scratch(with1.select("t1", "r1", (F.col("zero_below") + F.col("one_below")).alias("x")), "merged")
-    with2 = write_scratch(with2.select("t1", "t2", "r2", (F.col("zero_below") + F.col("two_below")).alias("y"), "two_below"), "merged")
-    both = write_scratch(both.select("own", F.col("one_below").alias("ones"), F.col("two_below").alias("twos")), "merged")
+    with1 = with1.select("t1", "r1", (F.col("zero_below") + F.col("one_below")).alias("x"))
+    with2 = with2.select("t1", "t2", "r2", (F.col("zero_below") + F.col("two_below")).alias("y"), "two_below")
+    both = both.select("own", F.col("one_below").alias("ones"), F.col("two_below").alias("twos"))
     zero = every.where("r = 0").join(with1, ["t1", "r1"]).join(with2, ["t1", "t2", "r2"]).withColumn("rank", F.col("x") + F.col("two_below") + 1)
     one = every.where("r = 1").join(with1, ["t1", "r1"]).join(both, "own").withColumn("rank", F.col("x") + F.col("twos") + 1)
     two = every.where("r = 2").join(with2, ["t1", "t2", "r2"]).join(both, "own").withColumn("rank", F.col("y") + F.col("ones") + 1)
@@ -436,6 +441,9 @@ def repeated_starts(zoned: DataFrame, rule: Rule) -> DataFrame:
     facts = write_scratch(cut_facts(zoned, rule).join(ranks, ["zone", "place"]), "facts")
     classed = classes(facts, rule)
     members = write_scratch(facts.drop("prefixes").join(classed, "rank"), "members")
+    discard(facts)
+    discard(classed)
+    release(zoned.sparkSession)
     lot = ["class", "width", "least", "head"]
     many = members.groupBy("class").agg(F.max("near").alias("near"), F.min(F.struct(*lot)).alias("a"), F.max(F.struct(*lot)).alias("b"))
     grouped = members.groupBy(*lot).agg(F.count("*").alias("n"), F.min(F.struct("zone", "at", "rank")).alias("one"))
@@ -445,6 +453,7 @@ def repeated_starts(zoned: DataFrame, rule: Rule) -> DataFrame:
     asked = lots.join(many, "class").select("one.*", "width", "lot", F.greatest(low, F.col("least")).alias("low")).where("low < width")
     release(zoned.sparkSession)
     suffixes = write_scratch(tails(zoned, asked, rule), "tails")
+    release(zoned.sparkSession)
     same = beside(suffixes.groupBy("head", "rank", "digest").agg(F.count("*").alias("n")), ["head", "rank", "digest"], F.struct("head", "digest"))
     me = F.struct("head", "digest")
     again = same.where((F.col("n") > 1) | F.coalesce(F.col("before") == me, F.lit(False)) | F.coalesce(F.col("after") == me, F.lit(False)))
