@@ -190,7 +190,12 @@ def packed(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: i
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """One row per piece: PIECES, sequence_id, offset. Other columns of ``docs`` are ignored."""
+    """One row per piece: PIECES, sequence_id, offset. Other columns of ``docs`` are ignored.
+
+    A null or empty text is its end id alone. Null, equal and repeated doc_ids are documents of their own,
+    and their pieces carry the id they have. A very long text is encoded by one task and cut into pieces like
+    any other. An empty table gives no rows.
+    """
     return packed(write_scratch(pieces_of(docs, tokenizer, window, end_id), "pieces"), window)
 
 

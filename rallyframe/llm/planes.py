@@ -127,7 +127,12 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID, segment: int
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
-    """Encode ``docs`` and write them to ``path`` in the format above."""
+    """Encode ``docs`` and write them to ``path`` in the format above.
+
+    A null or empty text is its end id alone. Null doc_ids come first; equal ones stand next to each other in any
+    order. A very long text is encoded by one task and is a segment of its own. An empty table has no segments,
+    and reading it back gives no rows. Other columns are ignored.
+    """
     segments(docs, tokenizer, end_id).write.parquet(path)
 
 

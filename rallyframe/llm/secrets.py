@@ -140,7 +140,8 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 
     Spans are kind:start:end in code points, the end exclusive, by start and then kind. A null
     text counts as empty and gives empty spans; an empty table gives no rows; repeated rows are
-    scanned each. Other columns are ignored.
+    scanned each, and null or equal doc_ids are rows of their own. A very long text is scanned whole,
+    in one task. Other columns are ignored.
     """
     def joined(spans: Column) -> Column:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -165,6 +166,8 @@ def scan_secrets(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
 def redacted(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``docs`` with each span replaced by its kind in brackets; overlapping spans become one.
 
+    doc_id may be of any kind that casts to text. Null and empty texts stay, rows that repeat are redacted
+    each, an empty table stays empty. A text's time grows faster than its spans: each is cut from the start.
     Where a text changes, n_chars (if there is such a column) is its new length.
     """
     marks = found_in(docs, scope).where(F.size("all") > 0)

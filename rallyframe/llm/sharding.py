@@ -121,7 +121,8 @@ def shard_documents(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_
 
     size is the text's UTF-8 bytes plus 1 (null: 1). Shards have near-equal sizes. A map stored
     at ``map_path`` gets a further version, edited from its latest; without a path the map goes
-    to the shared scratch folder. An empty table gives no rows. Repeated rows are placed each.
+    to the shared scratch folder. An empty table gives no rows. Repeated rows are placed each. A very
+    long text is measured where it is read and never shuffled; its slot is as heavy as it is.
     """
     spark = docs.sparkSession
     rows = write_scratch(slotted(docs, n_slots), "slotted")

@@ -103,7 +103,7 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS, bits_apart: int = MAX_
     ``component`` is the least key of the near-duplicate group, ``group`` its least fingerprint.
     Null and empty texts have fingerprint 0 and link like any other. Repeated rows are returned
     each. Null keys don't count for the least key; a group of none but those has component null.
-    An empty table gives no rows.
+    An empty table gives no rows. A very long text is fingerprinted whole, by one task.
     """
     prints = write_scratch(fingerprinted(keyed, words), "fingerprints")
     classes = write_scratch(prints.groupBy("fp").agg(F.min("key").alias("first")), "classes")
