@@ -14,7 +14,7 @@ HEADLINE = (
     "zone_vs_baseline", "zone_rollup_dense", "asof_backward", "asof_clamped", "gaps_islands_runs", "second_grid",
     "pending_state_with_clear", "running_max_rise", "majority_vote", "lineup_explode_agg", "onoff_split", "context_two_sided",
     "scope_grouping_sets", "rate_table", "percentile_rank_nonmember", "zscore_within_group", "full_outer_reconcile",
-    "season_pair_selfjoin", "gram_matrix", "ridge_fit", "ridge_cv_folds",
+    "season_pair_selfjoin", "gram_matrix", "ridge_fit", "ridge_cv_folds", "advanced_rates", "rapm_table", "second_grid_compare", "season_stints",
 )
 
 

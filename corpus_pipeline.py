@@ -2,6 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
 read again as the next stage's ``docs``. All but the last return the columns of documents.
+
+All stages take null and empty texts, null, equal and repeated doc_ids, very long texts (whole, one task a
+text), empty tables and extra columns, whose names may be any but those that begin with ``__rf_``.
 """
 
 from __future__ import annotations
@@ -13,7 +16,10 @@ from rallyframe.llm.scratch import write_scratch
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the toxicity threshold, by a model of the labels."""
+    """Documents that score below the toxicity threshold, by a model of the labels.
+
+    A null or empty text has a score like any other. Rows that repeat are kept or dropped alike.
+    """
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.kept(docs, model)
 
@@ -23,18 +29,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents are linked whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
     Fingerprints can't tell that: such pairs lie about ten bits apart on average, so the similarity
-    itself is joined on.
+    itself is joined on. Of documents with the least doc_id and one text one stays; null doc_ids come
+    last. Null and empty texts are one group.
     """
     return simhash.deduplicated_similar(docs, words=5, like=0.8)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced by their kinds."""
+    """All documents, with secrets replaced by their kinds. Rows that repeat stay as many."""
     return secrets.redacted(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents, placed in sequences."""
+    """The pieces of all documents, placed in sequences. Null and empty texts are their end id alone."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
