@@ -155,3 +155,19 @@ def compact(shots: DataFrame, keys: list[str]) -> DataFrame:
         F.coalesce(F.transform("people", lambda p: p["player"]), F.array().cast("array<long>")).alias("player_ids"),
         "shots",
     )
+
+
+def of_players(rows: DataFrame, players: DataFrame, keys: list[str]) -> DataFrame:
+    """The shots of each of ``players`` (keys, player, name), with shot_name, the shots' own spelling.
+
+    ``rows`` has keys, player and name. A player's shots are those with the id; only if there are none, those with the
+    name, since feeds spell names differently. Shots of nobody are left out.
+    """
+    mine = players.select(*keys, F.col("player").alias("__p"), F.col("name").alias("__n"))
+    spelled = rows.withColumnRenamed("name", "shot_name")
+    by_id = mine.join(spelled.where("player IS NOT NULL"), [*(mine[k] == spelled[k] for k in keys), mine["__p"] == spelled["player"]], "left_semi").select(*keys, "__p").withColumn("__has", F.lit(True))
+    known = mine.join(by_id.distinct(), [*keys, "__p"], "left")
+    rest = known.where("__has IS NULL").groupBy(*keys, "__n").agg(F.min("__p").alias("__p"))
+    one = spelled.join(mine.select(*keys, F.col("__p").alias("player"), F.col("__n").alias("player_name")), [*keys, "player"])
+    two = spelled.drop("player").join(rest.select(*keys, F.col("__n").alias("shot_name"), F.col("__p").alias("player"), F.col("__n").alias("player_name")), [*keys, "shot_name"])
+    return one.unionByName(two)

@@ -454,3 +454,20 @@ def density_clusters(spark, d):
     """Clusters of all embeddings by density, noise apart (L10); tests hold them against a plain version."""
     points = _t(spark, d, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("x"))
     return density.clusters(points, "vec_id", "x")
+
+
+@_query("""WITH s AS (SELECT l_orderkey, l_linenumber, l_linestatus AS scope, CASE WHEN l_suppkey % 3 = 0 THEN NULL WHEN l_suppkey % 7 = 1 THEN l_suppkey + 100000 ELSE l_suppkey END AS player,
+  CASE WHEN l_suppkey % 5 = 0 THEN 'other ' || l_suppkey ELSE 'name ' || l_suppkey END AS name FROM lineitem),
+ p AS (SELECT s_suppkey AS player, 'name ' || s_suppkey AS name, scope FROM supplier, (SELECT DISTINCT scope FROM s)),
+ k AS (SELECT p.*, EXISTS (SELECT 1 FROM s WHERE s.scope = p.scope AND s.player = p.player) AS has FROM p)
+ SELECT l_orderkey, l_linenumber, k.player, s.name AS shot_name FROM s JOIN k ON k.scope = s.scope AND ((has AND s.player = k.player) OR (NOT has AND s.name = k.name))""")
+def shots_of_players(spark, d):
+    """Shots joined by id, and by name for players whose id no shot has."""
+    key = F.col("l_suppkey")
+    named = F.concat(F.when(key % 5 == 0, "other ").otherwise("name "), key.cast("string"))
+    rows = _t(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_linestatus").alias("scope"), F.when(key % 3 == 0, F.lit(None)).when(key % 7 == 1, key + 100000).otherwise(key).alias("player"), named.alias("name")
+    )
+    players = _t(spark, d, "supplier").select(F.col("s_suppkey").alias("player"), F.concat(F.lit("name "), F.col("s_suppkey").cast("string")).alias("name"))
+    players = players.join(F.broadcast(rows.select("scope").distinct()))  # a row for each line status
+    return shots.of_players(rows, players, ["scope"]).select("l_orderkey", "l_linenumber", "player", "shot_name")

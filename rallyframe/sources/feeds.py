@@ -74,7 +74,7 @@ def path_of(spark: SparkSession, folder: str, feed: str, **parameters) -> str:
 
 def read(spark: SparkSession, folder: str, feed: str, **parameters) -> DataFrame:
     """One stored answer, columns as declared; columns that the answer lacks are null."""
-    return read_many(spark, folder, feed, [parameters]).drop(*(k for k in parameters if k.upper() not in (FEEDS[feed].schema or "").upper()))
+    return _scan(spark, folder, feed, [parameters], with_keys=False)
 
 
 def missing(spark: SparkSession, folder: str, feed: str, answers: list[dict]) -> list[dict]:
@@ -88,8 +88,13 @@ def missing(spark: SparkSession, folder: str, feed: str, answers: list[dict]) ->
 def read_many(spark: SparkSession, folder: str, feed: str, answers: list[dict]) -> DataFrame:
     """Several answers as one table with their parameters as columns, by one scan; all must be stored.
 
-    Columns go by the header that the files share; a file with another one fails the job.
+    Columns go by the header that the files share; a file with another one fails the job. A parameter that is a
+    column of the feed already, in any case, is not added.
     """
+    return _scan(spark, folder, feed, answers, with_keys=True)
+
+
+def _scan(spark: SparkSession, folder: str, feed: str, answers: list[dict], with_keys: bool) -> DataFrame:
     absent = missing(spark, folder, feed, answers)
     if absent:
         raise NotFetched(f"{feed} {absent[0]}" + (f" and {len(absent) - 1} more" if len(absent) > 1 else ""))
@@ -102,7 +107,8 @@ def read_many(spark: SparkSession, folder: str, feed: str, answers: list[dict])
     text = ", ".join(f"`{f.name}` string" for f in header)
     rows = spark.read.schema(text).csv(paths, header=True, enforceSchema=False).withColumn("__file", F.col("_metadata.file_name"))
     of = spark.createDataFrame([(file_of(feed, **a), *(str(a[k]) for k in known)) for a in answers], ", ".join(["__file string", *(f"__{k} string" for k in known)])).distinct()
-    extra = [k for k in known if schema is None or k.upper() not in schema.upper()]
+    there = {f.name.upper() for f in (header if schema is None else StructType.fromDDL(schema))}
+    extra = [k for k in known if with_keys and k.upper() not in there]
     return declared(rows.join(F.broadcast(of), "__file"), schema, {k: F.col(f"__{k}") for k in extra}, ["__file", *(f"__{k}" for k in known)])
 
 
