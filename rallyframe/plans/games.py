@@ -422,3 +422,14 @@ def box_ratings(spark, d):
     s = rapm.usable(_rated_stints(spark, d))
     rated = rapm.ratings(rapm.fitted(s, "stint", _ALPHA)).select("player", F.col("orapm").alias("ORAPM"), F.col("drapm").alias("DRAPM"))
     return bpm.rated(rows.join(rated, "player")).select("player", "OBPM", "DBPM", "BPM")
+
+
+@_query("""SELECT l_suppkey AS player, round_even(avg(l_quantity), 1) AS pts, round_even(avg(l_discount) * 100, 1) AS fg_pct, CAST(count(*) FILTER (l_linenumber = 1) AS DOUBLE) AS stl_100,
+ CAST(count(*) FILTER (l_linenumber = 2) AS DOUBLE) AS blk_100, CAST(count(*) FILTER (l_linenumber <= 2) AS DOUBLE) AS stocks_100 FROM lineitem GROUP BY 1""")
+def published_columns(spark, d):
+    """Box columns as they are published: per-game values to a place, shares as percentages, stocks as a sum."""
+    line = F.col("l_linenumber")
+    rows = _t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("player")).agg(
+        F.avg("l_quantity").alias("pts"), F.avg("l_discount").alias("fg_pct"), F.count_if(line == 1).cast("double").alias("stl_100"), F.count_if(line == 2).cast("double").alias("blk_100")
+    )
+    return rapm.per_game_columns(rows, ["pts"], ["fg_pct"])
