@@ -84,3 +84,15 @@ def test_quantiles_equal_numpy(spark):
     for g, vs in groups.items():
         assert got[g] == pytest.approx(np.quantile(vs, list(shares.values())).tolist(), rel=1e-12)
     assert got["e"] == [None] * 4
+
+
+def test_published_means_are_exact(spark, tmp_path):
+    """3030 hundredths over 600 rows lie on half a place: in doubles they come out above or below by the order of rows."""
+    from rallyframe.plans import games
+
+    some = [0.1] * 150 + [0.07] * 150 + [0.03] * 150 + [0.002] * 150
+    made = [(1, v) for v in some] + [(2, v) for v in reversed(some)] + [(3, v) for v in sorted(some, key=lambda v: hash((v, 3)))]
+    line = spark.createDataFrame([(k, v, 24.5 if i % 2 else 24.6, 1) for i, (k, v) in enumerate(made)], "l_suppkey long, l_discount double, l_quantity double, l_linenumber int")
+    line.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = games.published_columns(spark, str(tmp_path)).collect()
+    assert {(r.pts, r.fg_pct) for r in got} == {(24.6, 5.0)}
