@@ -86,6 +86,17 @@ def test_quantiles_equal_numpy(spark):
     assert got["e"] == [None] * 4
 
 
+def test_tasks_grow_with_the_table(spark, monkeypatch):
+    """A game's plays, events and stints are sorted in tasks of bounded size; groups by game need no second shuffle."""
+    from rallyframe.sources import stored
+
+    monkeypatch.setattr(stored, "TASK_ROWS", 100)
+    rows = stored.by_key(stored.written(spark.range(5000).selectExpr("id % 700 AS game", "id AS seq"), "rows"), "game")
+    assert rows.rdd.getNumPartitions() == 50
+    each = rows.groupBy("game", "seq").count()
+    assert each._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_published_means_are_exact(spark, tmp_path):
     """3030 hundredths over 600 rows lie on half a place: in doubles they come out above or below by the order of rows."""
     from rallyframe.plans import games
