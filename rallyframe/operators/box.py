@@ -58,7 +58,11 @@ def with_missing_team(plays: DataFrame) -> DataFrame:
 def box_events(plays: DataFrame) -> DataFrame:
     """game, seq, t, player, team and STATS: a row for each player (or team) that a play adds to."""
     code, text = F.col("code"), F.coalesce("description", F.lit(""))
-    rows = with_missing_team(plays).join(rebound_kinds(plays), ["game", "seq"], "left")
+    rows = with_missing_team(plays).withColumn("n", F.when((code == REBOUND) & actor(1).isNotNull(), scalar.rebound_counts(F.col("description"))))
+    # Plays that don't tell are a group of their own, whose kinds aren't read.
+    told = F.when(F.col("n.off").isNotNull(), actor(1)["player"])
+    rows = rows.withColumns({"teller": told, "o": F.col("n.off"), "d": F.col("n.def")})
+    rows = state.resolve_rebounds(rows, ["game", "teller"], "o", "d", "seq").withColumn("counted", F.when(F.col("teller").isNotNull(), F.col("kind")))
     rows = rows.withColumns({"a1": actor(1), "a2": actor(2), "a3": actor(3), "whole_team": team_actor()})
     by_miss = F.when(F.col("missed").isNotNull(), F.when(F.coalesce(F.col("a1.team"), F.col("whole_team.team")) == F.col("missed"), "off").otherwise("def"))
     kind = F.when(F.col("a1").isNotNull(), F.coalesce("counted", by_miss)).otherwise(by_miss)

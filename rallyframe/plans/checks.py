@@ -13,6 +13,7 @@ from rallyframe.operators import archetypes, box, density, lineups, maps, orderi
 from rallyframe.plans.catalog import _SHOTS, _query, _shots, _t
 from rallyframe.plans.games import _ADV, _BOX, _PLAYS, _SPANS, _STATS, _advanced, _events, _plays, _spans
 from rallyframe.sources import documents, feeds, files
+from rallyframe.sources.stored import written
 
 # ---------------------------------------------------------------- verification
 
@@ -68,7 +69,7 @@ _OFFICIAL = f"""{_BOX}, gb AS (SELECT game, player, 'P' || player AS name, {_STA
  SELECT stat, count(*) FILTER (met) AS rows, count(*) FILTER (met AND diff <> 0) AS differing, count(*) FILTER (NOT met AND carries) AS unmatched FROM l GROUP BY 1""")
 def box_reconcile(spark, d):
     """Box scores of games against official ones, ids first and names where ids differ."""
-    own = box.summed(_events(spark, d), ["game", "player"]).withColumn("name", F.concat(F.lit("P"), F.col("player").cast("string")))
+    own = written(box.summed(_events(spark, d), ["game", "player"]).withColumn("name", F.concat(F.lit("P"), F.col("player").cast("string"))), "totals")
     official = own.where("tov < 9").withColumns({"player": F.when(F.col("fga") > 12, -F.col("player")).otherwise(F.col("player")), "pts": F.col("pts") + (F.col("player") % 5 == 0).cast("int")})
     return verify.box_totals(own, official, "player", "name", ["pts", "reb", "tov"])
 
