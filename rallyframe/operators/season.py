@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
 from rallyframe.operators import ordering, rotation, stints
-from rallyframe.sources.stored import written
+from rallyframe.sources.stored import by_key, written
 
 SUBSTITUTION, FOUL = 8, 6
 #: Kinds of a slot that mean a player on the floor.
@@ -71,13 +71,14 @@ def mentions(plays: DataFrame, teams: DataFrame, sides: DataFrame) -> tuple[Data
     side = lambda n, role: F.struct(F.lit(n).alias("slot"), F.lit(role).alias("role"), F.col(f"p{n}").alias("player"), F.col("p1").alias("by"))
     both = F.when(F.col("p1").isNotNull() & F.col("p2").isNotNull(), F.array(side(1, "out"), side(2, "in")))
     seen = F.when(sub, both).when(F.col("code").isin(*scalar.ON_COURT_EVENTS) & ~technical, on)
-    base = plays.join(sides.where("home is not null and away is not null"), "game")
-    rows = base.select("game", "period", "seq", "t", F.col("t1").alias("said"), "home", "away", F.inline(seen))
-    voted = rows.join(teams.select("game", F.col("player").alias("by"), "team"), ["game", "by"])
-    ours = (F.col("team") == F.col("home")) | (F.col("team") == F.col("away"))
+    # A game's players are a few dozen: one map a game, so that mentions needn't be shuffled by player.
+    known = teams.groupBy("game").agg(F.map_from_entries(F.collect_list(F.struct("player", "team"))).alias("teams"))
+    base = plays.join(sides.where("home is not null and away is not null").join(known, "game"), "game")
+    rows = base.select("game", "period", "seq", "t", F.col("t1").alias("said"), "home", "away", "teams", F.inline(seen))
+    rows = written(rows.withColumn("voted", F.try_element_at("teams", "by")).drop("teams", "by"), "mentions")
     columns = ["game", "period", "team", "seq", "slot", "t", "role", "player"]
-    moves = rows.where("role <> 'on'").withColumn("team", F.col("said"))
-    return voted.where(ours).select(*columns), moves.where(ours).select(*columns)
+    ours = lambda team: rows.where((F.col(team) == F.col("home")) | (F.col(team) == F.col("away"))).withColumn("team", F.col(team)).select(*columns)
+    return ours("voted"), ours("said").where("role <> 'on'")
 
 
 def states(openings: DataFrame, moves: DataFrame, periods: DataFrame) -> DataFrame:
@@ -149,12 +150,12 @@ def built(plays: DataFrame) -> Built:
     plays = written(plays, "plays")
     sides = written(team_sides(plays), "sides")
     periods = plays.groupBy("game", "period").agg(F.min("begins").alias("begins"), F.max("ends").alias("ends"))
-    on, moves = mentions(plays, player_teams(plays), sides)
-    on, moves = written(on, "mentions"), written(moves, "moves")
+    keyed = by_key(plays, "game")
+    on, moves = mentions(keyed, player_teams(plays), sides)
     openings = written(rotation.openings(on, moves, periods), "openings")
     changes = written(states(openings, moves, periods), "changes")
     met = written(spans(changes, periods, sides), "spans")
-    events = plays.select("game", "seq", "t", "code", scalar.event_team(F.col("t1"), F.col("p1")).alias("team"), F.col("p1").alias("player"), "description", "score")
+    events = keyed.select("game", "seq", "t", "code", scalar.event_team(F.col("t1"), F.col("p1")).alias("team"), F.col("p1").alias("player"), "description", "score")
     found = written(stints.stints(events, met), "stints")
     five = met.where((F.size("home_lineup") == rotation.FIVE) & (F.size("away_lineup") == rotation.FIVE)).groupBy("game").agg(F.lit(True).alias("five"))
     done = found.groupBy("game").agg(F.lit(True).alias("done"))
