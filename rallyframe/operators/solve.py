@@ -1,8 +1,8 @@
 """Many ridge fits at once by conjugate gradients: all penalties, folds and halves in one pass an iteration.
 
 Rows hold their indicator columns as an array, a weight, a label and a mask. A problem is a penalty and the
-rows whose mask has (or lacks) a bit. An iteration multiplies the design of every problem with its
-direction in one scan of the rows: each task adds up its part as arrays, chunks of columns are added
+rows whose mask has (or lacks) a bit. Rows are packed into blocks of arrays once. An iteration multiplies the design
+of every problem with its direction in one scan of the blocks: each task adds up its part as arrays, chunks of columns are added
 up again in Spark, and the driver sees as many numbers as there are columns and problems. No Gram matrix is ever
 made, so driver memory and the broadcast are linear in the columns; ``LARGEST`` checks them.
 """
@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rallyframe.sources.stored import written
+
 #: Columns of a partial sum that travel together.
 CHUNK = 1024
 #: Most numbers that the driver holds for one vector of all problems.
@@ -36,49 +38,77 @@ class Problem:
 
 
 class Rows:
-    """A batch of design rows as arrays; ``sums`` and ``spread`` are the design and its transpose."""
+    """A block of packed rows as arrays; ``sums`` and ``spread`` are the design and its transpose."""
 
-    def __init__(self, batch: pa.RecordBatch, columns: np.ndarray):
-        held = batch.column("cols")
-        self.sizes = np.diff(held.offsets.to_numpy())
+    def __init__(self, block: dict[str, bytes]):
+        self.sizes = np.frombuffer(block["sizes"], np.int32)
         self.some = self.sizes > 0
-        self.w, self.y, self.mask = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("w", "y", "mask"))
-        self.codes = np.searchsorted(columns, held.flatten().to_numpy())
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])[self.some]
-        self.order = np.argsort(self.codes, kind="stable")
-        self.seen, self.first = np.unique(self.codes[self.order], return_index=True)
+        self.w, self.y, self.mask = (np.frombuffer(block[c], k) if block.get(c) is not None else None for c, k in (("w", float), ("y", float), ("mask", np.int64)))
+        self.seen, self.local = np.frombuffer(block["seen"], np.int32), np.frombuffer(block["local"], np.int32)
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes, dtype=np.int64)[:-1]])[self.some]
 
     def sums(self, values: np.ndarray) -> np.ndarray:
         """For each row the sum of its columns' ``values`` (columns, problems)."""
         out = np.zeros((len(self.sizes), values.shape[1]))
-        if len(self.codes):
-            out[self.some] = np.add.reduceat(values[self.codes], self.starts, axis=0)
+        if len(self.local):
+            out[self.some] = np.add.reduceat(values[self.seen][self.local], self.starts, axis=0)
         return out
 
     def spread(self, values: np.ndarray, into: np.ndarray) -> None:
         """Adds each row's ``values`` (rows, problems) to all its columns."""
-        if len(self.codes):
-            into[self.seen] += np.add.reduceat(np.repeat(values, self.sizes, axis=0)[self.order], self.first, axis=0)
+        for k in range(values.shape[1] if len(self.local) else 0):
+            into[self.seen, k] += np.bincount(self.local, np.repeat(values[:, k], self.sizes), len(self.seen))
+
+
+_PACKED = {"w": np.float64, "y": np.float64, "mask": np.int64}
 
 
-def added_up(rows: DataFrame, columns: np.ndarray, wide: int, part: Callable[[Rows, np.ndarray], None]) -> np.ndarray:
-    """(columns, wide): what ``part`` adds for each batch, over all rows."""
-    many = len(columns)
+def packed(rows: DataFrame, columns: np.ndarray) -> DataFrame:
+    """Blocks of rows (w, y, mask, cols) with columns as places in ``columns``, looked up once for all iterations."""
+    shared = rows.sparkSession.sparkContext.broadcast(columns)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, any_rows = np.zeros((many, wide)), False
         for batch in batches:
             if batch.num_rows:
-                any_rows = True
-                part(Rows(batch, columns), total)
-        for at in range(0, many if any_rows else 0, CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([total[at : at + CHUNK].tobytes()], pa.binary())], ["at", "sums"])
+                held = batch.column("cols")
+                seen, local = np.unique(held.flatten().to_numpy(), return_inverse=True)
+                parts = {c: batch.column(c).to_numpy(zero_copy_only=False).astype(k).tobytes() for c, k in _PACKED.items()}
+                parts |= {"sizes": np.diff(held.offsets.to_numpy()).astype(np.int32).tobytes(), "seen": np.searchsorted(shared.value, seen).astype(np.int32).tobytes(), "local": local.astype(np.int32).tobytes()}
+                yield pa.RecordBatch.from_pydict({c: pa.array([v], pa.binary()) for c, v in parts.items()})
+
+    return rows.select("w", "y", "mask", "cols").mapInArrow(task, ", ".join(f"{c} binary" for c in (*_PACKED, "sizes", "seen", "local")))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[Rows]:
+    for batch in batches:
+        for block in batch.to_pylist():
+            yield Rows(block)
+
+
+def added_up(blocks: DataFrame, many: int, wide: int, part: Callable[[Rows, np.ndarray], None]) -> np.ndarray:
+    """(many, wide): what ``part`` adds to the columns for each block, over all ``packed`` rows.
+
+    No more tasks than there are cores, each with one vector of sums, of which it hands on the chunks that aren't zero:
+    what is shuffled grows with the columns and not with columns times pieces of the table.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((many, wide))
+        for block in _blocks(batches):
+            part(block, total)
+        for at in range(0, many, CHUNK):
+            piece = total[at : at + CHUNK]
+            if piece.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([piece.tobytes()], pa.binary())], ["at", "sums"])
 
     def together(held: pa.Table) -> pa.Table:
-        total = np.sum([np.frombuffer(s.as_buffer()) for s in held["sums"]], axis=0)
+        total = np.zeros(len(held["sums"][0].as_buffer()) // 8)
+        for s in held["sums"]:
+            total += np.frombuffer(s.as_buffer())
         return pa.table({"at": pa.array([held["at"][0].as_py()], pa.int64()), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    found = rows.select("w", "y", "mask", "cols").mapInArrow(task, "at long, sums binary").groupBy("at").applyInArrow(together, "at long, sums binary").toArrow()
+    few = blocks.coalesce(blocks.sparkSession.sparkContext.defaultParallelism)
+    found = few.mapInArrow(task, "at long, sums binary").groupBy("at").applyInArrow(together, "at long, sums binary").toArrow()
     out = np.zeros((many, wide))
     for at, sums in zip(found["at"].to_pylist(), found["sums"].to_pylist()):
         piece = np.frombuffer(sums).reshape(-1, wide)
@@ -105,12 +135,13 @@ def scalars(rows: DataFrame, problems: list[Problem]) -> np.ndarray:
 
 @dataclass
 class Fits:
-    """columns; beta (columns, problems); the weighted mean that each problem's labels were centred by; iterations."""
+    """columns; beta (columns, problems); the weighted mean that each problem's labels were centred by; iterations; the packed rows."""
 
     columns: np.ndarray
     beta: np.ndarray
     means: np.ndarray
     iterations: int
+    blocks: DataFrame
 
 
 def ridges(rows: DataFrame, problems: list[Problem], tolerance: float = 1e-10, most: int = 1000) -> Fits:
@@ -118,7 +149,7 @@ def ridges(rows: DataFrame, problems: list[Problem], tolerance: float = 1e-10, m
 
     A row's columns are indicators and may not repeat; labels are centred by their weighted mean. A problem without
     rows has coefficients 0. Raises if ``most`` iterations don't bring every residual below ``tolerance``
-    of its right side. ``rows`` is read once an iteration: store it first.
+    of its right side. ``rows`` is packed once and the blocks are read once an iteration: store it first.
     """
     columns = column_ids(rows)
     _checked(columns, problems)
@@ -126,12 +157,15 @@ def ridges(rows: DataFrame, problems: list[Problem], tolerance: float = 1e-10, m
     sums = scalars(rows, problems)
     means = np.divide(sums[:, 1], sums[:, 0], out=np.zeros(k), where=sums[:, 0] > 0)
     context = rows.sparkSession.sparkContext
+    blocks = written(packed(rows, columns), "blocks")
+    # Labels aren't read again, nor masks that no problem asks for.
+    lean = blocks.drop("y", *([] if any(p.bit >= 0 for p in problems) else ["mask"]))
 
     def first(batch: Rows, into: np.ndarray) -> None:
         w = np.stack([p.weights(batch.w, batch.mask) for p in problems], axis=1)
         batch.spread(np.concatenate([w, w * (batch.y[:, None] - means)], axis=1), into)
 
-    start = added_up(rows, columns, 2 * k, first)
+    start = added_up(blocks, len(columns), 2 * k, first)
     alphas = np.array([p.alpha for p in problems])
     scale, left = start[:, :k] + alphas, start[:, k:]
     size = np.sqrt((left * left).sum(axis=0))
@@ -147,7 +181,7 @@ def ridges(rows: DataFrame, problems: list[Problem], tolerance: float = 1e-10, m
             w = np.stack([p.weights(batch.w, batch.mask) for p in problems], axis=1)
             batch.spread(w * batch.sums(shared.value), into)
 
-        turned = added_up(rows, columns, k, product) + alphas * way
+        turned = added_up(lean, len(columns), k, product) + alphas * way
         shared.destroy()
         curve = (way * turned).sum(axis=0)
         length = np.divide(inner, curve, out=np.zeros(k), where=curve > 0)
@@ -156,31 +190,44 @@ def ridges(rows: DataFrame, problems: list[Problem], tolerance: float = 1e-10, m
         z = left / scale
         before, inner = inner, (left * z).sum(axis=0)
         way = z + np.divide(inner, before, out=np.zeros(k), where=before > 0) * way
-    return Fits(columns, beta, means, rounds)
+    return Fits(columns, beta, means, rounds, blocks)
 
 
 def errors(rows: DataFrame, problems: list[Problem], fits: Fits) -> np.ndarray:
     """Weighted RMSE of each problem on the rows it leaves out, in one scan; NaN where there are none."""
     context, means = rows.sparkSession.sparkContext, fits.means
-    shared, columns = context.broadcast(fits.beta), fits.columns
+    shared = context.broadcast(fits.beta)
     k = len(problems)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, 2))
-        for batch in batches:
-            if batch.num_rows:
-                held = Rows(batch, columns)
-                w = np.stack([held.w - p.weights(held.w, held.mask) for p in problems], axis=1)
-                off = held.y[:, None] - means - held.sums(shared.value)
-                total += np.stack([(w * off * off).sum(axis=0), w.sum(axis=0)], axis=1)
+        for held in _blocks(batches):
+            w = np.stack([held.w - p.weights(held.w, held.mask) for p in problems], axis=1)
+            off = held.y[:, None] - means - held.sums(shared.value)
+            total += np.stack([(w * off * off).sum(axis=0), w.sum(axis=0)], axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(total[:, 0]), pa.array(total[:, 1])], ["problem", "square", "w"])
 
-    parts = rows.select("w", "y", "mask", "cols").mapInArrow(task, "problem int, square double, w double")
+    parts = fits.blocks.mapInArrow(task, "problem int, square double, w double")
     found = parts.groupBy("problem").agg(F.sum("square"), F.sum("w")).orderBy("problem").collect()
     shared.destroy()
     return np.array([np.sqrt(r[1] / r[2]) if r[2] > 0 else np.nan for r in found])
 
 
+def residuals(problems: list[Problem], fits: Fits) -> np.ndarray:
+    """(columns, problems): what each fit leaves over of its normal equations, by weight of the column; one scan of the rows."""
+    k, means = len(problems), fits.means
+    shared = fits.blocks.sparkSession.sparkContext.broadcast(fits.beta)
+
+    def part(batch: Rows, into: np.ndarray) -> None:
+        w = np.stack([p.weights(batch.w, batch.mask) for p in problems], axis=1)
+        batch.spread(np.concatenate([w, w * (batch.y[:, None] - means - batch.sums(shared.value))], axis=1), into)
+
+    found = added_up(fits.blocks, len(fits.columns), 2 * k, part)
+    shared.destroy()
+    left = found[:, k:] - np.array([p.alpha for p in problems]) * fits.beta
+    return np.divide(left, found[:, :k], out=np.full_like(left, np.nan), where=found[:, :k] > 0)
+
+
 def fold_mask(fold, folds: int):
     """A mask whose bit f is 1 for rows of other folds than f: the training rows of fold f."""
     return F.lit((1 << folds) - 1).cast("long") - F.element_at(F.array(*[F.lit(1 << f).cast("long") for f in range(folds)]), fold.cast("int") + 1)

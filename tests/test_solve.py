@@ -82,3 +82,18 @@ def test_twenty_splits(spark):
     poss = {(r.player, r.split): r.poss_0 + r.poss_1 for r in evaluate.half_possessions(stints, "stint", 20).collect()}
     whole = {r.player: r.poss for r in rapm.possessions(stints).collect()}
     assert len(poss) == 20 * 60 and all(v == pytest.approx(whole[p]) for (p, _), v in poss.items())
+
+
+def test_sums_of_a_wide_design_are_few(spark):
+    """A scan of the blocks has no more tasks than cores, however many pieces the table has, and leaves no residual."""
+    rows = rows_of(spark)[0].repartition(60)
+    problems = [solve.Problem(20.0), solve.Problem(20.0, 1, 1)]
+    fits = solve.ridges(rows, problems)
+    assert np.nanmax(np.abs(solve.residuals(problems, fits))) < 1e-6
+    blocks = solve.packed(rows, fits.columns)
+    assert blocks.count() >= 60
+    few = blocks.coalesce(spark.sparkContext.defaultParallelism)
+    assert few.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    total = solve.added_up(blocks, len(fits.columns), 1, lambda b, into: b.spread(b.w[:, None], into))
+    want = {r.c: r.w for r in rows.selectExpr("explode(cols) AS c", "w").groupBy("c").sum("w").toDF("c", "w").collect()}
+    assert np.allclose(total[:, 0], [want[int(c)] for c in fits.columns])
