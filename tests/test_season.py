@@ -142,3 +142,19 @@ def test_ties_of_a_player_go_to_the_first_slot(spark):
     plays = spark.createDataFrame([("g", 1, 3, 20, 7, 20, None, None), ("g", 2, 7, 10, 5, None, 3, 20)], kinds)
     got = {r.player: r.team for r in season.player_teams(plays).collect()}
     assert got == {3: 20, 7: 10}
+
+
+def test_mentions_are_stored_and_not_joined_by_player(spark):
+    """Mentions of a game's players are read as they were written: no shuffle of every mention by player follows."""
+    kinds = "game string, seq int, period int, t double, begins double, ends double, code int, action int, score string, description string, side string"
+    kinds += "".join(f", p{n} long, k{n} int, t{n} long, n{n} string" for n in (1, 2, 3))
+    slots = lambda *ps: [v for p, team in ps for v in (p, 4, team, f"P{p}")]
+    rows = [("1", 1, 1, 5.0, 0.0, 600.0, 8, 0, None, "SUB", "home", *slots((101, 1), (102, 1), (0, 0))),
+            ("1", 2, 1, 6.0, 0.0, 600.0, 8, 0, None, "SUB", "away", *slots((201, 2), (202, 2), (0, 0))),
+            ("1", 3, 1, 7.0, 0.0, 600.0, 1, 0, None, "Shot", "home", *slots((103, 1), (0, 0), (0, 0)))]
+    plays = spark.createDataFrame(rows, kinds)
+    on, moves = season.mentions(plays, season.player_teams(plays), season.team_sides(plays))
+    assert {(r.team, r.seq, r.role, r.player) for r in on.collect()} == {(1, 1, "out", 101), (1, 1, "in", 102), (2, 2, "out", 201), (2, 2, "in", 202), (1, 3, "on", 103)}
+    assert {(r.team, r.role, r.player) for r in moves.collect()} == {(1, "out", 101), (1, "in", 102), (2, "out", 201), (2, "in", 202)}
+    for found in (on, moves):
+        assert "Exchange" not in found._jdf.queryExecution().toString()
