@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rallyframe.llm.scratch import write_scratch
-from rallyframe.llm.words import PieceCodec, slices
+from rallyframe.llm.words import slices, worker_codec
 
 WINDOW = 1024
 GRAIN = 8
@@ -34,7 +34,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int
     """PIECES of (doc_id, text): cuts after each ``window`` ids. A null text counts as empty."""
 
     def cut(batches):
-        codec = PieceCodec(tokenizer, keep_space=True)
+        codec = worker_codec(tokenizer, True)
         for batch in batches:
             for piece in slices(batch, 1):
                 ids, ends = codec.encode(piece.column(1))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rallyframe.llm.scratch import scratch_path
-from rallyframe.llm.words import PieceCodec, slices
+from rallyframe.llm.words import slices, worker_codec
 
 BLOCK = 1 << 15
 SEGMENT = 1 << 17
@@ -90,7 +90,7 @@ def segments(docs: DataFrame, tokenizer: str, end_id: int = END_ID, segment: int
     """
 
     def encoded(batches):
-        codec = PieceCodec(tokenizer, keep_space=False)
+        codec = worker_codec(tokenizer, False)
         part, number, before = TaskContext.get().partitionId(), 0, 0
         names, sizes, kept, held = [], [], [], 0
 

@@ -8,6 +8,7 @@ such that a cut could change the ids, the text is encoded whole.
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Iterator
 
@@ -127,6 +128,12 @@ class PieceCodec:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
+@functools.cache
+def worker_codec(path: str, keep_space: bool) -> PieceCodec:
+    """One codec for all tasks of a Python worker, so that pieces it knows are not encoded again by each task."""
+    return PieceCodec(path, keep_space)
+
+
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the texts of a slice have about SLICE bytes, at least one row each."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), dtype=np.int64)
