@@ -61,3 +61,18 @@ def components(links: DataFrame) -> DataFrame:
         before = now
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """node, component of ``groups`` (node, component) and ``links`` (a, b) together, as ``components`` of all their links gives them.
+
+    Links are taken between groups, each once: however many join two groups, or lie within one, no round carries
+    more than one. ``groups`` and ``links`` are tables that were written.
+    """
+    name = lambda c: groups.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+    ends = links.where("a <> b").join(name("a"), "a", "left").join(name("b"), "b", "left")
+    between = ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    now = write_scratch(components(between), "merged").select(F.col("node").alias("component"), F.col("component").alias("now"))
+    known = groups.join(now, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    fresh = now.select(F.col("component").alias("node"), F.col("now").alias("component")).join(groups.select("node"), "node", "left_anti")
+    return known.unionByName(fresh)

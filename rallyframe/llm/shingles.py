@@ -87,14 +87,15 @@ def first_of(own: np.ndarray, known: tuple[np.ndarray, np.ndarray], like: float
 
 
 def shared(sets: DataFrame) -> DataFrame:
-    """shingle, class, n, at of indexed shingles that more than one class has, each once; sets: class, n, prefix.
+    """shingle, class, n, at, p1, p2 of indexed shingles that more than one class has, each once; sets: class, n, prefix.
 
-    at is the shingle's place in the class's order, which is the same for all.
+    at is the shingle's place in the class's order, which is the same for all; p1 and p2 are the two before it.
 
     Which shingles these are is found by partial aggregates; a shingle of very many classes is then
     a skewed key of a join, which adaptive execution splits.
     """
-    rows = sets.select(F.posexplode("prefix").alias("at", "shingle"), "class", "n").select("shingle", "class", "n", "at")
+    rows = sets.select(F.posexplode("prefix").alias("at", "shingle"), "class", "n", "prefix")
+    rows = rows.select("shingle", "class", "n", "at", *(F.get("prefix", F.col("at") - i).alias(f"p{i}") for i in (1, 2)))
     several = rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("shingle")
     return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
 
@@ -102,7 +103,7 @@ def shared(sets: DataFrame) -> DataFrame:
 def _grouped(index: DataFrame, groups: DataFrame) -> DataFrame:
     """The rows of ``index`` with their group, of shingles that more than one of ``groups`` (node, component) has."""
     left = index.join(groups, index["class"] == groups["node"], "left").select(
-        "shingle", "class", "n", "at", F.coalesce("component", "class").alias("group")
+        "shingle", "class", "n", "at", "p1", "p2", F.coalesce("component", "class").alias("group")
     )
     several = left.groupBy("shingle").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("shingle")
     return left.join(several, "shingle", "left_semi")
@@ -138,14 +139,21 @@ def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame
 
     The first shingle in the common order that two sets share has all their others behind it, in both. So two
     that are alike meet where enough of either set is left, and only such meetings leave the join. As rare shingles
-    come first, sets that are not quite alike have used up what they may lack before they meet.
+    come first, sets that are not quite alike have used up what they may lack before they meet. Where one of the two
+    shingles before is shared too, it isn't the first, so pairs that share long passages don't leave once for each shingle.
     """
-    left = _grouped(index, groups)
-    one = left.select("shingle", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("group").alias("g_a"))
-    two = left.select("shingle", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("group").alias("g_b"))
+    return meetings(_grouped(index, groups), like).select("a", "b").distinct()
+
+
+def meetings(left: DataFrame, like: float = LIKE) -> DataFrame:
+    """a, b of the rows (shingle, class, n, at, p1, p2, group) of two groups that meet where they may be alike; a pair may several times."""
+    of = lambda c: left.select("shingle", F.col("class").alias(c), *(F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "p1", "p2")), F.col("group").alias(f"g_{c}"))
     lengths = F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6
     enough = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * (1 + like) >= like * (F.col("n_a") + F.col("n_b")) - 1e-6
-    return one.join(two, "shingle").where(F.expr("a < b and g_a <> g_b") & lengths & enough).select("a", "b").distinct()
+    met_before = F.coalesce(F.expr("p1_a = p1_b"), F.lit(False))
+    for one, two in (("p1_a", "p2_b"), ("p2_a", "p1_b"), ("p2_a", "p2_b")):
+        met_before = met_before | F.coalesce(F.col(one) == F.col(two), F.lit(False))
+    return of("a").join(of("b"), "shingle").where(F.expr("a < b and g_a <> g_b") & lengths & enough & ~met_before).select("a", "b")
 
 
 def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:

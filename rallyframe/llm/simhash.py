@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rallyframe.llm import shingles
-from rallyframe.llm.components import components
-from rallyframe.llm.scratch import discard, write_scratch
+from rallyframe.llm.components import components, merged
+from rallyframe.llm.scratch import discard, release, write_scratch
 
 WORDS = 4
 MAX_BITS = 4
@@ -161,16 +161,17 @@ def similar(keyed: DataFrame, words: int = shingles.WORDS, like: float = shingle
     needed = index.select("class").unionByName(first.select(F.col("a").alias("class"))).unionByName(first.select(F.col("b").alias("class"))).distinct()
     sets = write_scratch(whole.select("class", "set").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
     discard(whole)
+    release(keyed.sparkSession)
     links = write_scratch(shingles.alike(first, sets, like), "links")
     groups = write_scratch(components(links), "groups")
     for turn in range(TURNS):
         more = write_scratch(shingles.alike(shingles.stars(index, groups, turn, like), sets, like), "links")
         if more.isEmpty():
             continue
-        links = links.unionByName(more)
-        groups = write_scratch(components(links), "groups")
+        groups = write_scratch(merged(groups, more), "groups")
+    release(keyed.sparkSession)
     rest = write_scratch(shingles.across(index, groups, like), "rest")
-    found = components(links.unionByName(shingles.alike(rest, sets, like)))
+    found = merged(groups, write_scratch(shingles.alike(rest, sets, like), "links"))
     return own.join(found, own["class"] == found["node"], "left").withColumn("group", F.coalesce("component", "class")).drop("node", "component")
 
 

@@ -7,6 +7,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from rallyframe.llm import shingles, simhash
+from rallyframe.llm.components import components, merged
 from rallyframe.llm.scratch import write_scratch
 
 
@@ -104,3 +105,23 @@ def test_a_group_not_quite_alike_makes_no_pairs(spark, monkeypatch):
         whole = write_scratch(simhash._prepared(keyed, 5, 0.8), "prepared")
         alone = spark.createDataFrame([], "node long, component long")
         assert shingles.across(shingles.shared(whole), alone).count() == pairs
+
+
+def test_pairs_that_share_a_passage_leave_the_join_about_once(spark):
+    """40 texts, any two of them alike in 190 of 200 words: every pair leaves the join, and not once for each shingle."""
+    base = [f"base{i}" for i in range(190)]
+    texts = [" ".join(base + [f"own{t}x{i}" for i in range(10)]) for t in range(40)]
+    keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").withColumn("h", F.xxhash64("text"))
+    index = shingles.shared(write_scratch(simhash._prepared(keyed, 5, 0.8), "prepared").select("class", "n", "prefix"))
+    left = write_scratch(shingles._grouped(index, spark.createDataFrame([], "node long, component long")), "left")
+    met, pairs = shingles.meetings(left), 40 * 39 // 2
+    assert met.distinct().count() == pairs and met.count() <= 2 * pairs
+
+
+def test_links_are_merged_between_groups_and_give_the_components_of_all(spark):
+    rnd = random.Random(3)
+    first, more = ([(rnd.randrange(300), rnd.randrange(300)) for _ in range(n)] for n in (120, 160))
+    frame = lambda rows: write_scratch(spark.createDataFrame(rows, "a long, b long"), "rows")
+    want = {tuple(r) for r in components(frame(first + more)).collect()}
+    groups = write_scratch(components(frame(first)), "groups")
+    assert {tuple(r) for r in merged(groups, frame(more)).collect()} == want
