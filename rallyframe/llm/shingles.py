@@ -31,6 +31,8 @@ SEED = 42
 SAMPLE, COMMON = 1 / 8, 2
 #: Common shingles that are told from others, the most common first: what is broadcast is bounded by it.
 MOST_COMMON = 1_000_000
+#: 64-bit words of a set's sketch; a power of two.
+SKETCH = 8
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -92,12 +94,16 @@ def shared(sets: DataFrame) -> DataFrame:
     at is the shingle's place in the class's order, which is the same for all; p1 and p2 are the two before it.
 
     Which shingles these are is found by partial aggregates; a shingle of very many classes is then
-    a skewed key of a join, which adaptive execution splits.
+    a skewed key of a join, which adaptive execution splits. Only shingles and classes take part in that join,
+    as most shingles are of one class; the rest of a row is taken from the class's list after it.
     """
-    rows = sets.select(F.posexplode("prefix").alias("at", "shingle"), "class", "n", "prefix")
-    rows = rows.select("shingle", "class", "n", "at", *(F.get("prefix", F.col("at") - i).alias(f"p{i}") for i in (1, 2)))
-    several = rows.groupBy("shingle").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("shingle")
-    return rows.join(several, "shingle", "left_semi").dropDuplicates(["shingle", "class"])
+    # One struct, so that all three uses are of one shuffle.
+    once = sets.groupBy("class").agg(F.first(F.struct("n", "prefix")).alias("of"))
+    rows = once.select(F.explode("of.prefix").alias("shingle"), "class")
+    several = rows.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1").select("shingle")
+    held = rows.join(several, "shingle", "left_semi").join(once, "class")
+    held = held.withColumn("at", (F.array_position("of.prefix", F.col("shingle")) - 1).cast("int"))
+    return held.select("shingle", "class", "of.n", "at", *(F.get("of.prefix", F.col("at") - i).alias(f"p{i}") for i in (1, 2)))
 
 
 def _grouped(index: DataFrame, groups: DataFrame) -> DataFrame:
@@ -134,26 +140,47 @@ def stars(index: DataFrame, groups: DataFrame, turn: int, like: float = LIKE) ->
     return met.groupBy(F.col("class").alias("b")).agg(F.max_by("a", F.struct("common", "a")).alias("a")).select("a", "b")
 
 
-def across(index: DataFrame, groups: DataFrame, like: float = LIKE) -> DataFrame:
+def sketch(low: np.ndarray) -> np.ndarray:
+    """SKETCH words of parities of a set of 32-bit hashes: a bit tells whether an odd number of them fall on it.
+
+    Two sets differ in as many members at least as their sketches do in bits.
+    """
+    odd = np.bincount(low.view(np.uint32) & np.uint32(64 * SKETCH - 1), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def across(index: DataFrame, groups: DataFrame, like: float = LIKE, sketches: DataFrame | None = None) -> DataFrame:
     """a, b: all classes that ``groups`` (node, component) hasn't in one group, and that may be alike by where they meet.
 
     The first shingle in the common order that two sets share has all their others behind it, in both. So two
     that are alike meet where enough of either set is left, and only such meetings leave the join. As rare shingles
     come first, sets that are not quite alike have used up what they may lack before they meet. Where one of the two
     shingles before is shared too, it isn't the first, so pairs that share long passages don't leave once for each shingle.
+    With ``sketches`` (class, sketch) those don't leave either whose sketches say that they differ in more than alike sets may.
     """
-    return meetings(_grouped(index, groups), like).select("a", "b").distinct()
+    left = _grouped(index, groups)
+    if sketches is not None:
+        left = left.join(sketches.select("class", *(F.get("sketch", F.lit(i)).alias(f"w{i}") for i in range(SKETCH))), "class")
+    return meetings(left, like).select("a", "b").distinct()
 
 
 def meetings(left: DataFrame, like: float = LIKE) -> DataFrame:
-    """a, b of the rows (shingle, class, n, at, p1, p2, group) of two groups that meet where they may be alike; a pair may several times."""
-    of = lambda c: left.select("shingle", F.col("class").alias(c), *(F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "p1", "p2")), F.col("group").alias(f"g_{c}"))
+    """a, b of the rows (shingle, class, n, at, p1, p2, group) of two groups that meet where they may be alike; a pair may several times.
+
+    Rows may also have w0 and so on, the words of their class's sketch.
+    """
+    words = [c for c in (f"w{i}" for i in range(SKETCH)) if c in left.columns]
+    of = lambda c: left.select("shingle", F.col("class").alias(c), *(F.col(k).alias(f"{k}_{c}") for k in ("n", "at", "p1", "p2", *words)), F.col("group").alias(f"g_{c}"))
     lengths = F.least("n_a", "n_b") >= like * F.greatest("n_a", "n_b") - 1e-6
     enough = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) * (1 + like) >= like * (F.col("n_a") + F.col("n_b")) - 1e-6
     met_before = F.coalesce(F.expr("p1_a = p1_b"), F.lit(False))
     for one, two in (("p1_a", "p2_b"), ("p2_a", "p1_b"), ("p2_a", "p2_b")):
         met_before = met_before | F.coalesce(F.col(one) == F.col(two), F.lit(False))
-    return of("a").join(of("b"), "shingle").where(F.expr("a < b and g_a <> g_b") & lengths & enough & ~met_before).select("a", "b")
+    may = F.expr("a < b and g_a <> g_b") & lengths & enough & ~met_before
+    if words:
+        differ = sum((F.bit_count(F.col(f"{w}_a").bitwiseXOR(F.col(f"{w}_b"))) for w in words), F.lit(0))
+        may = may & (differ * (1 + like) <= (1 - like) * (F.col("n_a") + F.col("n_b")) + 1e-5)
+    return of("a").join(of("b"), "shingle").where(may).select("a", "b")
 
 
 def alike(pairs: DataFrame, sets: DataFrame, like: float = LIKE) -> DataFrame:

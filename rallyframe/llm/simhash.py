@@ -116,7 +116,7 @@ def near_duplicates(keyed: DataFrame, words: int = WORDS, bits_apart: int = MAX_
 
 
 def _prepared(keyed: DataFrame, words: int, like: float) -> DataFrame:
-    """The columns of ``keyed`` but text, with class, fp, n, prefix and set of each text (see ``shingles``)."""
+    """The columns of ``keyed`` but text, with class, fp, n, prefix, set and sketch of each text (see ``shingles``)."""
     rest = [c for c in keyed.columns if c != "text"]
     kinds = ", ".join(f"`{c}` {keyed.schema[c].dataType.simpleString()}" for c in rest)
     known = keyed.sparkSession.sparkContext.broadcast(shingles.common(keyed, words))
@@ -128,9 +128,10 @@ def _prepared(keyed: DataFrame, words: int, like: float) -> DataFrame:
             prints = np.array([of_hashes(f[0]) for f in found], dtype=np.uint64).view(np.int64)
             many = pa.array([f[2] for f in found], pa.int32())
             columns = [pa.array(of), pa.array(prints), many, shingles.lists([f[3] for f in found], np.int64), shingles.lists([f[4] for f in found], np.int32)]
-            yield pa.RecordBatch.from_arrays([*some.columns[1:], *columns], names=[*rest, "class", "fp", "n", "prefix", "set"])
+            columns.append(shingles.lists([shingles.sketch(f[4]) for f in found], np.int64))
+            yield pa.RecordBatch.from_arrays([*some.columns[1:], *columns], names=[*rest, "class", "fp", "n", "prefix", "set", "sketch"])
 
-    return keyed.select("text", *rest).mapInArrow(batches, f"{kinds}, class long, fp long, n int, prefix array<long>, set array<int>")
+    return keyed.select("text", *rest).mapInArrow(batches, f"{kinds}, class long, fp long, n int, prefix array<long>, set array<int>, sketch array<long>")
 
 
 def _proposed(classes: DataFrame, bits_apart: int) -> DataFrame:
@@ -154,12 +155,14 @@ def similar(keyed: DataFrame, words: int = shingles.WORDS, like: float = shingle
     and share enough of the index. So large groups don't cost the square of their size.
     """
     whole = write_scratch(_prepared(keyed, words, like), "prepared")
-    own = write_scratch(whole.drop("fp", "n", "prefix", "set"), "keys")
+    release(keyed.sparkSession)
+    own = write_scratch(whole.drop("fp", "n", "prefix", "set", "sketch"), "keys")
     index = write_scratch(shingles.shared(whole.select("class", "n", "prefix")), "index")
+    release(keyed.sparkSession)
     first = _proposed(whole.select("class", "fp").distinct(), bits_apart)
     first = write_scratch(first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "proposed")
     needed = index.select("class").unionByName(first.select(F.col("a").alias("class"))).unionByName(first.select(F.col("b").alias("class"))).distinct()
-    sets = write_scratch(whole.select("class", "set").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
+    sets = write_scratch(whole.select("class", "set", "sketch").join(needed, "class", "left_semi").dropDuplicates(["class"]), "sets")
     discard(whole)
     release(keyed.sparkSession)
     links = write_scratch(shingles.alike(first, sets, like), "links")
@@ -170,7 +173,7 @@ def similar(keyed: DataFrame, words: int = shingles.WORDS, like: float = shingle
             continue
         groups = write_scratch(merged(groups, more), "groups")
     release(keyed.sparkSession)
-    rest = write_scratch(shingles.across(index, groups, like), "rest")
+    rest = write_scratch(shingles.across(index, groups, like, sets), "rest")
     found = merged(groups, write_scratch(shingles.alike(rest, sets, like), "links"))
     return own.join(found, own["class"] == found["node"], "left").withColumn("group", F.coalesce("component", "class")).drop("node", "component")
 

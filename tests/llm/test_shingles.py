@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 
 from pyspark.sql import functions as F
 
@@ -125,3 +126,24 @@ def test_links_are_merged_between_groups_and_give_the_components_of_all(spark):
     want = {tuple(r) for r in components(frame(first + more)).collect()}
     groups = write_scratch(components(frame(first)), "groups")
     assert {tuple(r) for r in merged(groups, frame(more)).collect()} == want
+
+
+def test_a_family_whose_shingles_all_pass_for_rare_makes_no_pairs(spark, monkeypatch):
+    """150 texts, any two of them at 0.68: they meet early in the order, but their sketches differ in too many bits."""
+    monkeypatch.setattr(shingles, "COMMON", 10**9)
+    base = " ".join(f"base{i}" for i in range(104))
+    for own, least, most in ((24, 0, 0), (6, 150 * 149 // 2, 150 * 149 // 2)):
+        texts = [" ".join(f"own{t}x{i}" for i in range(own)) + " " + base for t in range(150)]
+        keyed = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "key long, text string").withColumn("h", F.xxhash64("text"))
+        whole = write_scratch(simhash._prepared(keyed, 5, 0.8), "prepared")
+        alone = spark.createDataFrame([], "node long, component long")
+        assert least <= shingles.across(shingles.shared(whole), alone, 0.8, whole.select("class", "sketch")).count() <= most
+
+
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rnd = random.Random(5)
+    for size in (0, 1, 40, 400, 5000):
+        a = {rnd.randrange(1 << 32) for _ in range(size)}
+        b = {x for x in a if rnd.random() < 0.9} | {rnd.randrange(1 << 32) for _ in range(size // 10)}
+        of = lambda s: shingles.sketch(np.array(sorted(s), dtype=np.uint32).view(np.int32))
+        assert sum(int(x).bit_count() for x in (of(a) ^ of(b)).view(np.uint64)) <= len(a ^ b)
