@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rallyframe.functions import scalar
 from rallyframe.operators import ordering, rotation, stints
-from rallyframe.sources.stored import by_key, written
+from rallyframe.sources.stored import bucketed, task_count, written
 
 SUBSTITUTION, FOUL = 8, 6
 #: Kinds of a slot that mean a player on the floor.
@@ -56,13 +56,13 @@ def team_sides(plays: DataFrame) -> DataFrame:
     return plays.select("game").distinct().join(found, "game", "left")
 
 
-def mentions(plays: DataFrame, teams: DataFrame, sides: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mentions(plays: DataFrame, teams: DataFrame, sides: DataFrame, many: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Mentions of players, as ``rotation`` reads them, for starters and for substitutions.
 
     The former take a player's team by vote of the game, the latter the team of the row. Who takes part
     in a play is on the floor, unless the play is a technical foul, which the bench can draw too. Slots that
     hold no person, as team rebounds do, are no mentions. A substitution needs both ids; one that is 0
-    is no player, and the other side of it is evidence still, but no substitution.
+    is no player, and the other side of it is evidence still, but no substitution. They are stored in ``many`` buckets.
     """
     sub = F.col("code") == SUBSTITUTION
     technical = (F.col("code") == FOUL) & scalar.is_technical(F.col("action"), F.col("description"))
@@ -75,7 +75,7 @@ def mentions(plays: DataFrame, teams: DataFrame, sides: DataFrame) -> tuple[Data
     known = teams.groupBy("game").agg(F.map_from_entries(F.collect_list(F.struct("player", "team"))).alias("teams"))
     base = plays.join(sides.where("home is not null and away is not null").join(known, "game"), "game")
     rows = base.select("game", "period", "seq", "t", F.col("t1").alias("said"), "home", "away", "teams", F.inline(seen))
-    rows = written(rows.withColumn("voted", F.try_element_at("teams", "by")).drop("teams", "by"), "mentions")
+    rows = bucketed(rows.withColumn("voted", F.try_element_at("teams", "by")).drop("teams", "by"), "mentions", "game", many)
     columns = ["game", "period", "team", "seq", "slot", "t", "role", "player"]
     ours = lambda team: rows.where((F.col(team) == F.col("home")) | (F.col(team) == F.col("away"))).withColumn("team", F.col(team)).select(*columns)
     return ours("voted"), ours("said").where("role <> 'on'")
@@ -144,21 +144,21 @@ def _warnings(openings: DataFrame, changes: DataFrame) -> DataFrame:
 def built(plays: DataFrame) -> Built:
     """Stints of all games of ``plays``, and what there is to say about them.
 
-    Plays and lineups are written once. A game is quarantined if its substitutions don't tell the sides
+    Plays and lineups are written once, in buckets of whole games that a task each reads. A game is quarantined if its substitutions don't tell the sides
     apart, if no span has five players on both sides, or if nothing happened in those that have.
     """
-    plays = written(plays, "plays")
+    names, many = player_names(plays), task_count(plays)
+    plays = bucketed(plays.drop("n1", "n2", "n3"), "plays", "game", many)
     sides = written(team_sides(plays), "sides")
     periods = plays.groupBy("game", "period").agg(F.min("begins").alias("begins"), F.max("ends").alias("ends"))
-    keyed = by_key(plays, "game")
-    on, moves = mentions(keyed, player_teams(plays), sides)
-    openings = written(rotation.openings(on, moves, periods), "openings")
-    changes = written(states(openings, moves, periods), "changes")
-    met = written(spans(changes, periods, sides), "spans")
-    events = keyed.select("game", "seq", "t", "code", scalar.event_team(F.col("t1"), F.col("p1")).alias("team"), F.col("p1").alias("player"), "description", "score")
+    on, moves = mentions(plays, player_teams(plays), sides, many)
+    openings = bucketed(rotation.openings(on, moves, periods), "openings", "game", many)
+    changes = bucketed(states(openings, moves, periods), "changes", "game", many)
+    met = bucketed(spans(changes, periods, sides), "spans", "game", many)
+    events = plays.select("game", "seq", "t", "code", scalar.event_team(F.col("t1"), F.col("p1")).alias("team"), F.col("p1").alias("player"), "description", "score")
     found = written(stints.stints(events, met), "stints")
     five = met.where((F.size("home_lineup") == rotation.FIVE) & (F.size("away_lineup") == rotation.FIVE)).groupBy("game").agg(F.lit(True).alias("five"))
     done = found.groupBy("game").agg(F.lit(True).alias("done"))
     reason = F.when(F.col("home").isNull() | F.col("away").isNull(), "sides unknown").when(F.col("five").isNull(), "no span with five on both sides").when(F.col("done").isNull(), "nothing happened")
     left = sides.join(five, "game", "left").join(done, "game", "left").select("game", reason.alias("reason")).where("reason is not null")
-    return Built(found, met, player_names(plays), _warnings(openings, changes), left)
+    return Built(found, met, names, _warnings(openings, changes), left)

@@ -100,7 +100,9 @@ def refresh(spark: SparkSession, store: str, plays: DataFrame, games: DataFrame)
         return before
     after = before + 1
     building = state.where("what IN ('new', 'changed')").select("game", *BY)
-    made = season.built(plays.join(building.select("game"), "game", "left_semi"))
+    # Written alone, so that its size in bytes, by which Spark chooses the join, is that of the keys.
+    wanted = season.written(building.select("game"), "building")
+    made = season.built(plays.join(wanted, "game", "left_semi"))
     fresh = season.written(made.stints.join(building, "game"), "fresh")
     fresh.write.mode("overwrite").parquet(f"{store}/stints/version={after}")
     made.quarantined.write.mode("overwrite").parquet(f"{store}/quarantined/version={after}")

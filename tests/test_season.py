@@ -4,6 +4,7 @@ import csv
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rallyframe.operators import season
 from rallyframe.sources import feeds, seasons
@@ -158,3 +159,20 @@ def test_mentions_are_stored_and_not_joined_by_player(spark):
     assert {(r.team, r.role, r.player) for r in moves.collect()} == {(1, "out", 101), (1, "in", 102), (2, "out", 201), (2, "in", 202)}
     for found in (on, moves):
         assert "Exchange" not in found._jdf.queryExecution().toString()
+
+
+def test_games_are_partitioned_once(spark, monkeypatch):
+    """Plays and lineups lie in buckets of whole games: their scans don't grow with the table, and groups by game shuffle nothing."""
+    from rallyframe.sources import stored
+
+    monkeypatch.setattr(stored, "TASK_ROWS", 100)
+    kinds = "game string, seq int, period int, t double, begins double, ends double, code int, action int, score string, description string, side string"
+    kinds += "".join(f", p{n} long, k{n} int, t{n} long, n{n} string" for n in (1, 2, 3))
+    slots = lambda *ps: [v for p, team in ps for v in (p, 4, team, f"P{p}")]
+    rows = [(f"g{g}", 2 * i + s, 1, 10.0 * i, 0.0, 600.0, 8, 0, None, "SUB", ("home", "away")[s], *slots((100 * s + 101 + i, s + 1), (100 * s + 106 + i, s + 1), (0, 0))) for g in range(100) for i in range(4) for s in (0, 1)]
+    made = season.built(spark.createDataFrame(rows, kinds))
+    groups = made.spans.groupBy("game", "period").agg(F.max(F.struct("t_end")).alias("last"))
+    plan = groups._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 8 out of 8" in plan
+    assert groups.count() == 100
+    assert {r.player for r in made.names.where("name = 'P101'").collect()} == {101}
