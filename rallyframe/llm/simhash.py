@@ -93,7 +93,8 @@ def near_pairs(classes: DataFrame, bits_apart: int = MAX_BITS) -> DataFrame:
         bits = _segment_bits("(a ^ b)", start, width)
         rule += f" when {bits} = 0 then {start} when bit_count({bits}) = 1 then {start} + bit_count({bits} - 1)"
     rule += " end"
-    found = a.join(b, ["wiped", "rest"]).where(F.expr(f"a < b and bit_count(a ^ b) <= {bits_apart} and wiped = {rule}"))
+    # The index has 64 rows a fingerprint, which Spark's estimate of its size leaves out: without the hint it is broadcast.
+    found = a.join(b.hint("merge"), ["wiped", "rest"]).where(F.expr(f"a < b and bit_count(a ^ b) <= {bits_apart} and wiped = {rule}"))
     return found.select("a", "b")
 
 

@@ -1,0 +1,24 @@
+"""Tables whose rows an explode multiplies: Spark's estimate of their size leaves that out, so they may not be broadcast."""
+
+from pyspark.sql import functions as F
+
+from rallyframe.llm import components, simhash
+from rallyframe.llm.scratch import write_scratch
+
+
+def plan_of(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_variants_of_fingerprints_are_not_broadcast(spark):
+    prints = write_scratch(spark.range(300).select(F.xxhash64("id").alias("fp")), "classes")
+    plan = plan_of(simhash.near_pairs(prints))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_salted_neighbours_are_not_broadcast(spark):
+    edges = write_scratch(spark.range(1, 300).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v")), "links")
+    for star in (components._large_star, components._small_star):
+        plan = plan_of(star(edges))
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
