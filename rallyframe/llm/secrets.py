@@ -112,7 +112,8 @@ def linked(spans: DataFrame, scope: int = SCOPE) -> DataFrame:
         & (F.greatest(F.col("p_start") - F.col("end"), F.col("start") - F.col("p_end")) <= scope)
         & ((F.col("p_start") >= F.col("end")) | (F.col("start") >= F.col("p_end")))
     )
-    met = near.join(parts, ["row", "block"]).where(beside)
+    # A candidate has a row for each block it reaches, which Spark's estimate of its size leaves out: merged, not broadcast.
+    met = near.join(parts.hint("merge"), ["row", "block"]).where(beside)
     roles = met.groupBy("row", "kind_no", "kind", "role", "start", "end").agg(
         F.bool_or(F.col("other") == "secret").alias("secret"), F.bool_or(F.col("other") == "identifier").alias("identifier")
     )
