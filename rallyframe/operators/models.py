@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -74,10 +74,12 @@ def normal_residuals(long: DataFrame, rows: DataFrame, row: str, col: str, weigh
     Worked out in Spark from the rows, without the Gram matrix that the fit was solved with.
     """
     mean = rows.agg((F.sum(F.col(weight) * F.col(label)) / F.sum(weight)).alias("mean"))
-    known = long.join(beta.select(F.col("col").alias(col), "beta"), col)
-    fitted = known.groupBy(row).agg(F.sum("beta").alias("fit"))
+    # The long rows come from an explode, which Spark's estimate of their size leaves out: joined with their own sums
+    # they are broadcast. So the sums are a window's, and what is broadcast is a coefficient for each column.
+    known = long.join(F.broadcast(beta.select(F.col("col").alias(col), "beta")), col)
+    fitted = known.withColumn("fit", F.sum("beta").over(Window.partitionBy(row)))
     # Centred by a scalar, which is one row.
-    left = long.join(fitted, row).withColumn("left", F.col(weight) * (F.col(label) - mean.scalar() - F.col("fit")))
+    left = fitted.withColumn("left", F.col(weight) * (F.col(label) - mean.scalar() - F.col("fit")))
     sums = left.groupBy(col).agg(F.sum("left").alias("left"), F.sum(weight).alias("size"))
     return sums.join(beta.select(F.col("col").alias(col), "beta"), col).select(col, ((F.col("left") - alpha * F.col("beta")) / F.col("size")).alias("residual"))
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rallyframe.operators import evaluate, models, rapm, solve
+from rallyframe.sources import stored
 
 KINDS = "row long, w double, y double, mask long, fold int, cols array<long>"
 
@@ -97,3 +98,15 @@ def test_sums_of_a_wide_design_are_few(spark):
     total = solve.added_up(blocks, len(fits.columns), 1, lambda b, into: b.spread(b.w[:, None], into))
     want = {r.c: r.w for r in rows.selectExpr("explode(cols) AS c", "w").groupBy("c").sum("w").toDF("c", "w").collect()}
     assert np.allclose(total[:, 0], [want[int(c)] for c in fits.columns])
+
+
+def test_residuals_need_no_broadcast_of_the_design(spark):
+    """A stint's lineups are an explode, so the design looks as small as the stints; only the coefficients may be broadcast."""
+    stints = stored.written(spark.range(600).selectExpr("id", "1D + id % 3 AS w", "1D * (id % 7) AS y", "transform(sequence(0, 4), i -> (id * 3 + i * 5) % 23) AS cols"), "stints")
+    rows = stints.select(F.col("id").alias("row"), "w", "y")
+    long = stints.select(F.col("id").alias("row"), "w", "y", F.explode("cols").alias("col"))
+    beta = models.ridge_frame(long, rows, "row", "col", "w", "y", 10.0)
+    left = models.normal_residuals(long, rows, "row", "col", "w", "y", 10.0, beta)
+    found = left.collect()
+    assert len(found) == 23 and all(abs(r.residual) < 1e-9 for r in found)
+    assert left._jdf.queryExecution().sparkPlan().toString().count("Generate explode") == 1
